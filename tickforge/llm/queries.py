@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_jaccard
+from . import decontaminate, ngram_jaccard, repair_ids, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_repair_ids": repair_ids.query,
         "op3_ngram_jaccard": ngram_jaccard.query,
+        "op4_suffix_dedup": suffix_dedup.query,
+        "op6_decontaminate": decontaminate.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_decontaminate": decontaminate.SQL,
+    }
