@@ -9,7 +9,7 @@ def put(uri: str, data: bytes) -> int:
     """Write one whole file.  Names must be of one task attempt alone: what a lost attempt leaves is never listed."""
     fs, path = pafs.FileSystem.from_uri(uri)
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    with fs.open_output_stream(path) as out:
+    with fs.open_output_stream(path, compression=None) as out:
         out.write(data)
     return len(data)
 

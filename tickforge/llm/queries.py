@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_jaccard, repair_ids, suffix_dedup
+from . import decision_list, decontaminate, mixing, ngram_jaccard, repair_ids, suffix_dedup, viterbi_counts, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,11 +14,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_repair_ids": repair_ids.query,
         "op3_ngram_jaccard": ngram_jaccard.query,
         "op4_suffix_dedup": suffix_dedup.query,
+        "op5_warc": warc.query,
         "op6_decontaminate": decontaminate.query,
+        "op7_decision_list": decision_list.query,
+        "op8_viterbi_counts": viterbi_counts.query,
+        "op9_mixing": mixing.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_warc": warc.SQL,
         "op6_decontaminate": decontaminate.SQL,
     }
