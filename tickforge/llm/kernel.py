@@ -92,7 +92,12 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPAC
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = _LOWER_CODE, block: int = SLICE_BYTES) -> np.ndarray:
     """A 64-bit hash of each span of bytes; the spans are in order and don't overlap."""
-    out = np.empty(len(starts), dtype=U64)
+    return prefix_hashes(data, starts, ends, (), codes, block)[0]
+
+
+def prefix_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: tuple[int, ...], codes: np.ndarray = _LOWER_CODE, block: int = SLICE_BYTES) -> list[np.ndarray]:
+    """Hashes of whole spans, then for each length those of the spans' first bytes (of the whole span where it is no longer)."""
+    out = [np.empty(len(starts), dtype=U64) for _ in range(1 + len(lengths))]
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + block, "right")))
@@ -100,9 +105,13 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: n
         up, down = powers(hi - lo)
         total = np.zeros(hi - lo + 1, dtype=U64)
         np.cumsum(codes[data[lo:hi]] * up[: hi - lo], out=total[1:])
-        out[i:j] = (total[ends[i:j] - lo] - total[starts[i:j] - lo]) * down[starts[i:j] - lo]
+        a, b = starts[i:j] - lo, ends[i:j] - lo
+        before, shift = total[a], down[a]
+        for k, size in enumerate((None, *lengths)):
+            end = b if size is None else np.minimum(b, a + size)
+            out[k][i:j] = ((total[end] - before) * shift) ^ (end - a).astype(U64)
         i = j
-    return _spread(out ^ (ends - starts).astype(U64))
+    return [_spread(x) for x in out]
 
 
 def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

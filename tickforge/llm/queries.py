@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decision_list, decontaminate, mixing, ngram_jaccard, repair_ids, suffix_dedup, viterbi_counts, warc
+from . import decision_list, decontaminate, html_extraction, mixing, ngram_jaccard, ordinal_toxicity, repair_ids, suffix_dedup, viterbi_counts, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ordinal_toxicity": ordinal_toxicity.query,
         "op2_repair_ids": repair_ids.query,
         "op3_ngram_jaccard": ngram_jaccard.query,
         "op4_suffix_dedup": suffix_dedup.query,
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_decision_list": decision_list.query,
         "op8_viterbi_counts": viterbi_counts.query,
         "op9_mixing": mixing.query,
+        "op10_html_extraction": html_extraction.query,
     }
 
 
