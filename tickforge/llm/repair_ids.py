@@ -19,7 +19,8 @@ sum over it gives the ids before each shard.  Files are named by attempt and onl
 the list are read, so a lost executor leaves nothing wrong.
 
 Tokenising: a text is cut before single spaces between characters that can't be white
-space, where every byte-level pre-tokeniser of this kind starts a new word, and each
+space, and between an ASCII letter and punctuation, where a byte-level pre-tokeniser of this
+kind always starts a new word, and each
 different piece of a batch is encoded once by the tokenizers library.
 
 Null texts are empty documents: they hold only the end id.  Repeated ids stay together,
@@ -28,8 +29,11 @@ one document a row, ordered by text.  An empty table gives no files and no rows.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,43 +48,84 @@ from .shared import fresh_path, stored, table
 
 END_ID = 2
 SHARD_IDS = 1 << 20
-ROUNDS, RULES_PER_ROUND, LEAST_COUNT = 6, 4096, 16
-MOST_PIECES = 400_000
+ROUNDS, RULES_PER_ROUND, LEAST_COUNT = 4, 2048, 32
+MOST_PIECES, RECENT_PIECES = 1_500_000, 100_000
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[*b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]] = True
 _SAFE_NEXT = np.ones(256, bool)
 _SAFE_NEXT[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = False
 _SAFE_LAST = np.ones(256, bool)
 _SAFE_LAST[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = False
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that a byte-level vocabulary writes for each byte: printable Latin-1 as it is, others from U+0100 on."""
+    plain = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class Known:
+    """Ids of pieces by hash, in a large sorted table and a small recent one that is merged into it now and then."""
+
+    def __init__(self):
+        self.keys, self.starts, self.sizes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint16), np.zeros(0, np.uint16)
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        """The entry of each key, or -1."""
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == keys, at, -1) if len(self.keys) else np.full(len(keys), -1)
+
+    def add(self, keys: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Keys are new here and sorted; ids are theirs, one key after another."""
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.starts, self.sizes = np.insert(self.keys, at, keys), np.insert(self.starts, at, starts.astype(np.uint32)), np.insert(self.sizes, at, sizes.astype(np.uint16))
+        self.ids = np.concatenate([self.ids, ids])
+
+    def spread(self, entries: np.ndarray) -> np.ndarray:
+        """The ids of entries, one after another."""
+        sizes = self.sizes[entries].astype(np.int64)
+        return self.ids[np.repeat(self.starts[entries] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
+
+
 class Pieces:
     """Encodes texts piece by piece, each different piece once as long as it is held."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel units
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are then ordinary text
         self.first_new = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.keys, self.starts, self.sizes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = [e.ids for e in got]
-        sizes = np.array(list(map(len, ids)), np.int64)
-        new = np.array([i for x in ids for i in x], np.uint32)
-        starts = len(self.ids) + np.cumsum(sizes) - sizes
-        order = np.argsort(all_keys := np.concatenate([self.keys, keys]))
-        self.keys, self.starts, self.sizes = all_keys[order], np.concatenate([self.starts, starts])[order], np.concatenate([self.sizes, sizes])[order]
-        self.ids = np.concatenate([self.ids, new])
+        if self.first_new > 1 << 16:
+            raise ValueError("token ids of more than 16 bits")
+        self.old, self.recent = Known(), Known()
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        """Encode pieces of new, sorted keys; one of letters after a space at most is one word to the model."""
+        model, table_ = self.tokenizer.model, _BYTE_LETTERS
+        ids = [[t.id for t in model.tokenize(p.decode("latin-1").translate(table_))] if (p[1:] if p[:1] == b" " else p).decode().isalpha() else None for p in pieces]
+        odd = [i for i, x in enumerate(ids) if x is None]
+        for i, got in zip(odd, self.tokenizer.encode_batch_fast([pieces[i].decode() for i in odd], add_special_tokens=False)):
+            ids[i] = got.ids
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        if len(sizes) and sizes.max() >= 1 << 16:
+            raise ValueError("a piece of more than 65535 ids")
+        self.recent.add(keys, sizes, np.fromiter(chain.from_iterable(ids), np.uint16, int(sizes.sum())))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, how many of each document) of data[offsets[0]:offsets[-1]]."""
@@ -94,58 +139,71 @@ class Pieces:
             if wide.any():
                 back1, back2 = np.append(np.uint8(0), raw[:-3]), np.concatenate([np.zeros(2, np.uint8), raw[:-4]])[: n - 2]
                 inner &= ~(wide & ((back1 == 0xC2) | np.isin(back2, (0xE1, 0xE2, 0xE3))))
-            cut[1 : n - 1] = inner
+            cut[1 : n - 1] = inner | (_LETTER[raw[:-2]] & _MARK[raw[1:-1]])
         cut[local] = True
         starts = np.flatnonzero(cut[:n])
         ends = np.append(starts[1:], n)
         keys = span_hashes(raw, starts, ends, _BYTE_CODE)
         known, first, at = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.keys) > MOST_PIECES:
-            self._clear()
-        place = np.searchsorted(self.keys, known)
-        held = place < len(self.keys)
-        held[held] = self.keys[place[held]] == known[held]
-        if not held.all():
-            new = np.flatnonzero(~held)
+        old, recent = self.old.place(known), self.recent.place(known)
+        new = np.flatnonzero((old < 0) & (recent < 0))
+        if len(new):
             buf = raw.tobytes()
-            self._learn(known[new], [buf[starts[i] : ends[i]].decode() for i in first[new].tolist()])
-            place = np.searchsorted(self.keys, known)
-        entry = place[at]
-        sizes = self.sizes[entry]
-        total = int(sizes.sum())
-        into = np.repeat(self.starts[entry] - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
-        before = np.append(0, np.cumsum(sizes))
-        return self.ids[into], np.diff(before[np.searchsorted(starts, local)])
+            self._learn(known[new], [buf[starts[i] : ends[i]] for i in first[new].tolist()])
+            recent = self.recent.place(known)
+        both = Known()
+        own = old < 0
+        sizes = np.where(own, self.recent.sizes[recent] if len(self.recent.keys) else 0, self.old.sizes[old] if len(self.old.keys) else 0)
+        ids = np.empty(int(sizes.sum(dtype=np.int64)), np.uint16)
+        fill = np.repeat(own, sizes)
+        ids[fill], ids[~fill] = self.recent.spread(recent[own]), self.old.spread(old[~own])
+        both.add(known, sizes.astype(np.int64), ids)
+        if len(self.recent.keys) > RECENT_PIECES:
+            if len(self.old.keys) > MOST_PIECES:
+                self.old = Known()
+            self.old.add(self.recent.keys, self.recent.sizes.astype(np.int64), self.recent.spread(np.arange(len(self.recent.keys))))
+            self.recent = Known()
+        before = np.append(0, np.cumsum(sizes[at], dtype=np.int64))
+        return both.spread(at), np.diff(before[np.searchsorted(starts, local)])
+
+
+@lru_cache(maxsize=1)
+def _pieces(tokenizer: str) -> Pieces:
+    """The worker's own, kept from task to task."""
+    return Pieces(tokenizer)
 
 
 def re_pair(ids: np.ndarray, end_id: int, first_new: int, rounds: int = ROUNDS, rules_per_round: int = RULES_PER_ROUND, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """(sequence, rules): rule k rewrites first_new + k to its two ids."""
-    seq, rules, bits = ids.astype(np.uint32), [], np.uint64(64 - 20)
+    seq, rules, none = ids.astype(np.uint32), [], np.int32(1 << 30)
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        pair = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        slot = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> bits).astype(np.int64)
-        may = np.bincount(slot, minlength=1 << 20)[slot] >= least
-        may &= (seq[:-1] != end_id) & (seq[1:] != end_id)
-        where = np.flatnonzero(may)
-        kinds, of, counts = np.unique(pair[where], return_inverse=True, return_counts=True)
-        best = np.argsort(-counts, kind="stable")[:rules_per_round]
-        best = best[counts[best] >= least]
+        left, right = seq[:-1], seq[1:]
+        slot = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35) >> np.uint32(12)
+        slot[(left == end_id) | (right == end_id)] = 0
+        where = np.flatnonzero((np.bincount(slot, minlength=1 << 20) >= least)[slot] & (slot > 0))
+        own = slot[where]
+        pair = (left[where].astype(np.uint64) << np.uint64(32)) | right[where]
+        owner = np.zeros(1 << 20, np.uint64)  # one pair a slot; others of the slot wait for a later round
+        owner[own] = pair
+        first = owner[own] == pair
+        where, own = where[first], own[first]
+        counts = np.bincount(own, minlength=1 << 20)
+        best = np.flatnonzero(counts >= least)
+        best = best[np.argsort(-counts[best], kind="stable")[:rules_per_round]]
         if not len(best):
             break
-        rank = np.full(len(kinds), 1 << 30, np.int64)
+        rank = np.full(1 << 20, none, np.int32)
         rank[best] = np.arange(len(best))
-        ranks = np.full(len(seq) + 1, 1 << 30, np.int64)  # of the pair that starts one place earlier
-        ranks[where + 1] = rank[of]
+        ranks = np.full(len(seq) + 1, none, np.int32)  # of the pair that starts one place earlier
+        ranks[where + 1] = rank[own]
         mine = ranks[1:-1]
-        take = (mine < (1 << 30)) & (mine < ranks[:-2]) & (mine <= ranks[2:])
-        used = np.unique(mine[take])
+        at = np.flatnonzero((mine < none) & (mine < ranks[:-2]) & (mine <= ranks[2:]))
+        used = np.flatnonzero(np.bincount(mine[at], minlength=len(best)))
         number = np.zeros(len(best), np.uint32)
         number[used] = first_new + sum(map(len, rules)) + np.arange(len(used))
-        rules.append(kinds[best[used]])
-        at = np.flatnonzero(take)
-        seq = seq.copy()
+        rules.append(owner[best[used]])
         seq[at] = number[mine[at]]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
@@ -236,7 +294,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     tokenizer = tokenizer or default_tokenizer()
 
     def run(batches):
-        pieces, part, attempt, number = Pieces(tokenizer), TaskContext.get().partitionId(), uuid.uuid4().hex[:12], 0
+        pieces, part, attempt, number = _pieces(tokenizer), TaskContext.get().partitionId(), uuid.uuid4().hex[:12], 0
         names: list = []
         counts: list[np.ndarray] = []
         ids: list[np.ndarray] = []
@@ -284,7 +342,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
 
 def _with_starts(shards: DataFrame) -> DataFrame:
     order = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    return shards.select("uri", F.coalesce(F.sum("ids").over(order), F.lit(0)).alias("before")).repartition(F.col("uri"))
+    return shards.select("uri", F.coalesce(F.sum("ids").over(order), F.lit(0)).alias("before")).repartition(max(1, shards.count()), "uri")  # a task a shard, however few bytes the list has
 
 
 def shard_digests(shards: DataFrame) -> DataFrame:
