@@ -176,7 +176,8 @@ def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES, keep_payl
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"])
 
     ranges = archives.select("uri", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
-    return ranges.repartition("uri", "start").mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
+    n = archives.agg(F.sum(F.ceil(F.col("bytes") / split_bytes)).alias("n")).first()["n"] or 1
+    return ranges.repartition(int(n), "uri", "start").mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
