@@ -128,52 +128,88 @@ _STATE = "doc_id long, text string, n_words long, hits array<struct<start: long,
 _RUNS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _scan(shared, size: int, last: bool):
+class Search:
+    """The tables of some windows, and what they find in texts."""
+
+    def __init__(self, windows: dict[bytes, set[str]]):
+        self.windows, self.tools = windows, searchers(sorted(windows))
+        self.words_of = {w: w.count(b" ") - 1 for w in windows}
+
+    def texts(self, column: pa.Array) -> tuple[np.ndarray, dict[int, tuple[list[tuple[int, int]], set[str]]]]:
+        """(words of each text, {text: (runs of hit words, items)})."""
+        data, offsets = byte_view(column)
+        n, found = np.zeros(len(offsets) - 1, np.int64), {}
+        for lo, hi in slices(offsets):
+            stream, place, doc = normalised(data, offsets[lo : hi + 1])
+            n[lo:hi] = counts = np.bincount(doc, minlength=hi - lo)
+            first = np.cumsum(counts) - counts
+            for tool in self.tools:
+                got = tool.search(stream)
+                at = np.searchsorted(place, np.array([p for p, _ in got], np.int64) + 1)
+                for w, (_, i) in zip(at.tolist(), got):
+                    d = int(doc[w])
+                    runs, names = found.setdefault(lo + d, ([], set()))
+                    runs.append((w - int(first[d]), w - int(first[d]) + self.words_of[tool.strings[i]]))
+                    names.update(self.windows[tool.strings[i]])
+        return n, found
+
+
+def _scan(shared, last: bool):
     def run(batches):
-        windows: dict[bytes, set[str]] = shared.value
-        tools = searchers(sorted(windows))
-        words_of = {w: w.count(b" ") - 1 for w in windows}
+        search = Search(shared.value)
         for batch in batches:
-            data, offsets = byte_view(batch.column(1))
-            n, hits, items = np.zeros(batch.num_rows, np.int64), batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            for lo, hi in slices(offsets):
-                stream, place, doc = normalised(data, offsets[lo : hi + 1])
-                counts = np.bincount(doc, minlength=hi - lo)
-                n[lo:hi] = counts
-                first = np.cumsum(counts) - counts
-                found: dict[int, tuple[list, set]] = {}
-                for tool in tools:
-                    got = tool.search(stream)
-                    at = np.searchsorted(place, np.array([p for p, _ in got], np.int64) + 1)
-                    for w, (_, i) in zip(at.tolist(), got):
-                        d = int(doc[w])
-                        runs, names = found.setdefault(d, ([], set()))
-                        runs.append((w - int(first[d]), w - int(first[d]) + words_of[tool.strings[i]]))
-                        names.update(windows[tool.strings[i]])
-                for d, (runs, names) in found.items():
-                    merged: list[dict] = []
-                    for a, b in sorted([*runs, *((r["start"], r["end"]) for r in hits[lo + d] or ())]):
-                        if merged and a <= merged[-1]["end"]:
-                            merged[-1]["end"] = max(b, merged[-1]["end"])
-                        else:
-                            merged.append({"start": a, "end": b})
-                    hits[lo + d], items[lo + d] = merged, sorted(names | set(items[lo + d] or ()))
+            n, found = search.texts(batch.column(1))
+            hits, items = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            for d, (runs, names) in found.items():
+                merged: list[dict] = []
+                for a, b in sorted([*runs, *((r["start"], r["end"]) for r in hits[d] or ())]):
+                    if merged and a <= merged[-1]["end"]:
+                        merged[-1]["end"] = max(b, merged[-1]["end"])
+                    else:
+                        merged.append({"start": a, "end": b})
+                hits[d], items[d] = merged, sorted(names | set(items[d] or ()))
             text = pa.nulls(batch.num_rows, pa.string()) if last else batch.column(1).cast(pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), text, pa.array(n), pa.array(hits, _RUNS), pa.array(items, pa.list_(pa.string()))], ["doc_id", "text", "n_words", "hits", "items"])
 
     return run
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
-    """(doc_id, n_words, hits: array of maximal [start, end) runs of hit words, items: array of item ids as strings, sorted) of every row."""
-    spark = docs.sparkSession
+def window_parts(benchmark: DataFrame, size: int = SIZE, item_col: str = "item_id", item_text_col: str = "text", part_bytes: int = PART_BYTES) -> list:
+    """Broadcasts of the benchmark's windows, each of about part_bytes of text."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
     total = parts(items.agg(F.sum(text_bytes("text")).alias("n")).first()["n"], part_bytes)
-    now = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start: long, end: long>>").alias("hits"), F.array().cast("array<string>").alias("items"))
+    out = []
     for part in range(total):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(total)) == part).collect()  # about part_bytes at most
-        windows = item_windows([(r["item"] or "", r["text"]) for r in own], size)
-        now = now.mapInArrow(_scan(spark.sparkContext.broadcast(windows), size, part == total - 1), _STATE)
+        out.append(benchmark.sparkSession.sparkContext.broadcast(item_windows([(r["item"] or "", r["text"]) for r in own], size)))
+    return out
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, in which no window of the benchmark occurs."""
+    at, now = docs.columns.index(text_col), docs
+
+    def clean(shared):
+        def run(batches):
+            search = Search(shared.value)
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                keep[list(search.texts(batch.column(at))[1])] = False
+                yield batch.filter(pa.array(keep))
+
+        return run
+
+    for shared in window_parts(benchmark, size):
+        now = now.mapInArrow(clean(shared), docs.schema)
+    return now
+
+
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
+    """(doc_id, n_words, hits: array of maximal [start, end) runs of hit words, items: array of item ids as strings, sorted) of every row."""
+    windows = window_parts(benchmark, size, item_col, item_text_col, part_bytes)
+    now = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start: long, end: long>>").alias("hits"), F.array().cast("array<string>").alias("items"))
+    for k, shared in enumerate(windows):
+        now = now.mapInArrow(_scan(shared, k == len(windows) - 1), _STATE)
     return now.drop("text")
 
 

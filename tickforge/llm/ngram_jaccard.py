@@ -255,5 +255,13 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return sigs.join(classes, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
 
 
+def one_of_each(docs: DataFrame, threshold: int = 80) -> DataFrame:
+    """The rows of docs, with all their columns, of which each class keeps that of the smallest doc_id; of equal rows one stays."""
+    classes = similarity_classes(docs, threshold=threshold)
+    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
+    return rows.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_classes(table(spark, sf_dir, "documents"))

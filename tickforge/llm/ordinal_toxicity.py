@@ -35,7 +35,7 @@ from .shared import table
 BITS, SAMPLE, GRADES, ROUNDS = 20, 4000, 4, 150
 #: Bytes of a word's beginnings that are features beside the word.
 BEGINNINGS = (4, 5, 6, 7)
-L1, RATE, LEAST_DOCS, LEAST_Z, LEAST = 1e-5, 0.3, 4, 5.0, 0.4
+L1, RATE, LEAST_DOCS, LEAST_Z, LEAST = 1e-5, 0.3, 4, 5.0, 0.3
 
 
 def buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,6 +131,27 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample:
     return fit(grades_of(toxic, rows, words), rows, words)
 
 
+def scores(texts: pa.Array, model: Model) -> np.ndarray:
+    """w . x of each text."""
+    data, offsets = byte_view(texts)
+    score = np.zeros(len(offsets) - 1)
+    for lo, hi in slices(offsets):
+        doc, words = buckets(data, offsets[lo : hi + 1])
+        score[lo:hi] = np.bincount(doc, weights=model.weights[words], minlength=hi - lo)
+    return score
+
+
+def without_toxic(docs: DataFrame, model: Model, least: float = LEAST, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, that the model doesn't reject."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.above(scores(batch.column(at), shared.value))[:, 0] < least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def graded(docs: DataFrame, model: Model, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, severity: expected, grade: most likely, toxic) of every row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -138,11 +159,7 @@ def graded(docs: DataFrame, model: Model, least: float = LEAST, id_col: str = "d
     def run(batches):
         model = shared.value
         for batch in batches:
-            data, offsets = byte_view(batch.column(1))
-            score = np.zeros(batch.num_rows)
-            for lo, hi in slices(offsets):
-                doc, words = buckets(data, offsets[lo : hi + 1])
-                score[lo:hi] = np.bincount(doc, weights=model.weights[words], minlength=hi - lo)
+            score = scores(batch.column(1), model)
             above = model.above(score)
             each = -np.diff(np.concatenate([np.ones((len(score), 1)), above, np.zeros((len(score), 1))], axis=1), axis=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(above.sum(axis=1)), pa.array(each.argmax(axis=1).astype(np.int32)), pa.array(above[:, 0] >= least)], ["doc_id", "severity", "grade", "toxic"])
