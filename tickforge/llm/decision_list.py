@@ -53,18 +53,18 @@ def _repeated(words: Column) -> Column:
     return F.when(n < 2, 0).otherwise(_let(F.sort_array(windows), covered))
 
 
-def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_bangs, n_upper, n_lines) of every row."""
+def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_bangs, n_upper, n_lines) of every row, and the columns to keep."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     trimmed = F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(WORD))
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *keep)
     counted = _let(words, lambda w: F.struct(F.size(w).alias("n"), F.aggregate(w, F.lit(0), lambda n, x: n + F.length(x)).alias("chars"), _repeated(w).alias("repeated")))
     lined = _let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("again")))
-    found = own.select("doc_id", counted.alias("w"), lined.alias("l"), F.regexp_count("text", F.lit("[#*$%&|<>]")).alias("n_symbols"), F.regexp_count("text", F.lit("!")).alias("n_bangs"), F.regexp_count("text", F.lit("[A-Z]")).alias("n_upper"))
+    found = own.select("doc_id", *keep, counted.alias("w"), lined.alias("l"), F.regexp_count("text", F.lit("[#*$%&|<>]")).alias("n_symbols"), F.regexp_count("text", F.lit("!")).alias("n_bangs"), F.regexp_count("text", F.lit("[A-Z]")).alias("n_upper"))
     columns = {"n_words": "w.n", "word_chars": "w.chars", "n_symbols": "n_symbols", "n_dup_lines": "l.again", "n_repeat_words": "w.repeated", "n_bangs": "n_bangs", "n_upper": "n_upper", "n_lines": "l.n"}
-    return found.select("doc_id", *(F.col(c).cast("long").alias(n) for n, c in columns.items()))
+    return found.select("doc_id", *keep, *(F.col(c).cast("long").alias(n) for n, c in columns.items()))
 
 
 def base_failed() -> Column:
@@ -106,8 +106,10 @@ def _sample(docs: DataFrame, labels: DataFrame, sample: int, label_col: str) ->
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
     some = [known.where(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
     few = F.broadcast(some[0].unionByName(some[1]).withColumnRenamed("doc_id", "of"))  # 2 * sample rows at most
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(few, F.col("doc_id") == F.col("of")).select("doc_id", "text")
-    return stored(statistics(found).join(few, F.col("doc_id") == F.col("of")).drop("of").where(~base_failed()).withColumns({"bad": 1 - F.col("label"), "grow": F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(3)) > 0}), "labelled")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(few, F.col("doc_id") == F.col("of")).select("doc_id", "text", "label")
+    # stored first: a condition on statistics would be pushed below the join, and be worked out for all rows
+    counted = stored(statistics(found, keep=("label",)), "labelled")
+    return counted.where(~base_failed()).withColumns({"bad": 1 - F.col("label"), "grow": F.pmod(F.xxhash64("doc_id", F.lit("grow")), F.lit(3)) > 0})
 
 
 def _thresholds(rows: DataFrame, bins: int) -> dict[str, list[float]]:
