@@ -15,6 +15,8 @@ def asof_backward(base: DataFrame, others: dict[str, DataFrame], by_day: bool =
     each other's last struct is carried on.  So that a symbol's history needn't be one task's,
     rows are grouped by symbol and day, and each day gets what the days before left.
     """
+    if not others:
+        return base
     keys = ("symbol", "timestamp")
     values = [c for c in base.columns if c not in keys]
     structs = {name: [c for c in other.columns if c not in keys] for name, other in others.items()}
