@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (str(ROOT), os.environ.get("PYTHONPATH", "")) if x)
 
 
@@ -38,14 +38,3 @@ def duck(tiny):
     for p in sorted(Path(tiny).glob("*.parquet")):
         held.sql(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
     return held
-
-
-def same_rows(got, want) -> None:
-    """Two pandas frames with equal columns and, whatever the order, equal rows."""
-    assert sorted(got.columns) == sorted(want.columns)
-    columns = sorted(got.columns)
-    assert len(got) == len(want)
-    got, want = (x[columns].sort_values(columns, ignore_index=True) for x in (got, want))
-    for c in columns:
-        differ = (got[c] != want[c]) & ~(got[c].isna() & want[c].isna())
-        assert not differ.any(), f"{c}: {got[c][differ].head(3).tolist()} and {want[c][differ].head(3).tolist()}"
