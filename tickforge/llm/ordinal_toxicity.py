@@ -9,7 +9,8 @@ severity, the sum of P(grade > k), the most likely grade, and whether P(grade >
 Fit: at most `sample` labelled rows of each class (the first by a hash of the id: a bounded
 fit, stated here) are turned into buckets on executors, and the driver fits w and theta by
 proximal AdaGrad, over the buckets that graded
-rows hold more often than chance (`LEAST_Z` standard deviations).  Labels say toxic or not; where they give no grades, the toxic rows get
+rows hold more often than chance (`LEAST_Z` standard deviations); clean and graded rows
+weigh alike, so that `least` means the same at any share of toxic rows.  Labels say toxic or not; where they give no grades, the toxic rows get
 1, 2 or 3 by thirds of how many terms they hold that toxic rows have far more often than
 others.  Scoring covers all rows in one pass, without a shuffle; the model, 8 MB at any
 size of input, is broadcast.
@@ -32,10 +33,10 @@ from .decontaminate import BETWEEN
 from .kernel import byte_view, prefix_hashes, slices, word_spans
 from .shared import table
 
-BITS, SAMPLE, GRADES, ROUNDS = 20, 4000, 4, 150
+BITS, SAMPLE, GRADES, ROUNDS = 20, 4000, 4, 300
 #: Bytes of a word's beginnings that are features beside the word.
 BEGINNINGS = (4, 5, 6, 7)
-L1, RATE, LEAST_DOCS, LEAST_Z, LEAST = 1e-5, 0.3, 4, 5.0, 0.3
+L1, RATE, LEAST_DOCS, LEAST_Z, LEAST = 0.0, 0.3, 4, 6.0, 0.5
 
 
 def buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,14 +77,15 @@ def grades_of(toxic: np.ndarray, rows: np.ndarray, words: np.ndarray, grades: in
 def fit(grade: np.ndarray, rows: np.ndarray, words: np.ndarray, rounds: int = ROUNDS, l1: float = L1, rate: float = RATE) -> Model:
     """Weights and thresholds for graded rows; (rows, words) are the buckets that rows hold, by row."""
     size, n, top = 1 << BITS, len(grade), int(grade.max(initial=0))
-    if not n or not top:
+    if not n or not top or grade.min() > 0:
         return Model(np.zeros(size), np.full(GRADES - 1, 60.0))
     many, prior = np.bincount(words, minlength=size), (grade > 0).mean()
     surplus = np.bincount(words[grade[rows] > 0], minlength=size) - prior * many
     telling = (many >= LEAST_DOCS) & (surplus >= LEAST_Z * np.sqrt(prior * (1 - prior) * many))
     rows, words = rows[telling[words]], words[telling[words]]
     w, past = np.zeros(size), np.full(size, 1e-8)
-    share = np.array([(grade > k).mean() for k in range(top)])
+    weight = np.where(grade > 0, 0.5 / prior, 0.5 / (1 - prior))  # clean and graded rows count alike, whatever the sample's shares
+    share = np.array([np.average(grade > k, weights=weight) for k in range(top)])
     theta = -np.log(np.clip(share, 1e-4, 1 - 1e-4) / (1 - np.clip(share, 1e-4, 1 - 1e-4)))
     theta_past = np.full(top, 1e-8)
     lower, upper = np.maximum(grade - 1, 0), np.minimum(grade, top - 1)
@@ -92,13 +94,13 @@ def fit(grade: np.ndarray, rows: np.ndarray, words: np.ndarray, rounds: int = RO
         a = np.where(grade > 0, _sigmoid(score - theta[lower]), 1.0)  # P(above the grade below)
         b = np.where(grade < top, _sigmoid(score - theta[upper]), 0.0)  # P(above the grade)
         p = np.maximum(a - b, 1e-9)
-        slope = (a + b - 1) / n  # of the loss by the score
+        slope = weight * (a + b - 1) / n  # of the loss by the score
         g = np.bincount(words, weights=slope[rows], minlength=size)
         past += g * g
         step = rate / np.sqrt(past)
         w = w - step * g
         w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
-        t = np.bincount(lower, weights=np.where(grade > 0, a * (1 - a) / p, 0), minlength=top) - np.bincount(upper, weights=np.where(grade < top, b * (1 - b) / p, 0), minlength=top)
+        t = np.bincount(lower, weights=weight * np.where(grade > 0, a * (1 - a) / p, 0), minlength=top) - np.bincount(upper, weights=weight * np.where(grade < top, b * (1 - b) / p, 0), minlength=top)
         t /= n
         theta_past += t * t
         theta = np.maximum.accumulate(theta - 0.2 * rate * t / np.sqrt(theta_past) + 1e-3 * np.arange(top)) - 1e-3 * np.arange(top)
