@@ -265,3 +265,20 @@ def one_of_each(docs: DataFrame, threshold: int = 80) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_classes(table(spark, sf_dir, "documents"))
+
+
+#: The same rows from all pairs that share a shingle, and the closure of links; for small tables.
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_aggregate(w[i:i + 4], 'string_agg', ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b USING (s) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT b, c FROM reach JOIN sides ON doc_id = a WHERE c < b)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, c) AS component_id, coalesce(k, 0)::BIGINT AS n_links
+FROM (SELECT doc_id, min(c) AS c FROM reach GROUP BY doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, count(*) AS k FROM sides GROUP BY a) USING (doc_id)
+"""

@@ -26,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_ngram_jaccard": ngram_jaccard.SQL,
         "op5_warc": warc.SQL,
         "op6_decontaminate": decontaminate.SQL,
     }
