@@ -142,3 +142,27 @@ def test_quality_of_bad_tables(spark):
     assert {"high_less_than_low", "negative_high"} <= kinds and not report["data_integrity"]["is_valid"]
     assert report["variance_analysis"]["zero_variance_count"] == 2 and report["correlation_analysis"]["max_correlation"] > 0.99
     assert quality.check_quality(df.limit(0)).count() == 0 and quality.empty_report()["overall_quality_score"] == 0
+
+
+def test_upsert_table_keeps_rows_of_more_than_10000_folders(spark, monkeypatch):
+    """Rows are looked at where they would be written, as 10,200 folders take minutes to write."""
+    read, path, seen = type(spark.read).parquet, scratch_path(spark, "many"), []
+    days = spark.range(10_200).select(F.lit("a").alias("symbol"), F.lit("1d").alias("interval"), F.timestamp_seconds(F.col("id") * 86400).alias("timestamp"))
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths: days.withColumn("date", F.to_date("timestamp")) if paths == (path,) else read(self, *paths))
+    monkeypatch.setattr(tables, "write_table", lambda df, *_: seen.extend(df.groupBy("symbol").count().collect()))
+    tables.upsert_table(spark, path, days.withColumn("symbol", F.lit("b")))
+    assert sorted(map(tuple, seen)) == [("a", 10_200), ("b", 10_200)]
+
+
+def test_upsert_table_leaves_other_folders(spark):
+    path = scratch_path(spark, "table")
+
+    def made(rows):
+        return spark.createDataFrame(rows, "symbol string, interval string, t string, close double").select("symbol", "interval", F.to_timestamp("t").alias("timestamp"), "close")
+
+    rows = [("a", i, f"2024-01-0{d} 01:00:00", float(d)) for i in ("1h", "1d") for d in range(1, 6)]
+    new = [("b", "1h", "2024-01-02 01:00:00", 9.0), ("a", "1d", "2024-01-04 01:00:00", 8.0), ("a", "1d", None, 7.0)]
+    for batch in (rows, new, [("b", "1d", None, 6.0)]):
+        tables.upsert_table(spark, path, made(batch))
+    got = spark.read.parquet(path).select("symbol", "interval", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), "close").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [r for r in rows if r[:3] != new[1][:3]] + new + [("b", "1d", None, 6.0)]))

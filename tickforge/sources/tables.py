@@ -54,10 +54,10 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: tuple[str, ...] = (*K
 
 
 def upsert_table(spark: SparkSession, path: str, incoming: DataFrame) -> None:
-    """Upsert into a table that write_table laid out; only the folders of touched intervals and dates are read and replaced."""
+    """Upsert into a table that write_table laid out; only the folders of touched intervals and dates are replaced, and only their span of dates is read."""
     incoming = incoming.withColumn("date", F.to_date("timestamp"))
-    touched = [r.asDict() for r in incoming.select("interval", "date").distinct().limit(10_000).collect()]
-    if not touched:
+    span = incoming.agg(F.min("date").alias("lo"), F.max("date").alias("hi"), F.count(F.lit(1)).alias("rows")).first()
+    if not span["rows"]:
         return
     try:
         held = spark.read.parquet(path)
@@ -66,8 +66,8 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame) -> None:
             raise
         merged = incoming
     else:
-        folders = F.lit(False)
-        for interval in {t["interval"] for t in touched}:
-            folders = folders | ((F.col("interval") == interval) & F.col("date").isin([t["date"] for t in touched if t["interval"] == interval]))
-        merged = settled(upsert(held.where(folders).select(*incoming.columns), incoming))
+        touched = incoming.select(F.col("interval").alias("__interval"), F.col("date").alias("__date")).distinct()  # however many
+        within = F.col("date").isNull() | F.col("date").between(*(F.lit(span[k]).cast("date") for k in ("lo", "hi")))  # prunes folders before the read
+        held = held.where(within).join(touched, F.col("interval").eqNullSafe(F.col("__interval")) & F.col("date").eqNullSafe(F.col("__date")), "left_semi")
+        merged = settled(upsert(held.select(*incoming.columns), incoming))
     write_table(merged.drop("date"), path, "overwrite")
