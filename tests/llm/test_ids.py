@@ -81,3 +81,13 @@ def test_files_of_lost_attempts_are_not_read(spark, documents, tokenizer):
     files.put(f"{path}/ids-000000-00000-lost.rpt", b"half a file")
     got = {r["doc_id"]: [x & 0xFFFFFFFF for x in r["ids"]] for r in I.read_shards(shards).collect()}
     assert got == {k: [*tokenizer.encode(prose(40, k), add_special_tokens=False).ids, 2] for k in range(6)}
+
+
+def test_long_stretches_without_cuts(documents, tokenizer):
+    cjk, numbers = "日本語の文章は空白を含まない。" * 6_667, "\n".join(str(k * 7919 % 100_003) for k in range(100_000))
+    check(documents(cjk, "short", numbers, "字" * 100_000, cjk + "x", None, numbers.replace("\n", "\t"), cjk), tokenizer)
+    pieces = I.Pieces(I.default_tokenizer())
+    data, offsets = byte_view(pa.array([cjk, numbers, "a b", cjk], pa.string()))
+    for _ in range(2):
+        assert pieces.encode(data, offsets)[1].tolist() == [len(tokenizer.encode(t).ids) for t in (cjk, numbers, "a b", cjk)]
+    assert len(pieces.recent.ids) < 10  # long pieces are not held

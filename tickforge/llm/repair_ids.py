@@ -50,6 +50,7 @@ END_ID = 2
 SHARD_IDS = 1 << 20
 ROUNDS, RULES_PER_ROUND, LEAST_COUNT = 4, 2048, 32
 MOST_PIECES, RECENT_PIECES = 1_500_000, 100_000
+LONG_PIECE = 1024  # bytes; longer ones are encoded where they occur and not held
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _MARK = np.zeros(256, bool)
@@ -80,7 +81,7 @@ class Known:
     """Ids of pieces by hash, in a large sorted table and a small recent one that is merged into it now and then."""
 
     def __init__(self):
-        self.keys, self.starts, self.sizes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint16), np.zeros(0, np.uint16)
+        self.keys, self.starts, self.sizes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint16)
 
     def place(self, keys: np.ndarray) -> np.ndarray:
         """The entry of each key, or -1."""
@@ -92,7 +93,7 @@ class Known:
         """Keys are new here and sorted; ids are theirs, one key after another."""
         starts = len(self.ids) + np.cumsum(sizes) - sizes
         at = np.searchsorted(self.keys, keys)
-        self.keys, self.starts, self.sizes = np.insert(self.keys, at, keys), np.insert(self.starts, at, starts.astype(np.uint32)), np.insert(self.sizes, at, sizes.astype(np.uint16))
+        self.keys, self.starts, self.sizes = np.insert(self.keys, at, keys), np.insert(self.starts, at, starts.astype(np.uint32)), np.insert(self.sizes, at, sizes.astype(np.uint32))
         self.ids = np.concatenate([self.ids, ids])
 
     def spread(self, entries: np.ndarray) -> np.ndarray:
@@ -115,17 +116,15 @@ class Pieces:
             raise ValueError("token ids of more than 16 bits")
         self.old, self.recent = Known(), Known()
 
-    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
-        """Encode pieces of new, sorted keys; one of letters after a space at most is one word to the model."""
+    def _learn(self, held: Known, keys: np.ndarray, pieces: list[bytes]) -> None:
+        """Encode pieces of sorted keys that are new to held into it; one of letters after a space at most is one word to the model."""
         model, table_ = self.tokenizer.model, _BYTE_LETTERS
         ids = [[t.id for t in model.tokenize(p.decode("latin-1").translate(table_))] if (p[1:] if p[:1] == b" " else p).decode().isalpha() else None for p in pieces]
         odd = [i for i, x in enumerate(ids) if x is None]
         for i, got in zip(odd, self.tokenizer.encode_batch_fast([pieces[i].decode() for i in odd], add_special_tokens=False)):
             ids[i] = got.ids
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        if len(sizes) and sizes.max() >= 1 << 16:
-            raise ValueError("a piece of more than 65535 ids")
-        self.recent.add(keys, sizes, np.fromiter(chain.from_iterable(ids), np.uint16, int(sizes.sum())))
+        held.add(keys, sizes, np.fromiter(chain.from_iterable(ids), np.uint16, int(sizes.sum())))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, how many of each document) of data[offsets[0]:offsets[-1]]."""
@@ -145,19 +144,22 @@ class Pieces:
         ends = np.append(starts[1:], n)
         keys = span_hashes(raw, starts, ends, _BYTE_CODE)
         known, first, at = np.unique(keys, return_index=True, return_inverse=True)
-        old, recent = self.old.place(known), self.recent.place(known)
-        new = np.flatnonzero((old < 0) & (recent < 0))
-        if len(new):
-            buf = raw.tobytes()
-            self._learn(known[new], [buf[starts[i] : ends[i]] for i in first[new].tolist()])
-            recent = self.recent.place(known)
+        old, recent, once = self.old.place(known), self.recent.place(known), Known()
+        missing, long = (old < 0) & (recent < 0), (ends - starts)[first] > LONG_PIECE
+        buf = raw.tobytes() if missing.any() else b""
+        for held, new in ((self.recent, np.flatnonzero(missing & ~long)), (once, np.flatnonzero(missing & long))):
+            if len(new):
+                self._learn(held, known[new], [buf[starts[i] : ends[i]] for i in first[new].tolist()])
+        places = (self.old, old), (self.recent, self.recent.place(known)), (once, once.place(known))
         both = Known()
-        own = old < 0
-        sizes = np.where(own, self.recent.sizes[recent] if len(self.recent.keys) else 0, self.old.sizes[old] if len(self.old.keys) else 0)
-        ids = np.empty(int(sizes.sum(dtype=np.int64)), np.uint16)
-        fill = np.repeat(own, sizes)
-        ids[fill], ids[~fill] = self.recent.spread(recent[own]), self.old.spread(old[~own])
-        both.add(known, sizes.astype(np.int64), ids)
+        owner = np.where(old >= 0, 0, np.where(places[1][1] >= 0, 1, 2))
+        sizes = np.zeros(len(known), np.int64)
+        for k, (held, at_held) in enumerate(places):
+            sizes[owner == k] = held.sizes[at_held[owner == k]]
+        ids, fill = np.empty(int(sizes.sum()), np.uint16), np.repeat(owner.astype(np.uint8), sizes)
+        for k, (held, at_held) in enumerate(places):
+            ids[fill == k] = held.spread(at_held[owner == k])
+        both.add(known, sizes, ids)
         if len(self.recent.keys) > RECENT_PIECES:
             if len(self.old.keys) > MOST_PIECES:
                 self.old = Known()
