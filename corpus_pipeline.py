@@ -30,7 +30,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repair_ids.encode_documents(docs)
+    return repair_ids.encode_documents(docs, added_tokens=True)
 
 
 STAGES = [

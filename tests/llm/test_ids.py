@@ -91,3 +91,16 @@ def test_long_stretches_without_cuts(documents, tokenizer):
     for _ in range(2):
         assert pieces.encode(data, offsets)[1].tolist() == [len(tokenizer.encode(t).ids) for t in (cjk, numbers, "a b", cjk)]
     assert len(pieces.recent.ids) < 10  # long pieces are not held
+
+
+def test_queries_give_ids_of_an_untouched_tokenizer(spark, documents, monkeypatch):
+    import corpus_pipeline
+
+    untouched, end = Tokenizer.from_file(I.default_tokenizer()), "<|endoftext|>"
+    texts = [f"a {end} b", f"{end}{end}  x  {end}", end, f"a{end}b. {end}", "<|endof", f"text|> {end}", "a#b <|endoftext |>", f"\n {end}\u3000 x", f"é{end}<|{end}|>", "c"]
+    df = documents(*texts)
+    monkeypatch.setattr(I, "table", lambda *_: df)
+    for found in (I.query(spark, ""), corpus_pipeline.encode_ids(spark, df, "")):
+        check_rows = [(r["n_tokens"], r["ids_crc32"]) for r in found.orderBy("start").collect()]
+        want = [[*untouched.encode(t, add_special_tokens=False).ids, I.END_ID] for t in texts]
+        assert check_rows == [(len(w), zlib.crc32(np.array(w, "<u4").tobytes())) for w in want]

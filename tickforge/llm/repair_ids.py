@@ -21,7 +21,9 @@ the list are read, so a lost executor leaves nothing wrong.
 Tokenising: a text is cut before single spaces between characters that can't be white
 space, and between an ASCII letter and punctuation, where a byte-level pre-tokeniser of this
 kind always starts a new word, and each
-different piece of a batch is encoded once by the tokenizers library.
+different piece of a batch is encoded once by the tokenizers library.  With added_tokens, as
+in the queries, an added token's string in a text is one piece and gives that token's id, as
+an untouched tokenizer does; without, it is ordinary text.
 
 Null texts are empty documents: they hold only the end id.  Repeated ids stay together,
 one document a row, ordered by text.  An empty table gives no files and no rows.
@@ -30,6 +32,7 @@ one document a row, ordered by text.  An empty table gives no files and no rows.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from functools import lru_cache
@@ -105,12 +108,16 @@ class Known:
 class Pieces:
     """Encodes texts piece by piece, each different piece once as long as it is held."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel units
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are then ordinary text
+        self.tokenizer.encode_special_tokens = not added_tokens  # special tokens' strings in a text are then ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values() if added_tokens else []
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added):
+            raise ValueError("added tokens that depend on what is beside them")
+        self.added = re.compile(b"|".join(re.escape(t.content.encode()) for t in sorted(added, key=lambda t: -len(t.content)))) if added else None
         self.first_new = self.tokenizer.get_vocab_size(with_added_tokens=True)
         if self.first_new > 1 << 16:
             raise ValueError("token ids of more than 16 bits")
@@ -126,6 +133,16 @@ class Pieces:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         held.add(keys, sizes, np.fromiter(chain.from_iterable(ids), np.uint16, int(sizes.sum())))
 
+    def _added_spans(self, raw: np.ndarray, local: np.ndarray) -> list[tuple[int, int]]:
+        """Where strings of added tokens stand, each in one document."""
+        found, buf, at = [], raw.tobytes() if self.added else b"", 0
+        while self.added and (m := self.added.search(buf, at)):
+            lo, hi = m.span()
+            within = hi <= local[np.searchsorted(local, lo, "right")]
+            found += [(lo, hi)] if within else []
+            at = hi if within else lo + 1
+        return found
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, how many of each document) of data[offsets[0]:offsets[-1]]."""
         lo, hi = int(offsets[0]), int(offsets[-1])
@@ -140,6 +157,8 @@ class Pieces:
                 inner &= ~(wide & ((back1 == 0xC2) | np.isin(back2, (0xE1, 0xE2, 0xE3))))
             cut[1 : n - 1] = inner | (_LETTER[raw[:-2]] & _MARK[raw[1:-1]])
         cut[local] = True
+        for lo, hi in self._added_spans(raw, local):
+            cut[lo], cut[lo + 1 : hi], cut[hi] = True, False, True
         starts = np.flatnonzero(cut[:n])
         ends = np.append(starts[1:], n)
         keys = span_hashes(raw, starts, ends, _BYTE_CODE)
@@ -170,9 +189,9 @@ class Pieces:
 
 
 @lru_cache(maxsize=1)
-def _pieces(tokenizer: str) -> Pieces:
+def _pieces(tokenizer: str, added_tokens: bool = False) -> Pieces:
     """The worker's own, kept from task to task."""
-    return Pieces(tokenizer)
+    return Pieces(tokenizer, added_tokens)
 
 
 def re_pair(ids: np.ndarray, end_id: int, first_new: int, rounds: int = ROUNDS, rules_per_round: int = RULES_PER_ROUND, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
@@ -291,12 +310,12 @@ class Shard:
         return expand(self.seq, self.rules, self.lengths, self.first_new)
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS) -> DataFrame:
+def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS, added_tokens: bool = False) -> DataFrame:
     """Write the documents' ids as shard files under path; the list of shards (uri, first_doc, last_doc, docs, ids, part, number), in order of (part, number)."""
     tokenizer = tokenizer or default_tokenizer()
 
     def run(batches):
-        pieces, part, attempt, number = _pieces(tokenizer), TaskContext.get().partitionId(), uuid.uuid4().hex[:12], 0
+        pieces, part, attempt, number = _pieces(tokenizer, added_tokens), TaskContext.get().partitionId(), uuid.uuid4().hex[:12], 0
         names: list = []
         counts: list[np.ndarray] = []
         ids: list[np.ndarray] = []
@@ -362,9 +381,9 @@ def shard_digests(shards: DataFrame) -> DataFrame:
     return _with_starts(shards).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def encode_documents(docs: DataFrame) -> DataFrame:
-    return shard_digests(write_shards(docs, fresh_path(docs.sparkSession, "ids")))
+def encode_documents(docs: DataFrame, added_tokens: bool = False) -> DataFrame:
+    return shard_digests(write_shards(docs, fresh_path(docs.sparkSession, "ids"), added_tokens=added_tokens))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_documents(table(spark, sf_dir, "documents"))
+    return encode_documents(table(spark, sf_dir, "documents"), added_tokens=True)
