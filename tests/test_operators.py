@@ -166,3 +166,21 @@ def test_upsert_table_leaves_other_folders(spark):
         tables.upsert_table(spark, path, made(batch))
     got = spark.read.parquet(path).select("symbol", "interval", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), "close").collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, [r for r in rows if r[:3] != new[1][:3]] + new + [("b", "1d", None, 6.0)]))
+
+
+def test_stream_gives_features_of_every_new_bar(spark):
+    from tickforge.streaming import jobs
+
+    (source, table, out, state), lookback = (scratch_path(spark, n) for n in ("source", "held", "live", "state")), 25
+    whole = klines(spark, [10.0 + (i * 7 % 11) for i in range(40)], "A@1").unionByName(klines(spark, [20.0 + (i * 5 % 13) for i in range(31)], "B")).coalesce(1).persist()
+    cut = F.col("timestamp") < F.lit(T0 + timedelta(hours=23))
+    for part in (whole.where(cut), whole.where(~cut)):
+        part.write.mode("append").parquet(source)
+        jobs.stream_features(spark.readStream.schema(KLINE).parquet(source), table, out, state, lookback, None).awaitTermination()
+    got = {(r["symbol"], r["timestamp"]): r for r in spark.read.parquet(out).collect()}
+    times = [r["timestamp"] for r in whole.where("symbol = 'A@1'").orderBy("timestamp").collect()]
+    assert set(got) == {("A@1", t) for t in times[19:]} | {("B", t) for t in times[19:31]}
+    for k in (19, 22, 23, 24, 30, 39):
+        for r in features.features_latest(whole.where(F.col("timestamp") <= F.lit(T0 + timedelta(hours=k))), lookback).collect():
+            if (r["symbol"], times[k]) in got and r["timestamp"] == times[k]:
+                assert [got[r["symbol"], times[k]][c] for c in VALUES] == [r[c] if r[c] is None else pytest.approx(r[c], rel=1e-9) for c in VALUES]

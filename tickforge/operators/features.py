@@ -49,6 +49,22 @@ def features_latest(klines: DataFrame, lookback: int = 300, least_rows: int = 20
     return found.withColumn("__place", F.row_number().over(newest)).where("__place = 1").drop("__place")
 
 
+def features_each(klines: DataFrame, new: DataFrame, lookback: int = 300, least_rows: int = 20) -> DataFrame:
+    """features_latest as of every bar of new (KEY, timestamp): each from its own newest `lookback` bars of klines.
+
+    A bar of klines goes once to each new bar that looks back on it, and these windows, not series, are the groups.
+    """
+    newest_first = Window.partitionBy(*KEY).orderBy(F.col("timestamp").desc())
+    placed = klines.join(new.select(*KEY, "timestamp").distinct().withColumn("__new", F.lit(True)), [*KEY, "timestamp"], "left").withColumn("__place", F.row_number().over(newest_first))
+    next_new = F.max(F.when(F.col("__new"), F.col("__place"))).over(newest_first.rowsBetween(Window.unboundedPreceding, 0))
+    seen = placed.withColumn("__next", next_new).where(F.col("__place") - F.col("__next") < lookback)
+    ahead = Window.partitionBy(*KEY).orderBy("__place").rangeBetween(1 - lookback, 0)
+    dealt = seen.withColumn("__of", F.collect_list(F.when(F.col("__new"), F.unix_micros("timestamp"))).over(ahead)).withColumn("__of", F.explode("__of"))
+    named = dealt.withColumn("symbol", F.concat("symbol", F.lit("@"), F.col("__of").cast("string"))).drop("__new", "__place", "__next", "__of")
+    last = features(named, least_rows).where(F.substring_index("symbol", "@", -1).cast("long") == F.unix_micros("timestamp"))
+    return last.withColumn("symbol", F.regexp_replace("symbol", "@-?[0-9]+$", ""))
+
+
 REALTIME = (*(f"ema_{n}" for n in AVERAGES), "rsi_14", "atr_14")
 
 

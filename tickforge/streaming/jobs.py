@@ -13,10 +13,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.bars import _span, trade_bar_columns
 from ..operators.clean import closed_only, dedupe_last
-from ..operators.features import features_latest
+from ..operators.features import features_each
 from ..schema import KEY, KLINE
 from ..sources.messages import message_to_kline, parse_ws_klines
-from ..sources.tables import latest_n, upsert_table
+from ..sources.scratch import settled
+from ..sources.tables import upsert_table
 
 
 def stream_klines(source: DataFrame, kind: str = "websocket", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -62,7 +63,7 @@ def upsert_sink(rows: DataFrame, path: str, checkpoint: str, order_col: str | No
 
 
 def stream_features(klines: DataFrame, table: str, out: str, checkpoint: str, lookback: int = 300, every: str | None = "15 seconds") -> StreamingQuery:
-    """On new bars: upsert them, and upsert the newest row's features of each touched series from its newest `lookback` bars."""
+    """On new bars: upsert them, and upsert each new bar's features from its own newest `lookback` bars, however many a trigger brings."""
 
     def write(batch: DataFrame, _: int) -> None:
         batch = batch.persist()
@@ -70,7 +71,7 @@ def stream_features(klines: DataFrame, table: str, out: str, checkpoint: str, lo
         upsert_table(spark, table, batch)
         touched = batch.select(*KEY).distinct()
         held = spark.read.parquet(table).drop("date").join(F.broadcast(touched), list(KEY), "left_semi") if touched.count() < 100_000 else spark.read.parquet(table).drop("date").join(touched, list(KEY), "left_semi")
-        upsert_table(spark, out, features_latest(latest_n(held.select(*KLINE.names), lookback), lookback))
+        upsert_table(spark, out, settled(features_each(held.select(*KLINE.names), batch, lookback)))
         batch.unpersist()
 
     return _each_batch(klines, write, checkpoint, every)
