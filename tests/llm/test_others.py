@@ -232,3 +232,15 @@ def test_broken_pages(spark):
     assert [got[k]["text"] for k in (1, 2)] == ["", ""] and got[2]["url"] is None
     assert got[5]["text"] == "A & B\nSome <text> that is long énough.\nMore text follows here."
     assert html_extraction.extracted(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_broken_pages_lose_no_main_text(spark):
+    body = "<article><h1>A headline here</h1><p>Article text that is long enough.</p></article>"
+    before = ("<svg-icon name=x></svg-icon>", "<title-bar>", "<select-box></select-box>", "<object-view>", "<svg viewBox='0 0 1 1'/>", "<math/>", "<svg>", "<select><option>", "<noscript>", "<canvas>", "<object data=x>", "<math>")
+    got = [page_model.main_text(f"<p>a</p>{x}{body}", page_model.train(page_model.labelled_pages(60))) for x in before]
+    assert [x for x, text in zip(before, got) if "Article text that is long enough." not in text] == []
+    inside = "<article><h1>A headline here</h1><p>The sum <math><mi>x</mi><mo>+</mo><mn>1</mn><mspace/></math> is larger than <canvas>a drawn curve</canvas> here.</p><object data=x><p>This is the fallback text of it.</p></object><p>Text <svg><text>no</text></svg>goes on <select><option>no</select>to its end.</p></article>"
+    row = html_extraction.extracted(spark.createDataFrame([(1, "u", inside)], PAGES)).first()
+    assert row["text"] == "A headline here\nThe sum x+1 is larger than a drawn curve here.\nThis is the fallback text of it.\nText goes on to its end."
+    many = "<select><svg>" * 100_000 + body  # each end tag that is missing is looked for once
+    assert len(page_model.parse(many).nodes) > 100_000

@@ -22,10 +22,14 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 #: Start and end tags, comments, and elements whose inside isn't markup (group 1 of theirs is the name).
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(script|style|noscript|template|textarea|iframe|object|svg|math|title|select|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(script|style|template|textarea|iframe|title)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+#: Elements that are passed over whole where their end tag follows; without one, what comes after is read on.
+SKIPPED = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("noscript", "select", "svg")}
 ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))|([^\s=\"'/]+)")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var button".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var button canvas object".split())
+MATH = frozenset("math annotation maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+INLINE |= MATH
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 #: Opening one of these closes an open one of the others, up to the stop.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
@@ -121,8 +125,8 @@ def parse(page: str) -> Tree:
             skipping -= tag == "head"
         del stack[to:]
 
-    last = 0
-    for m in TOKEN.finditer(page):
+    last, endless = 0, set()
+    while m := TOKEN.search(page, last):
         if m.start() > last:
             piece = page[last : m.start()]
             pieces.append(piece)
@@ -141,6 +145,13 @@ def parse(page: str) -> Tree:
                 if tag in INLINE and stack[i][0] not in INLINE:
                     break
             continue
+        if m[4].endswith("/") and (tag == "svg" or tag in MATH):
+            continue
+        if tag in SKIPPED and tag not in endless:
+            if end := SKIPPED[tag].search(page, last):
+                last = end.end()
+                continue
+            endless.add(tag)
         if tag in VOID:
             if tag == "br" or tag == "hr":
                 pieces.append(" ") if tag == "br" else flush()
