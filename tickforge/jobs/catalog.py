@@ -361,9 +361,15 @@ def _landed(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def _stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stream_bars_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bars that the stream emits: those whose end the newest trade has passed by the lateness."""
     t = adapter.trades(spark, sf_dir)
-    return _klines(_landed(streams.stream_bars(_spooled(spark, t, "trades"), "1d", "1 hour"), "bars")).where(F.col("ts") < F.unix_micros(F.to_timestamp(F.lit("2024-01-29 00:00:00"))))
+    return _klines(_landed(streams.stream_bars(_spooled(spark, t, "trades"), "1d", "1 hour"), "bars"))
+
+
+def _stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of these the bars that its SQL holds, which ends at a constant day."""
+    return _stream_bars_closed(spark, sf_dir).where(F.col("ts") < F.unix_micros(F.to_timestamp(F.lit("2024-01-29 00:00:00"))))
 
 
 def _stream_monotonic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -465,6 +471,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "stream_monotonic": (_stream_monotonic, _klines_sql()),
     "stream_upsert": (_stream_upsert, _klines_sql()),
     "stream_bars": (_stream_bars, _klines_sql("1d", where="WHERE timestamp < TIMESTAMP '2024-01-29'")),
+    "stream_bars_closed": (_stream_bars_closed, _klines_sql("1d", where="WHERE timestamp + INTERVAL 1 DAY <= (SELECT max(timestamp) FROM trades) - INTERVAL 1 HOUR")),
     "stream_features": (_stream_features, LIVE_SQL),
 }
 
