@@ -3,21 +3,31 @@
 Model: P(grade > k) = sigmoid(w . x - theta_k), theta ascending: one weight vector for all
 thresholds.  x has a 1 for each bucket (a hash of a lower-cased word, or of its first 4 to 7
 bytes; words are runs of ASCII letters and digits and of non-ASCII bytes) that a text holds.  Out come the expected
-severity, the sum of P(grade > k), the most likely grade, and whether P(grade > 0) reaches
-`least`.
+severity, the sum of P(grade > k), the most likely grade, and whether the text is rejected.
 
 Fit: at most `sample` labelled rows of each class (the first by a hash of the id: a bounded
-fit, stated here) are turned into buckets on executors, and the driver fits w and theta by
-proximal AdaGrad, over the buckets that graded
-rows hold more often than chance (`LEAST_Z` standard deviations); clean and graded rows
-weigh alike, so that `least` means the same at any share of toxic rows.  Labels say toxic or not; where they give no grades, the toxic rows get
-1, 2 or 3 by thirds of how many terms they hold that toxic rows have far more often than
-others.  Scoring covers all rows in one pass, without a shuffle; the model, 8 MB at any
-size of input, is broadcast.
-
-Null and wordless texts score as x = 0.  Without rows of both classes the severity is 0
-everywhere.  Repeated rows score alike; null labels and ids are not learned from; further
-columns are not looked at.
+fit, stated here) are turned into buckets on executors.  Counts by bucket choose the telling
+ones: those that graded rows hold more often than the largest of as many chance deviations
+(signed root of the likelihood ratio against sqrt(2 ln of the number of buckets)).  The driver
+gets each sampled row's telling buckets only, and fits w and theta by AdaGrad with a ridge;
+clean and graded rows weigh alike in it.  Then all thresholds move by one number, so that
+the mean of P(grade > 0) is the share of graded rows among all labelled ones: severities are
+calibrated.  A text is rejected where its evidence, with clean and graded rows taken as
+equally many, reaches `least`, and is not nothing: a text without telling buckets stays.
+Where labels teach nothing, nothing is rejected and severities are 0.
+
+Labels are grades from 0 up.  Where they only say toxic or not, the toxic rows get 1, 2 or 3
+by thirds of how many telling buckets they hold: such grades order evidence, and aren't a
+second opinion on it.  Scoring covers all rows in one pass, without a shuffle; the model,
+8 MB at any size of input, is broadcast.
+
+Null, empty and wordless texts have no evidence: never rejected, and of the severity of a
+text with no telling bucket.  Very long texts are worked through whole, in memory
+proportional to the one text; a bucket counts once however often a text holds it.  Equal
+evidence at the threshold rejects; ties of grades take the lower one.  Repeated rows score
+alike, and repeated labels of an id count once, at the highest.  Without rows of both classes
+the severity is 0 everywhere.  Null labels and ids are not learned from.  An empty table gives
+no rows.  Further columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,13 +40,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import BETWEEN
-from .kernel import byte_view, prefix_hashes, slices, word_spans
-from .shared import table
+from .kernel import byte_view, prefix_hashes, shingle_sets, slices, word_spans
+from .shared import stored, table
 
-BITS, SAMPLE, GRADES, ROUNDS = 20, 4000, 4, 300
+BITS, SAMPLE, GRADES, ROUNDS = 20, 4000, 4, 1000
 #: Bytes of a word's beginnings that are features beside the word.
 BEGINNINGS = (4, 5, 6, 7)
-L1, RATE, LEAST_DOCS, LEAST_Z, LEAST = 0.0, 0.3, 4, 6.0, 0.5
+RIDGE, RATE, LEAST_DOCS, LEAST = 1e-3, 0.3, 4, 0.5
 
 
 def buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,40 +63,49 @@ def buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class Model:
     weights: np.ndarray
     thresholds: np.ndarray
+    even: float = 60.0  # the score at which evidence is even, with clean and graded rows equally many
 
     def above(self, score: np.ndarray) -> np.ndarray:
         """P(grade > k) for each score and k."""
-        return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
+        return _sigmoid(score[:, None] - self.thresholds[None, :])
+
+    def rejects(self, score: np.ndarray, least: float = LEAST) -> np.ndarray:
+        return (score > 0) & (_sigmoid(score - self.even) >= least)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def grades_of(toxic: np.ndarray, rows: np.ndarray, words: np.ndarray, grades: int = GRADES) -> np.ndarray:
+def ignorant() -> Model:
+    """The model of labels that teach nothing: severity 0, and no text is rejected."""
+    return Model(np.zeros(1 << BITS), np.full(GRADES - 1, 60.0))
+
+
+def deviation(many: np.ndarray, graded_: np.ndarray, share: float) -> np.ndarray:
+    """Signed root of the likelihood ratio of `graded_` of `many` against the share; about normal by chance."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.nan_to_num(graded_ * np.log(graded_ / (many * share))) + np.nan_to_num((many - graded_) * np.log((many - graded_) / (many * (1 - share))))
+    return np.sign(graded_ - many * share) * np.sqrt(2 * np.maximum(ratio, 0))
+
+
+def thirds(toxic: np.ndarray, held: np.ndarray, grades: int = GRADES) -> np.ndarray:
     """0 for rows that aren't toxic; for others 1.. by how many telling buckets they hold."""
-    size = 1 << BITS
-    many = [np.bincount(words[toxic[rows] == k], minlength=size) for k in (0, 1)]
-    odds = np.log((many[1] + 0.5) / (toxic.sum() + 1)) - np.log((many[0] + 0.5) / ((toxic == 0).sum() + 1))
-    telling = (odds > 2) & (many[1] >= max(LEAST_DOCS, 0.01 * toxic.sum()))
-    held = np.bincount(rows, weights=telling[words], minlength=len(toxic))
     cuts = np.quantile(held[toxic == 1], np.arange(1, grades - 1) / (grades - 1))
     return np.where(toxic == 1, 1 + (held[:, None] > cuts[None, :]).sum(axis=1), 0)
 
 
-def fit(grade: np.ndarray, rows: np.ndarray, words: np.ndarray, rounds: int = ROUNDS, l1: float = L1, rate: float = RATE) -> Model:
-    """Weights and thresholds for graded rows; (rows, words) are the buckets that rows hold, by row."""
-    size, n, top = 1 << BITS, len(grade), int(grade.max(initial=0))
-    if not n or not top or grade.min() > 0:
-        return Model(np.zeros(size), np.full(GRADES - 1, 60.0))
-    many, prior = np.bincount(words, minlength=size), (grade > 0).mean()
-    surplus = np.bincount(words[grade[rows] > 0], minlength=size) - prior * many
-    telling = (many >= LEAST_DOCS) & (surplus >= LEAST_Z * np.sqrt(prior * (1 - prior) * many))
-    rows, words = rows[telling[words]], words[telling[words]]
-    w, past = np.zeros(size), np.full(size, 1e-8)
+def fit(grade: np.ndarray, rows: np.ndarray, words: np.ndarray, share: float | None = None, rounds: int = ROUNDS, ridge: float = RIDGE, rate: float = RATE) -> Model:
+    """Weights and thresholds for graded rows; (rows, words) are the telling buckets that rows hold, by row; share: of graded rows among all (that of these rows if not given)."""
+    n, top = len(grade), int(grade.max(initial=0))
+    if not n or not top or grade.min() > 0 or not len(words):
+        return ignorant()
+    prior = (grade > 0).mean()
+    known, words = np.unique(words, return_inverse=True)
+    w, past = np.zeros(len(known)), np.full(len(known), 1e-8)
     weight = np.where(grade > 0, 0.5 / prior, 0.5 / (1 - prior))  # clean and graded rows count alike, whatever the sample's shares
-    share = np.array([np.average(grade > k, weights=weight) for k in range(top)])
-    theta = -np.log(np.clip(share, 1e-4, 1 - 1e-4) / (1 - np.clip(share, 1e-4, 1 - 1e-4)))
+    above = np.clip([np.average(grade > k, weights=weight) for k in range(top)], 1e-4, 1 - 1e-4)
+    theta = -np.log(above / (1 - above))
     theta_past = np.full(top, 1e-8)
     lower, upper = np.maximum(grade - 1, 0), np.minimum(grade, top - 1)
     for _ in range(rounds):
@@ -95,42 +114,83 @@ def fit(grade: np.ndarray, rows: np.ndarray, words: np.ndarray, rounds: int = RO
         b = np.where(grade < top, _sigmoid(score - theta[upper]), 0.0)  # P(above the grade)
         p = np.maximum(a - b, 1e-9)
         slope = weight * (a + b - 1) / n  # of the loss by the score
-        g = np.bincount(words, weights=slope[rows], minlength=size)
+        g = np.bincount(words, weights=slope[rows], minlength=len(known)) + ridge * w
         past += g * g
-        step = rate / np.sqrt(past)
-        w = w - step * g
-        w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
+        w = w - rate / np.sqrt(past) * g
         t = np.bincount(lower, weights=weight * np.where(grade > 0, a * (1 - a) / p, 0), minlength=top) - np.bincount(upper, weights=weight * np.where(grade < top, b * (1 - b) / p, 0), minlength=top)
         t /= n
         theta_past += t * t
-        theta = np.maximum.accumulate(theta - 0.2 * rate * t / np.sqrt(theta_past) + 1e-3 * np.arange(top)) - 1e-3 * np.arange(top)
-    return Model(w, theta)
+        theta = np.maximum.accumulate(theta - rate * t / np.sqrt(theta_past) + 1e-3 * np.arange(top)) - 1e-3 * np.arange(top)
+    score, share = np.bincount(rows, weights=w[words], minlength=n), prior if share is None else share
+    real = weight * np.where(grade > 0, share, 1 - share)
+    lo, hi = -40.0, 40.0
+    for _ in range(60):  # the move of the thresholds at which the mean of P(grade > 0) is the share
+        move = (lo + hi) / 2
+        lo, hi = (move, hi) if np.average(_sigmoid(score - theta[0] - move), weights=real) > share else (lo, move)
+    whole = np.zeros(1 << BITS)
+    whole[known] = w
+    return Model(whole, theta + move, float(theta[0]))
+
+
+def _telling(sampled: DataFrame, share: float) -> np.ndarray:
+    """Buckets of the sampled rows (label, words) that graded rows hold more often than chance explains."""
+
+    def run(batches):
+        many, bad = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+        for batch in batches:
+            for label, words in zip(*(c.to_pylist() for c in batch.columns)):
+                at = np.frombuffer(words, np.uint32)
+                many[at] += 1
+                bad[at] += label > 0
+        at = np.flatnonzero(many)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(many[at]), pa.array(bad[at])], ["bucket", "many", "bad"])
+
+    counted = sampled.select("label", "words").mapInArrow(run, "bucket long, many long, bad long").groupBy("bucket").agg(F.sum("many").alias("many"), F.sum("bad").alias("bad")).where(F.col("many") >= LEAST_DOCS)
+    counted = stored(counted, "toxicity-counts")
+    tested = counted.count()
+    more = counted.where(F.col("bad") > share * F.col("many")).toPandas().sort_values("bucket")  # a bucket a row: 2 ** BITS at most
+    z = deviation(more["many"].to_numpy(float), more["bad"].to_numpy(float), share)
+    return more["bucket"].to_numpy()[z >= np.sqrt(2 * np.log(max(2, tested)))]
 
 
 def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample: int = SAMPLE) -> Model:
-    """Fit on at most `sample` labelled rows of each class of label_col (0 or 1)."""
-    known = labels.select(F.col("doc_id").cast("long").alias("of"), F.col(label_col).cast("int").alias("label")).where("of is not null and label in (0, 1)").groupBy("of").agg(F.max("label").alias("label"))
-    some = [known.where(F.col("label") == k).orderBy(F.xxhash64("of"), "of").limit(sample) for k in (0, 1)]
+    """Fit on at most `sample` labelled rows of clean (label 0) and of graded ones (1 and up)."""
+    known = labels.select(F.col("doc_id").cast("long").alias("of"), F.col(label_col).cast("int").alias("label")).where("of is not null and label >= 0").groupBy("of").agg(F.max("label").alias("label"))
+    some = [known.where(k).orderBy(F.xxhash64("of"), "of").limit(sample) for k in ("label = 0", "label > 0")]
     few = F.broadcast(some[0].unionByName(some[1]))  # 2 * sample rows at most
 
     def run(batches):
         for batch in batches:
             data, offsets = byte_view(batch.column(2))
-            held = []
+            held, sketch = [], np.zeros(batch.num_rows, np.uint64)
             for lo, hi in slices(offsets):
                 doc, words = buckets(data, offsets[lo : hi + 1])
                 held += [x.astype(np.uint32).tobytes() for x in np.split(words, np.searchsorted(doc, np.arange(1, hi - lo)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(held, pa.binary())], ["doc_id", "label", "words"])
+                hashes, doc = shingle_sets(data, offsets[lo : hi + 1])
+                first = np.append(True, doc[1:] != doc[:-1])[: len(doc)]
+                sketch[lo + doc[first]] = hashes[first]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(held, pa.binary()), pa.array(sketch.view(np.int64))], ["doc_id", "label", "words", "sketch"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(few, F.col("doc_id") == F.col("of")).select("doc_id", "label", "text")
-    got = sorted(own.mapInArrow(run, "doc_id long, label int, words binary").collect(), key=lambda r: (r["doc_id"], bytes(r["words"])))
-    toxic = np.array([r["label"] for r in got], np.int64)
-    if not len(got) or toxic.min() == toxic.max():
-        return fit(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    found = own.mapInArrow(run, "doc_id long, label int, words binary, sketch long")
+    once = found.groupBy("label", "sketch").agg(F.min(F.struct("doc_id", "words")).alias("r"))  # near copies of one text aren't further evidence
+    sampled = stored(once.select("r.doc_id", "label", "r.words"), "toxicity-sample")
+    counts = sampled.agg(F.count("*").alias("rows"), F.count(F.when(F.col("label") > 0, 1)).alias("graded")).first()
+    if not 0 < counts["graded"] < counts["rows"]:
+        return ignorant()
+    share = known.agg(F.avg((F.col("label") > 0).cast("double")).alias("share")).first()["share"]
+    telling = _telling(sampled, counts["graded"] / counts["rows"])
+
+    def only_telling(batches):
+        for batch in batches:
+            words = [np.frombuffer(x, np.uint32) for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[np.isin(x, telling)].tobytes() for x in words], pa.binary())], ["doc_id", "label", "words"])
+
+    got = sorted(sampled.mapInArrow(only_telling, sampled.schema).collect(), key=lambda r: (r["doc_id"], bytes(r["words"])))
     words = [np.frombuffer(r["words"], np.uint32).astype(np.int64) for r in got]
-    rows = np.repeat(np.arange(len(got)), [len(x) for x in words])
-    words = np.concatenate(words)
-    return fit(grades_of(toxic, rows, words), rows, words)
+    size, label = np.array(list(map(len, words))), np.array([r["label"] for r in got], np.int64)
+    grade = label if label.max() > 1 else thirds(label, size)
+    return fit(grade, np.repeat(np.arange(len(got)), size), np.concatenate(words), share)
 
 
 def scores(texts: pa.Array, model: Model) -> np.ndarray:
@@ -149,7 +209,7 @@ def without_toxic(docs: DataFrame, model: Model, least: float = LEAST, text_col:
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(shared.value.above(scores(batch.column(at), shared.value))[:, 0] < least))
+            yield batch.filter(pa.array(~shared.value.rejects(scores(batch.column(at), shared.value), least)))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -164,7 +224,7 @@ def graded(docs: DataFrame, model: Model, least: float = LEAST, id_col: str = "d
             score = scores(batch.column(1), model)
             above = model.above(score)
             each = -np.diff(np.concatenate([np.ones((len(score), 1)), above, np.zeros((len(score), 1))], axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(above.sum(axis=1)), pa.array(each.argmax(axis=1).astype(np.int32)), pa.array(above[:, 0] >= least)], ["doc_id", "severity", "grade", "toxic"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(above.sum(axis=1)), pa.array(each.argmax(axis=1).astype(np.int32)), pa.array(model.rejects(score, least))], ["doc_id", "severity", "grade", "toxic"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, severity double, grade int, toxic boolean")
 
