@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickforge.functions.times import interval_ms
+from tickforge.jobs import incremental
 from tickforge.operators import bars, clean, features, indicators, plans, quality, timeframes
 from tickforge.schema import KLINE, VALUES
 from tickforge.sources import messages, tables
@@ -128,6 +130,82 @@ def test_table_upserts_touch_only_their_days(spark):
     assert before == {r["f"] for r in held.where("date = '2024-01-01'").select(F.input_file_name().alias("f")).collect()}
 
 
+def test_upsert_defines_repeated_incoming_keys(spark):
+    path, b = scratch_path(spark, "table"), klines(spark, [1.0, 2.0, 3.0])
+    more = b.withColumn("close", F.col("close") + 5)
+    for batch in (b.unionByName(more), more.unionByName(b)):
+        tables.upsert_table(spark, path, batch)
+        assert column(tables.read_table(spark, path), "close") == [6.0, 7.0, 8.0]
+
+
+def test_cleaning_is_linear_in_a_series(spark):
+    """500,000 rows of one series, with nulls to fill both ways."""
+    df = spark.range(500_000).select(F.lit("a").alias("symbol"), F.lit("1m").alias("interval"), F.timestamp_seconds("id").alias("timestamp"), *(F.when(F.col("id") % 7 == 6, F.col("id").cast("double")).alias(c) for c in ("open", "high", "low", "close", "volume")))
+    began = time.time()
+    got = clean.clean_ohlcv(df).agg(F.count("close").alias("n"), F.min("close").alias("least")).first()
+    assert (got["n"], got["least"]) == (500_000, 6.0) and time.time() - began < 30
+
+
+def test_lookback_reads_near_days_and_whole_short_series(spark):
+    path = scratch_path(spark, "table")
+    long, gappy = klines(spark, [float(k) for k in range(300)]), klines(spark, [1.0, 2.0, 3.0, 4.0], "B", step=60 * 50)
+    tables.upsert_table(spark, path, long.unionByName(gappy))
+    table = tables.read_table(spark, path)
+    new = long.orderBy(F.col("timestamp").desc()).limit(2).unionByName(gappy.orderBy(F.col("timestamp").desc()).limit(1))
+    got = tables.lookback_rows(table, new, 30)
+    assert got.where("symbol = 'B'").count() == 4 and 31 <= got.where("symbol = 'A'").count() < 120
+    assert tables.lookback_rows(table, new.limit(0), 30).count() == 0
+
+
+def test_backfill_equals_one_run_over_everything(spark):
+    out, b = scratch_path(spark, "features"), klines(spark, [10.0 + k * 7 % 11 for k in range(90)])
+    early = b.where(F.col("timestamp") < F.lit(T0 + timedelta(hours=40)))
+    assert [incremental.backfill_features(x, out).count() for x in (early.limit(0), early, b, b)] == [0, 1, 1, 0]
+    want = {r["timestamp"]: r for r in features.features(b).collect()}
+    got = {r["timestamp"]: r for r in incremental.stored_features(spark, out).collect()}
+    assert set(got) == set(want) and all(got[t][c] == want[t][c] or got[t][c] == pytest.approx(want[t][c], rel=1e-9) for t in want for c in VALUES if want[t][c] is not None)
+    short = scratch_path(spark, "features")
+    incremental.backfill_features(early, short)
+    incremental.backfill_features(b, short, lookback=30)
+    held = {r["timestamp"]: r for r in incremental.stored_features(spark, short).collect()}
+    assert set(held) == set(want) and held[max(want)]["sma_20"] == pytest.approx(want[max(want)]["sma_20"]) and held[max(want)]["sma_100"] is None
+
+
+def test_monotonic_bars_go_by_arrival(spark):
+    from tickforge.streaming import jobs
+
+    source, out, state = (scratch_path(spark, n) for n in ("source", "kept", "state"))
+    b = klines(spark, [float(k) for k in range(6)])
+    order = {0: 0, 2: 1, 1: 2, 3: 3, 5: 4, 4: 5}
+    seq = F.element_at(F.create_map(*(F.lit(x) for pair in order.items() for x in pair)), F.col("close").cast("int"))
+    arrived = b.withColumn("seq", seq)
+    for part in (arrived.where("seq < 2"), arrived.where("seq >= 2")):
+        part.write.mode("append").parquet(source)
+        jobs.monotonic_bars(spark.readStream.schema(arrived.schema).parquet(source), "seq").writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out).awaitTermination()
+    assert column(spark.read.parquet(out), "close") == [0.0, 2.0, 3.0, 5.0]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace as S
+
+    far = S(conf=S(get=lambda *_: None), sparkContext=S(getConf=lambda: S(get=lambda *_: None), master="spark://far:7077"))
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        scratch_path(far, "x")
+
+
+def test_zone_of_the_session_is_left_alone(spark, tiny):
+    from tickforge.jobs import catalog
+
+    held = spark.conf.get("spark.sql.session.timeZone")
+    want = catalog.queries()["time_range"](spark, tiny).toPandas().sort_values("symbol", ignore_index=True)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        got = catalog.queries()["time_range"](spark, tiny)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo" and got.toPandas().sort_values("symbol", ignore_index=True).equals(want)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", held)
+
+
 def test_resume_after_all_is_done(spark):
     b = klines(spark, [1.0] * 30)
     done = plans.resume_plan(b, b).first()
@@ -141,7 +219,9 @@ def test_quality_of_bad_tables(spark):
     kinds = {i["type"] for i in report["data_integrity"]["integrity_issues"]}
     assert {"high_less_than_low", "negative_high"} <= kinds and not report["data_integrity"]["is_valid"]
     assert report["variance_analysis"]["zero_variance_count"] == 2 and report["correlation_analysis"]["max_correlation"] > 0.99
-    assert quality.check_quality(df.limit(0)).count() == 0 and quality.empty_report()["overall_quality_score"] == 0
+    assert quality.check_quality(df.limit(0)).count() == 0
+    empty = quality.check_quality(df.limit(0), wanted=df).first()
+    assert (empty["overall_quality_score"], empty["total_rows"], empty["error"], empty["low_quality"]) == (0.0, 0, "Empty dataframe", True)
 
 
 def test_upsert_table_keeps_rows_of_more_than_10000_folders(spark, monkeypatch):

@@ -29,7 +29,7 @@ def epoch_ns(ts: Column | str) -> Column:
 
 
 def from_epoch_ns(ns: Column) -> Column:
-    return F.timestamp_micros(F.floor(ns / 1000).cast("long"))
+    return F.timestamp_micros(F.call_function("div", ns - F.pmod(ns, F.lit(1000)), F.lit(1000)))  # whole numbers: doubles can't hold all ns
 
 
 def from_epoch_ms(ms: Column) -> Column:

@@ -11,9 +11,11 @@ from ..operators import bars as make
 from ..operators import clean, features, indicators, plans, quality, timeframes
 from ..schema import AVERAGES, FINITE, VALUES
 from ..sources import messages, tables
-from ..sources.scratch import scratch_path
+from ..functions import times
+from ..sources.scratch import scratch_path, settled
 from ..streaming import jobs as streams
 from . import adapter, sql
+from .incremental import backfill_features, stored_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +81,72 @@ def _arrivals_sql(pick: str) -> str:
     return f"WITH {sql.TRADES} SELECT symbol, '1h' AS interval, epoch_us(date_trunc('hour', timestamp)) AS ts, {sql.r(f'{pick}(price, id)')} AS close FROM trades GROUP BY 1, 2, 3"
 
 
+ARRIVED = (0, 400, 800, 1200)  # milliseconds after the full hour
+
+
+def _arrivals_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals a few tenths of a second apart."""
+    late = F.element_at(F.array(*map(F.lit, ARRIVED)), (F.col("seq") % 4 + 1).cast("int"))
+    return _arrivals(spark, sf_dir).withColumn("timestamp", F.timestamp_micros(F.unix_micros("timestamp") + 1000 * late))
+
+
+def _arrivals_within_sql(unit: str) -> str:
+    at = f"date_trunc('hour', timestamp) + to_milliseconds([{', '.join(map(str, ARRIVED))}][id % 4 + 1])"
+    return f"""WITH {sql.TRADES}, a AS (SELECT symbol, id, price, {at} AS t FROM trades)
+SELECT symbol, '1h' AS interval, arg_max(epoch_us(t), id) AS ts, {sql.r('arg_max(price, id)')} AS close FROM a GROUP BY symbol, date_trunc('{unit}', t)"""
+
+
+NAMES = ("1m", "3m", "5m", "15m", "30m", "1h", "2h", "4h", "6h", "8h", "12h", "1d", "3d", "1w", "1M", "other")
+
+
+def _epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths of intervals by name, and epochs there and back, of every trade."""
+    t = adapter.trades(spark, sf_dir).withColumn("name", F.element_at(F.array(*map(F.lit, NAMES)), (F.col("id") % len(NAMES) + 1).cast("int")))
+    ns = times.epoch_ns("timestamp")
+    back, ms = times.from_epoch_ns(ns + 999), times.from_epoch_ms(F.call_function("div", ns, F.lit(1_000_000)))
+    return t.select("id", "name", times.interval_ms("name").alias("ms"), ns.alias("ns"), F.unix_micros(back).alias("from_ns"), F.unix_micros(ms).alias("from_ms"))
+
+
+EPOCHS_SQL = f"""WITH {sql.TRADES}, t AS (SELECT id, timestamp, [{', '.join(f"'{n}'" for n in NAMES)}][id % {len(NAMES)} + 1] AS name FROM trades)
+SELECT id, name, CASE WHEN name = '1M' THEN 2592000000 WHEN name = 'other' THEN 60000 ELSE left(name, -1)::BIGINT * CASE right(name, 1) WHEN 'm' THEN 60000 WHEN 'h' THEN 3600000 WHEN 'd' THEN 86400000 ELSE 7 * 86400000 END END::BIGINT AS ms,
+       epoch_us(timestamp) * 1000 AS ns, epoch_us(timestamp) AS from_ns, epoch_us(timestamp) // 1000 * 1000 AS from_ms FROM t"""
+
+
+def _non_finite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = lambda c, k: F.when(F.col("trades") % k == 0, float("nan")).when(F.col("trades") % k == 1, float("inf")).when(F.col("trades") % k == 2, float("-inf")).otherwise(F.col(c))
+    b = adapter.bars(spark, sf_dir)
+    return _shown(clean.non_finite_to_null(b.withColumns({"open": odd("open", 4), "volume": odd("volume", 5)})), "open", "close", "volume")
+
+
+NON_FINITE_SQL = f"WITH {sql.TRADES}, {sql.bars()} SELECT symbol, interval, epoch_us(timestamp) AS ts, {sql.r('CASE WHEN trades % 4 > 2 THEN open END')} AS open, {sql.r('close')} AS close, {sql.r('CASE WHEN trades % 5 > 2 THEN volume END')} AS volume FROM bars"
+
+
+def _slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of some series in a span of time, computed from their whole history, with their version."""
+    held = clean.select_series(adapter.bars(spark, sf_dir).unionByName(adapter.bars(spark, sf_dir, "4h")), ["click", "view"], ["1h"])
+    at = lambda day: F.to_timestamp(F.lit(f"2024-01-{day} 00:00:00"))
+    found = clean.emit_slice(features.features(held, version=7), at(10), at(20))
+    return _versioned(found, "close", "sma_50", "ema_50", "obv")
+
+
+def _versioned(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select("symbol", "interval", F.unix_micros("timestamp").alias("ts"), *(_r(c).alias(c) for c in columns), "feature_version")
+
+
+SLICE_SQL = sql.feature_sql("close", "sma_50", "ema_50", "obv", extra=" WHERE symbol IN ('click', 'view') AND timestamp BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20'").replace("\nSELECT symbol, interval,", "\nSELECT 7::BIGINT AS feature_version, symbol, interval,")
+
+
+def _feature_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of the incremental job: some series up to a day, then all bars, then nothing new."""
+    b, out = adapter.bars(spark, sf_dir), scratch_path(spark, "features")
+    for held in (_done(b), b, b):
+        backfill_features(held, out)
+    return _versioned(stored_features(spark, out), *VALUES)
+
+
+FEATURE_BACKFILL_SQL = sql.feature_sql(*VALUES).replace("\nSELECT symbol, interval,", "\nSELECT 2::BIGINT AS feature_version, symbol, interval,")
+
+
 def _gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = adapter.bars(spark, sf_dir)
     holes = {c: F.when(F.col("trades") % k != 0, F.col(c)) for c, k in (("open", 2), ("high", 3), ("low", 4), ("close", 2), ("volume", 5))}
@@ -262,8 +330,9 @@ def _integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = quality.moments(_sample(spark, sf_dir))
-    return quality.feature_scores(held, quality.outliers(_sample(spark, sf_dir), held)).select("symbol", "interval", "feature", _r("score").alias("score"))
+    sample = settled(_sample(spark, sf_dir))
+    held = quality.moments(sample)
+    return quality.feature_scores(held, quality.outliers(sample, held)).select("symbol", "interval", "feature", _r("score").alias("score"))
 
 
 def _overall(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,6 +346,27 @@ OVERALL_SQL = QUALITY_CTES + f"""SELECT symbol, interval, it.rows AS total_rows,
   FROM it JOIN ms USING (symbol, interval) JOIN cp USING (symbol, interval) JOIN va USING (symbol, interval) JOIN (SELECT symbol, interval, 100.0 * sum(n) / sum(present) AS opct FROM ou GROUP BY 1, 2) USING (symbol, interval)) it"""
 
 
+def _recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.check_quality(_features(spark, sf_dir), wanted=adapter.bars(spark, sf_dir).select("symbol", "interval").distinct().unionByName(spark.createDataFrame([("none", "1h")], "symbol string, interval string")))
+    return found.select("symbol", "interval", F.array_join("recommendations", "; ").alias("recommendations"), "error", _r("overall_quality_score").alias("overall_quality_score"))
+
+
+def _few_sql(where: str) -> str:
+    place = f"list_position([{', '.join(repr(c) for c in VALUES)}], feature)"
+    return f"(SELECT symbol, interval, string_agg(feature, ', ' ORDER BY place) AS names FROM (SELECT *, row_number() OVER (PARTITION BY symbol, interval ORDER BY {place}) AS place FROM mo LEFT JOIN ou USING (symbol, interval, feature, present) WHERE {where}) WHERE place <= 3 GROUP BY 1, 2)"
+
+
+RECOMMENDATIONS_SQL = QUALITY_CTES + f""", told AS (
+  SELECT symbol, interval, array_to_string(list_filter([
+    'High missing data in features: ' || g.names, 'Significant outliers in: ' || o.names, CASE WHEN pairs > 0 THEN 'Remove highly correlated features (' || pairs || ' pairs found)' END,
+    CASE WHEN flat > 0 THEN 'Remove ' || flat || ' zero-variance features' END, CASE WHEN bad THEN 'Fix data integrity issues' END, CASE WHEN score < 70 THEN 'Overall quality needs improvement' END], lambda x: x IS NOT NULL)[1:5], '; ') AS recommendations, score
+  FROM (SELECT symbol, interval, pairs, flat, hl + o + h + l + c + v > 0 AS bad, greatest(100 - least(2 * miss, 30) - least(5 * opct, 20) - least(2 * pairs, 20) - least(5 * flat, 20) - CASE WHEN hl + o + h + l + c + v > 0 THEN 10 ELSE 0 END, 0) AS score
+        FROM it JOIN ms USING (symbol, interval) JOIN cp USING (symbol, interval) JOIN va USING (symbol, interval) JOIN (SELECT symbol, interval, 100.0 * sum(n) / sum(present) AS opct FROM ou GROUP BY 1, 2) USING (symbol, interval))
+  LEFT JOIN {_few_sql('100.0 * (rows - present) / rows > 5')} g USING (symbol, interval) LEFT JOIN {_few_sql('pct > 1')} o USING (symbol, interval)),
+wanted AS (SELECT DISTINCT symbol, interval FROM bars UNION ALL SELECT 'none', '1h')
+SELECT symbol, interval, recommendations, CASE WHEN score IS NULL THEN 'Empty dataframe' END AS error, {sql.r('coalesce(score, 0)')} AS overall_quality_score FROM wanted LEFT JOIN told USING (symbol, interval)"""
+
+
 # Messages
 
 
@@ -343,59 +433,74 @@ def _report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streams, each run to its end over the given tables
 
 
-def _spooled(spark: SparkSession, df: DataFrame, name: str, files: int = 4) -> DataFrame:
-    """df as a stream of parts in order of time: one write after another, so that files are as old as their rows."""
-    path = scratch_path(spark, name)
-    micros = F.unix_micros("timestamp")
-    cuts = df.agg(F.percentile_approx(micros, [k / files for k in range(1, files)], 1000).alias("c")).first()["c"] or []
+def _fed(spark: SparkSession, df: DataFrame, name: str, land: Callable[[DataFrame], None], order: Column | None = None, parts: int = 4) -> None:
+    """land(stream) after each part of df has been written, parts in order (of time, where none is given): its checkpoint makes one stream of them."""
+    path, order = scratch_path(spark, name), F.unix_micros("timestamp") if order is None else order
+    df = settled(df)
+    cuts = df.agg(F.percentile_approx(order, [k / parts for k in range(1, parts)], 1000).alias("c")).first()["c"] or []
     for lo, hi in zip([None, *cuts], [*cuts, None]):
-        part = df if lo is None else df.where(micros > lo)
-        (part if hi is None else part.where(micros <= hi)).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part = df if lo is None else df.where(order > lo)
+        (part if hi is None else part.where(order <= hi)).write.mode("append").parquet(path)
+        land(spark.readStream.schema(df.schema).parquet(path))
 
 
-def _landed(stream: DataFrame, name: str) -> DataFrame:
-    spark = stream.sparkSession
-    out = scratch_path(spark, name)
-    stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", scratch_path(spark, "state")).trigger(availableNow=True).start(out).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+def _landed(spark: SparkSession, df: DataFrame, name: str, job: Callable[[DataFrame], DataFrame], order: Column | None = None) -> DataFrame:
+    """All rows that job emits for the stream of df."""
+    out, state = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-state")
 
+    def land(source: DataFrame) -> None:
+        job(source).writeStream.format("parquet").outputMode("append").option("checkpointLocation", state).trigger(availableNow=True).start(out).awaitTermination()
 
-def _stream_bars_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _fed(spark, df, name, land, order)
+    return spark.read.parquet(out)
+
+
+def _stream_bars(interval: str) -> Query:
     """All bars that the stream emits: those whose end the newest trade has passed by the lateness."""
-    t = adapter.trades(spark, sf_dir)
-    return _klines(_landed(streams.stream_bars(_spooled(spark, t, "trades"), "1d", "1 hour"), "bars"))
+    return lambda spark, sf_dir: _klines(_landed(spark, adapter.trades(spark, sf_dir), "trades", lambda t: streams.stream_bars(t, interval, "1 hour")))
 
 
-def _stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of these the bars that its SQL holds, which ends at a constant day."""
-    return _stream_bars_closed(spark, sf_dir).where(F.col("ts") < F.unix_micros(F.to_timestamp(F.lit("2024-01-29 00:00:00"))))
+def _stream_bars_sql(interval: str) -> str:
+    return _klines_sql(interval, where=f"WHERE epoch_us(timestamp) + {sql.BAR_MS[interval] * 1000} <= (SELECT max(epoch_us(timestamp)) FROM trades) - 3600000000")
 
 
-def _stream_monotonic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = adapter.bars(spark, sf_dir)
-    source = _spooled(spark, b.unionByName(b.where(F.hour("timestamp") == 3)), "klines")
-    return _klines(_landed(streams.monotonic_bars(source), "monotonic"))
+    return b.unionByName(b.where(F.hour("timestamp") == 3))
+
+
+def _stream_monotonic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _klines(_landed(spark, _repeated(spark, sf_dir), "klines", streams.monotonic_bars))
+
+
+def _stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some bars come an hour and a half late, behind later ones, whatever part of the stream they fall into."""
+    b = adapter.bars(spark, sf_dir).withColumn("seq", F.unix_micros("timestamp") + F.when(F.col("trades") % 5 == 0, 5_400_000_000).otherwise(0))
+    return _klines(_landed(spark, b, "arrivals", lambda k: streams.monotonic_bars(k, "seq"), F.col("seq")))
+
+
+ARRIVALS_SQL = _klines_sql(source="seen", where="WHERE newest IS NULL OR timestamp > newest", ctes=""",
+seen AS (SELECT *, max(timestamp) OVER (PARTITION BY symbol, interval ORDER BY epoch_us(timestamp) + CASE WHEN trades % 5 = 0 THEN 5400000000 ELSE 0 END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM bars)""")
+
+
+def _stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _klines(_landed(spark, _repeated(spark, sf_dir), "repeated", streams.deduplicated))
 
 
 def _stream_klines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = adapter.bars(spark, sf_dir)
-    sent = _ws_messages(b)
-    path = scratch_path(spark, "messages")
-    sent.write.parquet(path)
-    return _klines(_landed(streams.stream_klines(spark.readStream.schema(sent.schema).parquet(path)), "klines"))
+    sent = _ws_messages(adapter.bars(spark, sf_dir))
+    return _klines(_landed(spark, sent, "messages", streams.stream_klines, F.xxhash64("stream")))
 
 
 def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b, path = adapter.bars(spark, sf_dir), scratch_path(spark, "upserted")
-    source = _spooled(spark, b.unionByName(b.where(F.hour("timestamp") == 3)), "klines")
-    streams.upsert_sink(source, path, scratch_path(spark, "state"), every=None).awaitTermination()
+    path, state = scratch_path(spark, "upserted"), scratch_path(spark, "state")
+    _fed(spark, _repeated(spark, sf_dir), "klines", lambda k: streams.upsert_sink(k, path, state, every=None).awaitTermination())
     return _klines(spark.read.parquet(path))
 
 
 def _stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b, out = adapter.bars(spark, sf_dir), scratch_path(spark, "live")
-    streams.stream_features(_spooled(spark, b, "klines", 2), scratch_path(spark, "held"), out, scratch_path(spark, "state"), every=None).awaitTermination()
+    out, held, state = (scratch_path(spark, n) for n in ("live", "held", "state"))
+    _fed(spark, adapter.bars(spark, sf_dir), "klines", lambda k: streams.stream_features(k, held, out, state, every=None).awaitTermination(), parts=2)
     newest = tables.latest_n(spark.read.parquet(out), 1)
     return _shown(newest, "close", "sma_20", "ema_20", "rsi_14", "macd_signal", "adx_14")
 
@@ -416,6 +521,12 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "latest_rows": ((lambda s, d: _klines(tables.latest_rows(adapter.bars(s, d)))), _klines_sql(where="QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY timestamp DESC) = 1")),
     "dedupe_first": ((lambda s, d: _shown(clean.dedupe_first(_arrivals(s, d), "seq"), "close")), _arrivals_sql("arg_min")),
     "dedupe_last": ((lambda s, d: _shown(clean.dedupe_last(_arrivals(s, d), "seq", True), "close")), _arrivals_sql("arg_max")),
+    "dedupe_last_second": ((lambda s, d: _shown(clean.dedupe_last(_arrivals_within(s, d), "seq", True), "close")), _arrivals_within_sql("second")),
+    "dedupe_last_time": ((lambda s, d: _shown(clean.dedupe_last(_arrivals_within(s, d), "seq"), "close")), _arrivals_within_sql("microseconds")),
+    "interval_epochs": (_epochs, EPOCHS_SQL),
+    "non_finite_to_null": (_non_finite, NON_FINITE_SQL),
+    "feature_slice": (_slice, SLICE_SQL),
+    "feature_backfill": (_feature_backfill, FEATURE_BACKFILL_SQL),
     "upsert": (_upsert, UPSERT_SQL),
     "upsert_table": (_upsert_table, UPSERT_SQL),
     "clean_ohlcv": ((lambda s, d: _shown(clean.clean_ohlcv(_gappy(s, d)), "open", "high", "low", "close", "volume")), _gappy_sql()),
@@ -460,6 +571,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "quality_integrity": (_integrity, QUALITY_CTES + "SELECT symbol, interval, rows, hl AS high_less_than_low, o AS negative_open, h AS negative_high, l AS negative_low, c AS negative_close, v AS negative_volume, hl + o + h + l + c + v = 0 AS is_valid FROM it"),
     "quality_feature_scores": (_scores, QUALITY_CTES + f"SELECT symbol, interval, feature, {sql.r(SCORES)} AS score FROM mo LEFT JOIN ou USING (symbol, interval, feature, present)"),
     "quality_overall": (_overall, OVERALL_SQL),
+    "quality_recommendations": (_recommendations, RECOMMENDATIONS_SQL),
     "quality_json": (_report_json, None),
     "parse_rest_klines": (_rest, _klines_sql()),
     "parse_ws_klines": (_ws, WS_SQL),
@@ -470,14 +582,24 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "stream_klines": (_stream_klines, WS_SQL),
     "stream_monotonic": (_stream_monotonic, _klines_sql()),
     "stream_upsert": (_stream_upsert, _klines_sql()),
-    "stream_bars": (_stream_bars, _klines_sql("1d", where="WHERE timestamp < TIMESTAMP '2024-01-29'")),
-    "stream_bars_closed": (_stream_bars_closed, _klines_sql("1d", where="WHERE timestamp + INTERVAL 1 DAY <= (SELECT max(timestamp) FROM trades) - INTERVAL 1 HOUR")),
+    "stream_arrivals": (_stream_arrivals, ARRIVALS_SQL),
+    "stream_deduplicated": (_stream_deduplicated, _klines_sql()),
+    "stream_bars": (_stream_bars("4h"), _stream_bars_sql("4h")),
+    "stream_bars_closed": (_stream_bars("1d"), _stream_bars_sql("1d")),
     "stream_features": (_stream_features, LIVE_SQL),
 }
 
 
+def _utc(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with adapter.in_utc(spark):
+            return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {name: query for name, (query, _) in ENTRIES.items()}
+    return {name: _utc(query) for name, (query, _) in ENTRIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

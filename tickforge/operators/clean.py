@@ -20,9 +20,12 @@ def non_finite_to_null(df: DataFrame) -> DataFrame:
 
 
 def clean_ohlcv(df: DataFrame, backfill: bool = True) -> DataFrame:
-    """Prices carried forward, then (not for streams) back, each column on its own; missing volume is 0."""
-    ahead, behind = series().rowsBetween(Window.unboundedPreceding, 0), series().rowsBetween(0, Window.unboundedFollowing)
-    fill = lambda c: F.coalesce(F.last(c, True).over(ahead), *([F.first(c, True).over(behind)] if backfill else []))
+    """Prices carried forward, then (not for streams) back, each column on its own; missing volume is 0.
+
+    Carrying back only reaches the nulls before a series' first value, so that value is found once a series.
+    """
+    ahead, whole = series().rowsBetween(Window.unboundedPreceding, 0), series().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    fill = lambda c: F.coalesce(F.last(c, True).over(ahead), *([F.first(c, True).over(whole)] if backfill else []))
     finite = non_finite_to_null(df)
     return finite.withColumns({c: fill(c) for c in PRICES} | {"volume": F.coalesce("volume", F.lit(0.0))})
 

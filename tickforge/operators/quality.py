@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import KEY
+from ..sources.scratch import settled
 
 MISSING_LIMIT, OUTLIER_Z, OUTLIER_LIMIT, CORRELATION_LIMIT, VARIANCE_LIMIT = 5.0, 3.0, 1.0, 0.95, 1e-10
 NOT_FEATURES = ("feature_version",)
@@ -127,32 +128,43 @@ def overall_score(miss: Column, outlier_percent: Column, pairs: Column, flat: Co
     return F.greatest(100 - less, F.lit(0.0))
 
 
-def _advice() -> Column:
-    """At most five recommendations, naming at most three features each."""
+#: Wordings of recommendations and of the error of an empty input; fixed values.
+MUCH_MISSING, MANY_OUTLIERS = "High missing data in features: %s", "Significant outliers in: %s"
+CORRELATED, FLAT = "Remove highly correlated features (%s pairs found)", "Remove %s zero-variance features"
+UNSOUND, LOW, EMPTY = "Fix data integrity issues", "Overall quality needs improvement", "Empty dataframe"
+
+
+def _advice(low: float) -> Column:
+    """At most five recommendations; those on features name the first three in column order."""
+    said = lambda words, what, asked: F.when(asked, F.format_string(words, what))
     few = lambda names: F.concat_ws(", ", F.slice(names, 1, 3))
-    named = lambda words, names: F.when(F.size(names) > 0, F.concat(F.lit(words), few(names)))
-    pairs = F.transform("correlation_analysis.highly_correlated_pairs", lambda p: F.concat(p["feature1"], F.lit("/"), p["feature2"]))
-    flat = F.transform("variance_analysis.low_variance_features", lambda p: p["feature"])
+    gone, odd = F.col("missing_analysis.critical_missing_features"), F.map_keys("outlier_analysis.critical_outlier_features")
+    pairs, flat = F.size("correlation_analysis.highly_correlated_pairs"), F.col("variance_analysis.zero_variance_count")
     asked = F.array(
-        named("fill or drop features with many missing values: ", F.col("missing_analysis.critical_missing_features")),
-        named("look at features with many outliers: ", F.map_keys("outlier_analysis.critical_outlier_features")),
-        named("drop one of each highly correlated pair: ", pairs),
-        named("drop features of low variance: ", flat),
-        F.when(~F.col("data_integrity.is_valid"), F.lit("repair prices and volumes that can't be")),
+        said(MUCH_MISSING, few(gone), F.size(gone) > 0), said(MANY_OUTLIERS, few(odd), F.size(odd) > 0),
+        said(CORRELATED, pairs.cast("string"), pairs > 0), said(FLAT, flat.cast("string"), flat > 0),
+        F.when(~F.col("data_integrity.is_valid"), UNSOUND), F.when(F.col("overall_quality_score") < low, LOW),
     )
     return F.slice(F.filter(asked, lambda x: x.isNotNull()), 1, 5)
 
 
-def check_quality(df: DataFrame, rows: int = 1000, low: float = 70.0) -> DataFrame:
-    """One report a series, over its newest rows; low_quality where the overall score is below `low`."""
-    sample = newest(df, rows)
+def check_quality(df: DataFrame, rows: int = 1000, low: float = 70.0, wanted: DataFrame | None = None) -> DataFrame:
+    """One report a series, over its newest rows; low_quality where the overall score is below `low`.
+
+    The newest rows, `rows` a series, are written once, as every part of the report reads them.  Series of
+    `wanted` (KEY) without rows get a report of score 0 with an error; without it, no rows give no report.
+    """
+    sample = settled(newest(df, rows))
+    names = numeric_columns(sample)
     held = moments(sample)
     found = outliers(sample, held)
     kept = held.where("present > 0")
+    place = F.array_position(F.array(*map(F.lit, names)), F.col("feature")).alias("place")
+    in_order = lambda when, x: F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.when(when, F.struct(place, "feature", x.alias("x"))))), lambda e: F.struct(e["feature"], e["x"])))
     odd = found.where("present > 0").groupBy(*KEY).agg(
         F.sum("count").alias("n"), F.sum("present").alias("cells"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("count") > 0, F.struct("feature", "count"))))).alias("features"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("percentage") > OUTLIER_LIMIT, F.struct("feature", F.struct("count", "percentage", "max_zscore").alias("x")))))).alias("critical"),
+        in_order(F.col("count") > 0, F.col("count")).alias("features"),
+        in_order(F.col("percentage") > OUTLIER_LIMIT, F.struct("count", "percentage", "max_zscore")).alias("critical"),
     )
     scores = feature_scores(kept, found).groupBy(*KEY).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "score")))).alias("feature_quality_scores"))
     whole = integrity(sample).drop("rows")
@@ -169,9 +181,8 @@ def check_quality(df: DataFrame, rows: int = 1000, low: float = 70.0) -> DataFra
         F.struct(issues.alias("integrity_issues"), "is_valid").alias("data_integrity"), "feature_quality_scores",
         overall_score(F.col("missing_percentage"), F.coalesce(100 * F.col("n") / F.when(F.col("cells") > 0, F.col("cells")), F.lit(0.0)), F.size("highly_correlated_pairs"), F.col("zero_variance_count"), F.col("is_valid")).alias("overall_quality_score"),
     )
-    return report.withColumns({"recommendations": _advice(), "low_quality": F.col("overall_quality_score") < low})
-
-
-def empty_report(reason: str = "no rows") -> dict:
-    """What is reported where there are no rows at all."""
-    return {"overall_quality_score": 0.0, "error": reason}
+    report = report.withColumn("recommendations", _advice(low))
+    if wanted is not None:
+        report = wanted.select(*KEY).distinct().join(report, list(KEY), "left")
+    report = report.withColumn("error", F.when(F.col("total_rows").isNull(), EMPTY)).fillna({"total_rows": 0, "total_features": 0, "overall_quality_score": 0.0})
+    return report.withColumn("low_quality", F.col("overall_quality_score") < low)

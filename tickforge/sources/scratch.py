@@ -11,9 +11,11 @@ _own: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir; where that is unset (tests), under a folder of our own."""
+    """A new path under spark.checkpoint.dir; where that is unset and Spark runs on this machine alone (tests), under a folder of our own."""
     held = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not held:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="spark-ticks-"))
         held = _own[0]

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.times import interval_ms
 from ..schema import KEY
 from .scratch import settled
 
@@ -47,9 +48,9 @@ def latest_rows(df: DataFrame) -> DataFrame:
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: tuple[str, ...] = (*KEY, "timestamp")) -> DataFrame:
-    """Rows of both; of equal keys the incoming one.  Incoming keys are taken to be distinct."""
+    """Rows of both; of equal keys the incoming one, of equal incoming ones the largest by their columns in order (dedupe_last keeps the latest arrival instead)."""
     both = existing.withColumn("__side", F.lit(0)).unionByName(incoming.withColumn("__side", F.lit(1)))
-    order = Window.partitionBy(*keys).orderBy(F.col("__side").desc())
+    order = Window.partitionBy(*keys).orderBy(F.col("__side").desc(), *(F.col(c).desc() for c in incoming.columns if c not in keys))
     return both.withColumn("__place", F.row_number().over(order)).where("__place = 1").drop("__place", "__side")
 
 
@@ -64,10 +65,29 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame) -> None:
     except Exception as error:  # the first batch finds no table
         if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
             raise
-        merged = incoming
+        merged = upsert(incoming.limit(0), incoming)
     else:
         touched = incoming.select(F.col("interval").alias("__interval"), F.col("date").alias("__date")).distinct()  # however many
         within = F.col("date").isNull() | F.col("date").between(*(F.lit(span[k]).cast("date") for k in ("lo", "hi")))  # prunes folders before the read
         held = held.where(within).join(touched, F.col("interval").eqNullSafe(F.col("__interval")) & F.col("date").eqNullSafe(F.col("__date")), "left_semi")
         merged = settled(upsert(held.select(*incoming.columns), incoming))
     write_table(merged.drop("date"), path, "overwrite")
+
+
+def lookback_rows(table: DataFrame, new: DataFrame, n: int) -> DataFrame:
+    """Rows of a table (as write_table lays out) of the series of new: for each series at least the n rows up to its oldest new one, and all later ones.
+
+    Only the dates of twice n intervals are read; series that hold fewer than n rows there (gaps, or a
+    short history) are read whole.
+    """
+    ms = interval_ms("interval")
+    wanted = new.groupBy(*KEY).agg(F.min("timestamp").alias("__oldest")).withColumn("__from", F.to_date(F.timestamp_micros(F.unix_micros("__oldest") - 2000 * n * ms)))
+    first = wanted.agg(F.min("__from").alias("d")).first()["d"]
+    if first is None:
+        return table.limit(0)
+    joined = table.join(wanted, list(KEY))
+    near = joined.where((F.col("date") >= F.lit(first).cast("date")) & (F.col("date") >= F.col("__from")))
+    full = near.where(F.col("timestamp") <= F.col("__oldest")).groupBy(*KEY).count().where(F.col("count") >= n).select(*KEY)
+    short = settled(wanted.join(full, list(KEY), "left_anti"))
+    held = near.join(short.select(*KEY), list(KEY), "left_anti").select(*table.columns)
+    return held if short.isEmpty() else held.unionByName(table.join(short.select(*KEY), list(KEY), "left_semi"))

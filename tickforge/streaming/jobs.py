@@ -17,7 +17,7 @@ from ..operators.features import features_each
 from ..schema import KEY, KLINE
 from ..sources.messages import message_to_kline, parse_ws_klines
 from ..sources.scratch import settled
-from ..sources.tables import upsert_table
+from ..sources.tables import lookback_rows, upsert_table
 
 
 def stream_klines(source: DataFrame, kind: str = "websocket", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -26,17 +26,23 @@ def stream_klines(source: DataFrame, kind: str = "websocket", keep: tuple[str, .
     return closed_only(parsed)
 
 
-def monotonic_bars(klines: DataFrame) -> DataFrame:
-    """Of each series only bars strictly later than the last kept one: duplicates and late bars go.  State: one time a series, in the checkpoint."""
+def monotonic_bars(klines: DataFrame, order_col: str | None = None) -> DataFrame:
+    """Of each series only bars strictly later than the last kept one: duplicates and late bars go.  State: one time a series, in the checkpoint.
+
+    order_col says in what order bars arrived (an offset, a sequence number); a bar that came after a later one
+    then goes, wherever triggers fall.  Without it, the bars of a trigger count as come in order of time.
+    """
     schema = klines.schema
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        rows = pd.concat(list(batches)).sort_values("timestamp", kind="stable").drop_duplicates("timestamp")
-        if last is not None:
-            rows = rows[rows["timestamp"] > last]
+        rows = pd.concat(list(batches)).sort_values(order_col or "timestamp", kind="stable")
+        before = rows["timestamp"].cummax().shift(1)
+        if state.exists:
+            last = pd.Timestamp(state.get[0], unit="us")
+            before = before.fillna(last).clip(lower=last)
+        rows = rows[before.isna() | (rows["timestamp"] > before)]
         if len(rows):
-            state.update((int(rows["timestamp"].max().value // 1000),))
+            state.update((int(rows["timestamp"].iloc[-1].value // 1000),))
             yield rows
 
     return klines.groupBy(*KEY).applyInPandasWithState(run, schema, T.StructType([T.StructField("last", T.LongType())]), "append", GroupStateTimeout.NoTimeout)
@@ -62,19 +68,21 @@ def upsert_sink(rows: DataFrame, path: str, checkpoint: str, order_col: str | No
     return _each_batch(rows, write, checkpoint, every)
 
 
-def stream_features(klines: DataFrame, table: str, out: str, checkpoint: str, lookback: int = 300, every: str | None = "15 seconds") -> StreamingQuery:
-    """On new bars: upsert them, and upsert each new bar's features from its own newest `lookback` bars, however many a trigger brings."""
+def stream_features(klines: DataFrame, table: str, out: str, checkpoint: str, lookback: int = 300, every: str | None = "15 seconds", order_col: str | None = None) -> StreamingQuery:
+    """On new bars: upsert them, and upsert each new bar's features from its own newest `lookback` bars, however many a trigger brings.
+
+    Late and repeated bars go as in monotonic_bars.  Of the table a trigger reads the days that lookbacks reach.
+    """
 
     def write(batch: DataFrame, _: int) -> None:
-        batch = batch.persist()
         spark = batch.sparkSession
-        upsert_table(spark, table, batch)
-        touched = batch.select(*KEY).distinct()
-        held = spark.read.parquet(table).drop("date").join(F.broadcast(touched), list(KEY), "left_semi") if touched.count() < 100_000 else spark.read.parquet(table).drop("date").join(touched, list(KEY), "left_semi")
-        upsert_table(spark, out, settled(features_each(held.select(*KLINE.names), batch, lookback)))
-        batch.unpersist()
+        new = settled(batch.select(*KLINE.names))
+        upsert_table(spark, table, new)
+        if not new.isEmpty():
+            held = lookback_rows(spark.read.parquet(table), new, lookback)
+            upsert_table(spark, out, settled(features_each(held.select(*KLINE.names), new, lookback)))
 
-    return _each_batch(klines, write, checkpoint, every)
+    return _each_batch(monotonic_bars(klines, order_col), write, checkpoint, every)
 
 
 def stream_bars(trades: DataFrame, interval: str, lateness: str = "1 minute") -> DataFrame:
