@@ -19,9 +19,7 @@ from tickforge.llm.shared import fresh_path
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    held = Tokenizer.from_file(I.default_tokenizer())
-    held.encode_special_tokens = True
-    return held
+    return Tokenizer.from_file(I.default_tokenizer())
 
 
 def check(df, tokenizer):
@@ -67,14 +65,45 @@ def test_shards_decode_whole_and_by_document(docs):
     shard = I.Shard(I.shard_bytes([None, *range(1, len(docs))], np.array(list(map(len, docs))), ids, 2, 100, least=2))
     assert shard.all_ids().tolist() == ids.tolist() and shard.doc_ids == [None, *range(1, len(docs))]
     assert [shard.document(k).tolist() for k in range(len(docs))] == docs
+    framed = I.Shard(I.shard_bytes([None, *range(1, len(docs))], np.array(list(map(len, docs))), ids, 2, 100, frame=3, least=2))
+    assert framed.all_ids().tolist() == ids.tolist() and [framed.document(k).tolist() for k in range(len(docs))] == docs
+    for a, b in ((0, len(ids)), (1, 5), (len(ids) // 2, len(ids) - 1), (3, 3)):
+        assert framed.span(a, b).tolist() == ids[a:b].tolist()
+    seq, rules, rounds = I.re_pair(ids, 2, 100, least=2)
+    pairs = [p for p in zip(seq.tolist(), seq.tolist()[1:]) if 2 not in p]
+    apart = {p: 0 for p in pairs}
+    last = {}
+    for k, p in enumerate(zip(seq.tolist(), seq.tolist()[1:])):
+        if p in apart and last.get(p) != k - 1:
+            apart[p], last[p] = apart[p] + 1, k
+    assert max(apart.values(), default=0) < 2 and rounds.sum() == len(rules)  # no pair is left twice, but where it overlaps itself
+
+
+def test_document_reads_its_own_frames(tmp_path):
+    rng = np.random.default_rng(0)
+    docs = [np.append(rng.integers(3, 60_000, 3000), 2) for _ in range(200)]
+    data = I.shard_bytes(list(range(200)), np.array([len(d) for d in docs]), np.concatenate(docs).astype(np.uint32), 2, 65_000)
+    uri = f"file://{tmp_path}/a.rpt"
+    files.put(uri, data)
+    shard, read = I.Shard(uri), []
+    inner = shard._read
+    shard._read = lambda at, n: read.append(n) or inner(at, n)
+    assert shard.document(150).tolist() == docs[150].tolist() and sum(read) < len(data) / 20
 
 
 def test_grammar_compresses_and_spares_ends():
     ids = np.array(([5, 6, 7, 8] * 50 + [2]) * 20, np.uint32)
-    seq, rules = I.re_pair(ids, 2, 100, least=4)
+    seq, rules, _ = I.re_pair(ids, 2, 100, least=4)
     assert len(seq) < len(ids) / 4 and not (rules == 2).any() and (seq == 2).sum() == 20
 
 
+def test_stretches_of_one_id_take_few_rounds():
+    ids = np.append(np.full(100_000, 7), 2).astype(np.uint32)
+    seq, rules, rounds = I.re_pair(ids, 2, 100)
+    lengths = I.rule_lengths(rules, rounds, 100)
+    assert len(rounds) < 40 and len(seq) < 100 and I.expand(seq, rules, rounds, lengths, 100).tolist() == ids.tolist()
+
+
 def test_files_of_lost_attempts_are_not_read(spark, documents, tokenizer):
     path = fresh_path(spark, "ids")
     shards = I.write_shards(documents(*(prose(40, k) for k in range(6))), path, shard_ids=50)

@@ -1,29 +1,32 @@
 """Token ids in binary shards, compressed by Re-Pair, with random access to documents.
 
 Documents are dealt to shards in ascending id order (nulls first).  A shard's ids are
-compressed by Re-Pair: again and again the frequent pairs of neighbouring ids are replaced
-by new ids (nonterminals).  A round takes up to `rules_per_round` pairs, the most frequent
-first where they overlap; pairs never reach over a document's end.  Rules are stored with
-the lengths of their expansions, and documents with their places in the compressed
-sequence, so one document is decoded alone.
-
-File format: `RPT1`, then the header (little-endian unsigned 64-bit: documents, ids, rules,
-first nonterminal, length of the sequence, and the sizes of the sections), then the
-sections, each a zstd frame: rules (two unsigned 32-bit each), lengths of expansions, null
-flags and doc ids, ids before each document, place of each document in the sequence, the
-sequence (unsigned 32-bit).
+compressed by Re-Pair: the frequent pairs of neighbouring ids are replaced by new ids
+(nonterminals), round after round until no pair is there `least` times.  A round takes all
+frequent pairs, the most frequent first where they overlap; pairs never reach over a
+document's end.  Rules are stored with the lengths of their expansions, and documents with
+their places in the compressed sequence, which is cut into frames: one document, or any
+span of ids, is decoded from its own frames and rules alone.
+
+File format: `RPT2`, then the header (little-endian unsigned 64-bit: documents, ids, rules,
+first nonterminal, length of the sequence, symbols of a frame, and the sizes of the
+sections), then the sections, each a zstd frame: rules (two unsigned 32-bit each), rules of
+each round, lengths of expansions, null flags and doc ids, ids before each document, place
+of each document in the sequence, where each frame starts; then the sequence (unsigned
+32-bit), a zstd frame each `FRAME` symbols.
 
 Scale: one range shuffle of the texts by id; a task streams through its range and writes
-shards of about `shard_ids` ids.  The list of shards, one row each, is a table; a running
-sum over it gives the ids before each shard.  Files are named by attempt and only those in
-the list are read, so a lost executor leaves nothing wrong.
+shards of about `shard_ids` ids.  The list of shards, one row each, is a table; running sums
+over the writing tasks, and over each one's shards, give the ids before each shard.  A task
+reads shards of about `READ_IDS` ids.  Files are named by attempt and only those in the list
+are read, so a lost executor leaves nothing wrong.
 
 Tokenising: a text is cut before single spaces between characters that can't be white
 space, and between an ASCII letter and punctuation, where a byte-level pre-tokeniser of this
 kind always starts a new word, and each
-different piece of a batch is encoded once by the tokenizers library.  With added_tokens, as
-in the queries, an added token's string in a text is one piece and gives that token's id, as
-an untouched tokenizer does; without, it is ordinary text.
+different piece of a batch is encoded once by the tokenizers library.  An added token's
+string in a text is one piece and gives that token's id, as an untouched tokenizer does;
+with added_tokens=False it is ordinary text.
 
 Null texts are empty documents: they hold only the end id.  Repeated ids stay together,
 one document a row, ordered by text.  An empty table gives no files and no rows.
@@ -47,11 +50,12 @@ from pyspark.sql import functions as F
 
 from . import files
 from .kernel import _BYTE_CODE, byte_view, slices, span_hashes
-from .shared import fresh_path, stored, table
+from .shared import fresh_path, parts, stored, table
 
 END_ID = 2
-SHARD_IDS = 1 << 20
-ROUNDS, RULES_PER_ROUND, LEAST_COUNT = 4, 2048, 32
+SHARD_IDS, READ_IDS = 1 << 20, 32 << 20  # ids of a shard, and of the shards that one task reads
+LEAST_COUNT = 32
+FRAME, INDEX_READ = 1 << 13, 1 << 17  # symbols of a frame of the sequence; bytes of the first read, which mostly holds the index
 MOST_PIECES, RECENT_PIECES = 1_500_000, 100_000
 LONG_PIECE = 1024  # bytes; longer ones are encoded where they occur and not held
 _LETTER = np.zeros(256, bool)
@@ -108,7 +112,7 @@ class Known:
 class Pieces:
     """Encodes texts piece by piece, each different piece once as long as it is held."""
 
-    def __init__(self, path: str, added_tokens: bool = False):
+    def __init__(self, path: str, added_tokens: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel units
         from tokenizers import Tokenizer
 
@@ -189,73 +193,120 @@ class Pieces:
 
 
 @lru_cache(maxsize=1)
-def _pieces(tokenizer: str, added_tokens: bool = False) -> Pieces:
+def _pieces(tokenizer: str, added_tokens: bool = True) -> Pieces:
     """The worker's own, kept from task to task."""
     return Pieces(tokenizer, added_tokens)
 
 
-def re_pair(ids: np.ndarray, end_id: int, first_new: int, rounds: int = ROUNDS, rules_per_round: int = RULES_PER_ROUND, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
-    """(sequence, rules): rule k rewrites first_new + k to its two ids."""
-    seq, rules, none = ids.astype(np.uint32), [], np.int32(1 << 30)
-    for _ in range(rounds):
-        if len(seq) < 2:
+_SLOT_BITS = 20
+
+
+def _places(known: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Where each pair would be in sorted known ones: by a table of hash slots, and by bisection where slots clash."""
+    if len(pairs) < 1 << 16:
+        return np.searchsorted(known, pairs)
+    slots = lambda x: ((x * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+    held = np.full(1 << _SLOT_BITS, len(known), np.int32)
+    held[slots(known)] = np.arange(len(known))
+    at = held[slots(pairs)]
+    wrong = np.flatnonzero(np.append(known, known[:1])[at] != pairs)
+    wrong = wrong[at[wrong] < len(known)]
+    at[wrong] = np.searchsorted(known, pairs[wrong])
+    return at
+
+
+def _frequent(seq: np.ndarray, after: np.ndarray, active: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places of active whose pair is there `least` times, its rank by count, the ranked pairs)."""
+    pair = (seq[active].astype(np.uint64) << np.uint64(32)) | seq[after[active]]
+    ordered = np.sort(pair)
+    heads = np.flatnonzero(np.append(np.ones(min(1, len(pair)), bool), ordered[1:] != ordered[:-1]))
+    count = np.diff(np.append(heads, len(pair)))
+    often, count = ordered[heads[count >= least]], count[count >= least]
+    if not len(often):
+        return active[:0], np.zeros(0, np.int64), often
+    at = _places(often, pair)
+    at[at == len(often)] = 0
+    keep = often[at] == pair
+    order = np.argsort(-count, kind="stable")
+    rank = np.empty(len(often), np.int64)
+    rank[order] = np.arange(len(often))
+    return active[keep], rank[at[keep]], often[order]
+
+
+def re_pair(ids: np.ndarray, end_id: int, first_new: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sequence, rules, rules of each round): rule k rewrites first_new + k to its two ids.  Ends when no pair is there `least` times.
+
+    Replaced neighbours are skipped by links, and a round counts only the places that the last one changed or
+    left over: other pairs were too rare before, and only get rarer.
+    """
+    seq, rules = ids.astype(np.uint32), []
+    after, before = np.arange(1, len(seq) + 2), np.arange(-1, len(seq))
+    alive, total = np.ones(len(seq), bool), 0
+    active = np.flatnonzero((seq[:-1] != end_id) & (seq[1:] != end_id))
+    while True:
+        active, mine, pairs = _frequent(seq, after, active, least)
+        if not len(active):
             break
-        left, right = seq[:-1], seq[1:]
-        slot = ((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA6B))) * np.uint32(0xC2B2AE35) >> np.uint32(12)
-        slot[(left == end_id) | (right == end_id)] = 0
-        where = np.flatnonzero((np.bincount(slot, minlength=1 << 20) >= least)[slot] & (slot > 0))
-        own = slot[where]
-        pair = (left[where].astype(np.uint64) << np.uint64(32)) | right[where]
-        owner = np.zeros(1 << 20, np.uint64)  # one pair a slot; others of the slot wait for a later round
-        owner[own] = pair
-        first = owner[own] == pair
-        where, own = where[first], own[first]
-        counts = np.bincount(own, minlength=1 << 20)
-        best = np.flatnonzero(counts >= least)
-        best = best[np.argsort(-counts[best], kind="stable")[:rules_per_round]]
-        if not len(best):
-            break
-        rank = np.full(1 << 20, none, np.int32)
-        rank[best] = np.arange(len(best))
-        ranks = np.full(len(seq) + 1, none, np.int32)  # of the pair that starts one place earlier
-        ranks[where + 1] = rank[own]
-        mine = ranks[1:-1]
-        at = np.flatnonzero((mine < none) & (mine < ranks[:-2]) & (mine <= ranks[2:]))
-        used = np.flatnonzero(np.bincount(mine[at], minlength=len(best)))
-        number = np.zeros(len(best), np.uint32)
-        number[used] = first_new + sum(map(len, rules)) + np.arange(len(used))
-        rules.append(owner[best[used]])
-        seq[at] = number[mine[at]]
-        stay = np.ones(len(seq), bool)
-        stay[at + 1] = False
-        seq = seq[stay]
+        beside = after[active[:-1]] == active[1:]
+        yields = np.append(False, beside & (mine[:-1] < mine[1:])) | np.append(beside & (mine[1:] < mine[:-1]), False)
+        head = np.append(True, ~(beside & (mine[:-1] == mine[1:])))  # a pair that overlaps itself, in a stretch of one id: every other place
+        yields |= (np.arange(len(active)) - np.maximum.accumulate(np.where(head, np.arange(len(active)), 0))) % 2 == 1
+        at, ranks = active[~yields], mine[~yields]
+        used = np.flatnonzero(np.bincount(ranks, minlength=len(pairs)))
+        number = np.zeros(len(pairs), np.uint32)
+        number[used] = first_new + total + np.arange(len(used))
+        rules.append(pairs[used])
+        seq[at] = number[ranks]
+        second = after[at]
+        alive[second] = False
+        after[at] = after[second]
+        before[after[at]] = at
+        left = active[yields]
+        left = left[alive[left]]
+        near = np.sort(np.concatenate([left[seq[left] < first_new + total], at, before[at]]))
+        total += len(used)
+        active = near[np.append(near[:1] >= 0, (near[1:] != near[:-1]) & (near[1:] >= 0))]
+        active = active[after[active] < len(seq)]
+        active = active[(seq[active] != end_id) & (seq[after[active]] != end_id)]
     pairs = np.concatenate([np.zeros(0, np.uint64), *rules])
-    return seq, np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+    return seq[alive], np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32), np.array([len(r) for r in rules], np.uint32)
+
+
+def rule_lengths(rules: np.ndarray, rounds: np.ndarray, first_new: int) -> np.ndarray:
+    """How many ids each rule stands for; a round's rules are made of earlier ones."""
+    lengths = np.ones(first_new + len(rules), np.uint32)
+    at = first_new
+    for n in rounds.tolist():
+        lengths[at : at + n] = lengths[rules[at - first_new : at - first_new + n]].sum(axis=1)
+        at += n
+    return lengths[first_new:]
 
 
-def expansions(rules: np.ndarray, lengths: np.ndarray, first_new: int) -> tuple[np.ndarray, np.ndarray]:
+def expansions(rules: np.ndarray, rounds: np.ndarray, lengths: np.ndarray, first_new: int) -> tuple[np.ndarray, np.ndarray]:
     """(all expansions one after another, where each starts)."""
-    starts = np.cumsum(lengths.astype(np.int64)) - lengths
-    flat = np.zeros(int(lengths.sum()), np.uint32)
-    for k, (a, b) in enumerate(rules.tolist()):  # a rule's parts come before it
-        at = int(starts[k])
-        for part in (a, b):
-            if part < first_new:
-                flat[at] = part
-                at += 1
-            else:
-                i, n = int(starts[part - first_new]), int(lengths[part - first_new])
-                flat[at : at + n] = flat[i : i + n]
-                at += n
+    size = lengths.astype(np.int64)
+    starts = np.cumsum(size) - size
+    flat, at = np.zeros(int(size.sum()), np.uint32), 0
+    for n in rounds.tolist():
+        parts_ = rules[at : at + n].ravel()
+        plain = parts_ < first_new
+        rule = np.where(plain, 0, parts_ - np.uint32(first_new)).astype(np.int64)
+        many = np.where(plain, 1, size[rule])
+        where = np.repeat(np.where(plain, 0, starts[rule]) - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        made = flat[where]
+        made[np.repeat(plain, many)] = parts_[plain]
+        flat[starts[at] : starts[at] + len(made)] = made
+        at += n
     return flat, starts
 
 
-def expand(seq: np.ndarray, rules: np.ndarray, lengths: np.ndarray, first_new: int) -> np.ndarray:
-    flat, starts = expansions(rules, lengths, first_new)
-    plain = seq < first_new
-    rule = np.where(plain, 0, seq - np.uint32(first_new)).astype(np.int64)
+def expand(seq: np.ndarray, rules: np.ndarray, rounds: np.ndarray, lengths: np.ndarray, first_new: int) -> np.ndarray:
+    """All ids of a sequence, by way of all rules' expansions."""
     if not len(rules):
         return seq
+    flat, starts = expansions(rules, rounds, lengths, first_new)
+    plain = seq < first_new
+    rule = np.where(plain, 0, seq - np.uint32(first_new)).astype(np.int64)
     size = np.where(plain, 1, lengths[rule]).astype(np.int64)
     within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     out = flat[np.repeat(np.where(plain, 0, starts[rule]), size) + within]
@@ -263,14 +314,23 @@ def expand(seq: np.ndarray, rules: np.ndarray, lengths: np.ndarray, first_new: i
     return out
 
 
-_HEAD = 11
+def expand_few(seq: np.ndarray, rules: np.ndarray, first_new: int) -> np.ndarray:
+    """All ids of a short sequence, looking at no other rules than those in it."""
+    while (new := seq >= first_new).any():
+        last = np.cumsum(1 + new) - 1
+        out = np.repeat(seq, 1 + new)
+        pairs = rules[(seq[new] - np.uint32(first_new)).astype(np.int64)]
+        out[last[new] - 1], out[last[new]] = pairs[:, 0], pairs[:, 1]
+        seq = out
+    return seq
+
+
+_HEAD = 13
 
 
-def shard_bytes(doc_ids: list, counts: np.ndarray, ids: np.ndarray, end_id: int, first_new: int, **how) -> bytes:
-    seq, rules = re_pair(ids, end_id, first_new, **how)
-    lengths = np.zeros(len(rules), np.uint32)
-    for k, (a, b) in enumerate(rules.tolist()):
-        lengths[k] = (1 if a < first_new else lengths[a - first_new]) + (1 if b < first_new else lengths[b - first_new])
+def shard_bytes(doc_ids: list, counts: np.ndarray, ids: np.ndarray, end_id: int, first_new: int, frame: int = FRAME, **how) -> bytes:
+    seq, rules, rounds = re_pair(ids, end_id, first_new, **how)
+    lengths = rule_lengths(rules, rounds, first_new)
     places = np.append(0, np.flatnonzero(seq == end_id) + 1)  # every document ends with the end id, in no rule
     ends = np.cumsum(counts)
     # the end id may also occur inside a document: places are of those ends that are documents' last ids
@@ -281,36 +341,74 @@ def shard_bytes(doc_ids: list, counts: np.ndarray, ids: np.ndarray, end_id: int,
         places = np.append(0, np.searchsorted(np.cumsum(size), ends) + 1)
     blank = np.array([d is None for d in doc_ids], np.uint8).tobytes()
     known = np.array([d or 0 for d in doc_ids], np.int64).tobytes()
-    sections = [zstandard.compress(x, 3) for x in (rules.tobytes(), lengths.tobytes(), blank + known, (ends - counts).astype(np.uint64).tobytes(), places.astype(np.uint64).tobytes(), seq.astype(np.uint32).tobytes())]
-    return b"RPT1" + np.array([len(doc_ids), len(ids), len(rules), first_new, len(seq), *map(len, sections)], np.uint64).tobytes() + b"".join(sections)
+    frames = [zstandard.compress(seq[k : k + frame].astype("<u4").tobytes(), 3) for k in range(0, len(seq), frame)]
+    index = np.append(0, np.cumsum([len(f) for f in frames], dtype=np.uint64)).astype(np.uint64)
+    sections = [zstandard.compress(x.tobytes() if isinstance(x, np.ndarray) else x, 3) for x in (rules, rounds, lengths, blank + known, (ends - counts).astype(np.uint64), places.astype(np.uint64), index)]
+    head = np.array([len(doc_ids), len(ids), len(rules), first_new, len(seq), frame, *map(len, sections)], np.uint64)
+    return b"RPT2" + head.tobytes() + b"".join(sections) + b"".join(frames)
 
 
 class Shard:
-    """Random access to the documents of one shard file."""
+    """Random access to the documents of one shard: the index is read at once, of the sequence what is asked for.
 
-    def __init__(self, data: bytes):
-        if data[:4] != b"RPT1":
+    source: the file's bytes, or its uri.
+    """
+
+    def __init__(self, source: bytes | str):
+        self._read = (lambda at, n: source[at : at + n]) if isinstance(source, bytes) else (lambda at, n: files.get(source, at, n))
+        start = self._read(0, INDEX_READ)
+        if start[:4] != b"RPT2":
             raise ValueError("not a shard of token ids")
-        head = np.frombuffer(data, np.uint64, _HEAD, 4).astype(np.int64)
-        self.docs, self.total, _, self.first_new, _ = head[:5].tolist()
-        at, parts_ = 4 + 8 * _HEAD, []
-        for n in head[5:].tolist():
-            parts_.append(zstandard.decompress(data[at : at + n]))
+        head = np.frombuffer(start, np.uint64, _HEAD, 4).astype(np.int64)
+        self.docs, self.total, _, self.first_new, _, self.frame = head[:6].tolist()
+        at = 4 + 8 * _HEAD
+        self._base = at + int(head[6:].sum())
+        start = start if len(start) >= self._base else start + self._read(len(start), self._base - len(start))
+        parts_ = []
+        for n in head[6:].tolist():
+            parts_.append(zstandard.decompress(start[at : at + n]))
             at += n
-        self.rules, self.lengths = np.frombuffer(parts_[0], np.uint32).reshape(-1, 2), np.frombuffer(parts_[1], np.uint32)
-        blank, known = np.frombuffer(parts_[2], np.uint8, self.docs), np.frombuffer(parts_[2], np.int64, self.docs, self.docs)
+        whole = lambda k: np.frombuffer(parts_[k], np.uint64).astype(np.int64)
+        self.rules, self.rounds, self.lengths = np.frombuffer(parts_[0], np.uint32).reshape(-1, 2), np.frombuffer(parts_[1], np.uint32), np.frombuffer(parts_[2], np.uint32)
+        blank, known = np.frombuffer(parts_[3], np.uint8, self.docs), np.frombuffer(parts_[3], np.int64, self.docs, self.docs)
         self.doc_ids = [None if b else int(k) for b, k in zip(blank, known)]
-        self.before, self.places, self.seq = np.frombuffer(parts_[3], np.uint64).astype(np.int64), np.frombuffer(parts_[4], np.uint64).astype(np.int64), np.frombuffer(parts_[5], np.uint32)
+        self.before, self.places, self._frames = whole(4), whole(5), whole(6)
+
+    def _sequence(self, lo: int, hi: int) -> np.ndarray:
+        """Symbols lo to hi of the compressed sequence; only their frames are read."""
+        if lo >= hi:
+            return np.zeros(0, np.uint32)
+        first, last = lo // self.frame, -(-hi // self.frame)
+        base = int(self._frames[first])
+        data = self._read(self._base + base, int(self._frames[last]) - base)
+        cuts = (self._frames[first : last + 1] - base).tolist()
+        seq = np.frombuffer(b"".join(zstandard.decompress(data[a:b]) for a, b in zip(cuts[:-1], cuts[1:])), "<u4")
+        return seq[lo - first * self.frame : hi - first * self.frame]
 
     def document(self, k: int) -> np.ndarray:
         """The ids of document k of the shard, decoded alone."""
-        return expand(self.seq[self.places[k] : self.places[k + 1]], self.rules, self.lengths, self.first_new)
+        return expand_few(self._sequence(int(self.places[k]), int(self.places[k + 1])), self.rules, self.first_new)
+
+    def span(self, start: int, stop: int) -> np.ndarray:
+        """Ids start to stop of the shard; the lengths of expansions say which symbols hold them."""
+        start, stop = max(0, start), min(stop, self.total)
+        if start >= stop:
+            return np.zeros(0, np.uint32)
+        first, last = (int(np.searchsorted(self.before, x, "right")) - 1 for x in (start, stop - 1))
+        seq = self._sequence(int(self.places[first]), int(self.places[last + 1]))
+        size = np.ones(len(seq), np.int64)
+        new = seq >= self.first_new
+        size[new] = self.lengths[(seq[new] - np.uint32(self.first_new)).astype(np.int64)]
+        ends = int(self.before[first]) + np.cumsum(size)
+        lo, hi = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
+        base = int(ends[lo] - size[lo])
+        return expand_few(seq[lo:hi], self.rules, self.first_new)[start - base : stop - base]
 
     def all_ids(self) -> np.ndarray:
-        return expand(self.seq, self.rules, self.lengths, self.first_new)
+        return expand(self._sequence(0, int(self.places[-1])), self.rules, self.rounds, self.lengths, self.first_new)
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS, added_tokens: bool = False) -> DataFrame:
+def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS, added_tokens: bool = True) -> DataFrame:
     """Write the documents' ids as shard files under path; the list of shards (uri, first_doc, last_doc, docs, ids, part, number), in order of (part, number)."""
     tokenizer = tokenizer or default_tokenizer()
 
@@ -350,10 +448,9 @@ def read_shards(shards: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                shard = Shard(files.get(r["uri"]))
+                shard = Shard(r["uri"])
                 ids = shard.all_ids().view(np.int32)
-                bounds = np.append(shard.before, shard.total)
-                step = max(1, 4096)
+                bounds, step = np.append(shard.before, shard.total), 4096
                 for k in range(0, shard.docs, step):
                     b = bounds[k : k + step + 1]
                     yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids[k : k + step], pa.int64()), pa.array(r["before"] + b[:-1]), pa.ListArray.from_arrays(pa.array((b - b[0]).astype(np.int32)), pa.array(ids[b[0] : b[-1]]))], ["doc_id", "start", "ids"])
@@ -362,8 +459,13 @@ def read_shards(shards: DataFrame) -> DataFrame:
 
 
 def _with_starts(shards: DataFrame) -> DataFrame:
-    order = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    return shards.select("uri", F.coalesce(F.sum("ids").over(order), F.lit(0)).alias("before")).repartition(max(1, shards.count()), "uri")  # a task a shard, however few bytes the list has
+    """(uri, before: ids of all shards before it), dealt to tasks.  Only the list of writing tasks is ordered as a whole."""
+    earlier = lambda w: F.coalesce(F.sum("ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tasks = shards.groupBy("part").agg(F.sum("ids").alias("ids")).select("part", earlier(Window.orderBy("part")).alias("base"))
+    placed = shards.join(tasks, "part").select("uri", (F.col("base") + earlier(Window.partitionBy("part").orderBy("number"))).alias("before"))
+    size = shards.agg(F.sum("ids").alias("ids"), F.count("*").alias("n")).first()
+    n = min(size["n"], max(4 * shards.sparkSession.sparkContext.defaultParallelism, parts(size["ids"], READ_IDS)))
+    return placed.repartition(max(1, n), F.xxhash64("uri"))
 
 
 def shard_digests(shards: DataFrame) -> DataFrame:
@@ -372,7 +474,7 @@ def shard_digests(shards: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                shard = Shard(files.get(r["uri"]))
+                shard = Shard(r["uri"])
                 ids = memoryview(shard.all_ids().astype("<u4").tobytes())
                 bounds = np.append(shard.before, shard.total)
                 crc = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
@@ -381,7 +483,7 @@ def shard_digests(shards: DataFrame) -> DataFrame:
     return _with_starts(shards).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def encode_documents(docs: DataFrame, added_tokens: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, added_tokens: bool = True) -> DataFrame:
     return shard_digests(write_shards(docs, fresh_path(docs.sparkSession, "ids"), added_tokens=added_tokens))
 
 
