@@ -68,6 +68,33 @@ def test_large_family_in_blocks(documents, block):
     check(df, block_docs=block, chunk_bytes=5000, bucket_shingles=500)
 
 
+@pytest.mark.parametrize("wide", [1, 3, 8])
+def test_narrow_and_wide_shingles(documents, wide):
+    """Groups of near copies of all sizes, chained ones, and sets of neighbouring size classes in large families."""
+    rng = random.Random(wide)
+    texts = [near([f"g{g}_{i}" for i in range(40 + 7 * g)], rng, rng.randrange(3)) for g in range(12) for _ in range(1 + g)]
+    base = [f"c{i}" for i in range(400)]
+    texts += [" ".join(base[k : k + 100 + k % 60]) for k in range(0, 160, 3)]
+    check(documents(*texts), wide=wide, block_docs=5, block_shingles=2000, chunk_bytes=4000, bucket_shingles=300)
+
+
+def test_texts_without_a_common_shingle_never_link(documents):
+    """Their shingle hashes agree in the first 32 bits."""
+    check(documents("f756f 8811d 4fbf8 5f6f9 26905", "c24b5 8fb93 86eba 393b5 2ea44"))
+
+
+def test_wide_families_compare_neighbouring_sizes_only(spark):
+    family = spark.createDataFrame([(bytes([k, j]), b"r", n) for j in range(40) for k, n in enumerate((10, 12, 100, 124, 1000))], "digest binary, root binary, n int")
+    got = J.blocks_of(family, 200, 80, 4, 1 << 20).collect()
+    sizes = {bytes(r["digest"]): r["n"] for r in family.collect()}
+    met = defaultdict(set)
+    for r in got:
+        met[r["bi"], r["bj"]].add((bytes(r["digest"]), r["block"]))
+    together = {(a, b) for g, rows in met.items() for a, x in rows for b, y in rows if a < b and (g[0] == g[1] or x != y)}
+    assert {(a, b) for a in sizes for b in sizes if a < b and 100 * min(sizes[a], sizes[b]) >= 80 * max(sizes[a], sizes[b])} <= together
+    assert not any(max(sizes[a], sizes[b]) > 2 * min(sizes[a], sizes[b]) for a, b in together)
+
+
 def test_edges(documents):
     check(documents(*edge_texts(), "a b c d", "A B c d", "a b c d e", "A b C d E", (7, "same id " * 9), (7, "same id " * 9), (None, "no id at all here")))
 

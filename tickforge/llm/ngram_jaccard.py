@@ -1,22 +1,34 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 Which documents link: those whose sets of five-word shingles have
-100 * |A and B| >= threshold * |A or B|.  The join is exact and returns one row per
-document: its class (connected component of links) and its number of links.
+100 * |A and B| >= threshold * |A or B|.  One row per document comes out: its class (connected
+component of links) and its number of links.  No pair is lost; a shingle is its 64-bit hash,
+on which intersections are counted.
 
 How: shingles are ordered by how many different sets hold them, rarest first.  A pair that
 links shares at least l shingles among the first (n - ceil(t n) + l) of each of the two
 sets, for every l.  A document whose prefix for l = 1 holds only shingles of its own has no
 partner and leaves the join there; that is nearly every document.  The others get the l for
-which the estimated cost (postings to look through, and candidates to verify) is least.
-Prefixes for l = 1 split the rest into families; in a family, pairs must share as many
-prefix shingles as the smaller l of the two asks before they are verified in full.
+which the estimated cost (postings to look through, and candidates to verify) is least, and
+a posting for each shingle of that prefix.  A pair is a candidate if it shares as many
+shingles as the smaller l of the two asks, in the prefixes for that l; candidates are
+verified in full.
+
+Shingles of at most `wide` postings give pairs: equal posting lists are counted once, and
+pairs are added up over them.  Wider shingles are those of large groups of near copies, whose
+pairs aren't listed: their documents form families (components), which are compared by
+blocks, of neighbouring classes of set size only, as one matrix product for the shared
+prefix shingles and one for the verification.  Blocks return a spanning forest and link
+counts.  A pair of one family is left to its blocks, which see all shingles; a pair of two
+families shares no wide shingle.
 
 Scale: equal sets are one node from the start.  Shingle frequencies are counted without
 moving a row per shingle: a chunk of documents sends each bucket of the hash space one
-packed message of remainders, and gets back one byte for each.  A frequent shingle is one
-entry a chunk.  Families above `block_docs` are verified in pairs of blocks, as tasks of
-their own, that return a spanning forest and link counts, never pairs.
+packed message of remainders, and gets back one byte for each (remainders that clash only
+make a shingle seem more frequent).  A frequent shingle is one entry a chunk.  Chunks and
+buckets grow with the square root of the corpus beyond `GROWN_FROM` bytes, so that messages
+grow with the corpus.  Blocks are bounded in documents and shingles.  A family that many
+shingles in many contexts chain together costs the square of its neighbouring size classes.
 
 Nulls and texts without words are empty sets and link with nothing; their component is
 their own doc_id.  Repeated rows are documents of their own that link with each other.
@@ -33,15 +45,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import connected
+from .components import beside_least, connected, join_by_count
 from .kernel import byte_view, shingle_sets, slices
 from .packing import by_bucket, coded, pack, squeeze, unpack, unsqueeze
-from .shared import parts, stored, table, text_bytes
+from .shared import grown, parts, stored, table, tasks, text_bytes
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES, GROWN_FROM = 8 << 20, 32 << 30
 BUCKET_SHINGLES = 2 << 20
-BLOCK_DOCS = 256
-MOST_MATCHES = 8
+BLOCK_DOCS, BLOCK_SHINGLES = 256, 1 << 20
+MOST_MATCHES, WIDE = 8, 8
 
 
 def _sets(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -87,7 +99,8 @@ def _distinct_sets(docs: DataFrame, text_col: str, chunks: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column(0).take(pa.array(rows, pa.int64()))], ["digest", "text"])
 
     found = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null").mapInArrow(run, "digest binary, text string")
-    return found.withColumn("chunk", F.pmod(F.xxhash64("digest"), F.lit(chunks)).cast("int"))
+    dealt = found.withColumn("chunk", F.pmod(F.xxhash64("digest"), F.lit(chunks)).cast("int"))
+    return dealt.repartition(tasks(docs.sparkSession, chunks), "chunk")
 
 
 def _chunk_sets(chunk: pa.Table) -> tuple[list[bytes], list[np.ndarray]]:
@@ -142,8 +155,8 @@ def _matches(levels: np.ndarray, n: int, first: int, alone: int, most: int) -> i
 def candidates(texts: DataFrame, replies: DataFrame, buckets: int, threshold: int, most: int = MOST_MATCHES) -> DataFrame:
     """(digest, n, first, alone, ell, codes, prefix) of the sets that may have a partner.
 
-    codes: the shingles that other sets hold too, rarest first; prefix: those of the prefix for l = 1;
-    first: length of that prefix; alone: the set's own shingles, which come before codes.
+    codes: the shingles that other sets hold too, rarest first; prefix: those of the prefix for l = ell;
+    first: length of the prefix for l = 1; alone: the set's own shingles, which come before codes.
     """
 
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
@@ -161,9 +174,10 @@ def candidates(texts: DataFrame, replies: DataFrame, buckets: int, threshold: in
                 first, alone = n - -(-threshold * n // 100) + 1, int((level == 0).sum())
                 if alone >= first:
                     continue
-                order = np.lexsort((codes, level))[alone:]
-                codes, level = codes[order], level[order].astype(np.float64)
-                rows.append((name, n, first, alone, _matches(level, n, first, alone, most), codes.tobytes(), codes[: first - alone].view(np.int64)))
+                order = np.lexsort((hashes, level))[alone:]
+                shared, level = hashes[order], level[order].astype(np.float64)
+                ell = _matches(level, n, first, alone, most)
+                rows.append((name, n, first, alone, ell, shared.tobytes(), shared[: first + ell - 1 - alone].view(np.int64)))
         kinds = (pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
         return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["digest", "n", "first", "alone", "ell", "codes", "prefix"])
 
@@ -223,7 +237,55 @@ def _verify(threshold: int):
     return run
 
 
-def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80, chunk_bytes: int = CHUNK_BYTES, bucket_shingles: int = BUCKET_SHINGLES, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def _verify_pairs(threshold: int):
+    def run(batches):
+        """The pairs (a, b) that link, of pairs with both sizes and shingles."""
+        for batch in batches:
+            rows = batch.to_pydict()
+            keep = []
+            for na, nb, a, b in zip(rows["na"], rows["nb"], rows["codes_a"], rows["codes_b"]):
+                both = len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
+                keep.append(100 * both >= threshold * (na + nb - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def candidate_pairs(narrow: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) of the documents that share as many prefix shingles as the smaller l asks, in the prefixes for that l.
+
+    narrow: postings (u: shingle, v: digest, level: the least l whose prefix holds it, ell, n, root: the family or null), few of one shingle.
+    """
+    one = F.struct("v", "ell", "n", "root", "level")
+    lists = narrow.groupBy("u").agg(F.array_sort(F.collect_list(one)).alias("list")).groupBy("list").agg(F.count("*").alias("times"))
+    pairs = lists.select("list", "times", F.posexplode("list").alias("i", "x")).select("times", "x", F.explode(F.slice("list", F.col("i") + 2, F.size("list"))).alias("y"))
+    ell, lo, hi = F.least("x.ell", "y.ell"), F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    apart = F.coalesce(F.col("x.root") != F.col("y.root"), F.lit(True))
+    may = pairs.where(apart & (100 * lo >= threshold * hi) & (F.greatest("x.level", "y.level") <= ell))
+    return may.groupBy(F.col("x.v").alias("a"), F.col("y.v").alias("b")).agg(F.sum("times").alias("shared"), F.first(ell).alias("ell")).where("shared >= ell").select("a", "b")
+
+
+def blocks_of(family: DataFrame, total: int, threshold: int, block_docs: int, block_shingles: int) -> DataFrame:
+    """(digest, root, block, bi, bj): a row for each pair of blocks that a document of a family (digest, root, n) is compared in."""
+    width = float(np.log(1.0001 * 100 / threshold))
+    sized = family.withColumn("size_class", F.floor(F.log("n") / width).cast("int"))  # sets that link are of one class or of neighbouring ones
+    counts = sized.groupBy("root", "size_class").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
+    many = F.greatest(F.ceil(F.col("docs") / block_docs), F.ceil(F.col("shingles") / block_shingles)).cast("int")
+    roots = counts.groupBy("root").agg(F.sum("docs").alias("members"), F.sum("shingles").alias("shingles"), F.map_from_entries(F.collect_list(F.struct("size_class", many))).alias("blocks"))
+    dealt = join_by_count(sized, roots, "root", total)
+    small = (F.col("members") <= 2 * block_docs) & (F.col("shingles") <= 2 * block_shingles)
+    number = lambda k, b: k.cast("long") * (1 << 32) + b
+    own = number(F.col("size_class"), F.pmod(F.xxhash64("digest"), F.col("blocks")[F.col("size_class")]))
+    near = F.filter(F.array(*(F.col("size_class") + k for k in (-1, 0, 1))), lambda k: F.map_contains_key("blocks", k))
+    others = F.flatten(F.transform(near, lambda k: F.transform(F.sequence(F.lit(0), F.col("blocks")[k] - 1), lambda b: number(k, b))))
+    dealt = dealt.select("digest", "root", F.when(small, F.lit(0).cast("long")).otherwise(own).alias("block"), F.when(small, F.array(F.lit(0).cast("long"))).otherwise(others).alias("others"))
+    return dealt.withColumn("other", F.explode("others")).select("digest", "root", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
+
+
+def similarity_classes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80, chunk_bytes: int = CHUNK_BYTES, bucket_shingles: int = BUCKET_SHINGLES,
+    block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES, wide: int = WIDE,
+) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row of docs; see the module's text.
 
     component_id is the smallest doc_id that links reach, itself included; n_links counts the
@@ -232,27 +294,38 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sigs = stored(signatures(docs, id_col, text_col), "signatures")
     nodes = stored(sigs.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "nodes")
     size = docs.agg(F.sum(text_bytes(text_col)).alias("bytes")).first()["bytes"]
-    shingles = sigs.agg(F.sum("n_shingles").alias("n")).first()["n"]
-    buckets = parts(shingles, bucket_shingles)
-    texts = _distinct_sets(docs, text_col, parts(size, chunk_bytes))
+    seen = sigs.agg(F.sum("n_shingles").alias("n"), F.count("*").alias("rows")).first()
+    buckets = parts(seen["n"], grown(bucket_shingles, size, GROWN_FROM))
+    texts = _distinct_sets(docs, text_col, parts(size, grown(chunk_bytes, size, GROWN_FROM)))
     found = stored(candidates(texts, _frequencies(texts, buckets), buckets, threshold), "candidates")
 
-    postings = found.select(F.explode("prefix").alias("shingle"), "digest")
-    heads = postings.groupBy("shingle").agg(F.min("digest").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    family = stored(connected(postings.join(heads, "shingle").select(F.col("digest").alias("u"), F.col("head").alias("v"))), "families")
-    blocks = family.groupBy("root").agg(F.count("*").alias("members")).withColumn("blocks", F.when(F.col("members") <= 2 * block_docs, 1).otherwise(F.ceil(F.col("members") / block_docs)).cast("int"))
-    dealt = family.join(blocks, "root").select(F.col("node").alias("digest"), "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
-    full = found.drop("prefix").join(dealt, "digest").join(nodes.select("digest", F.col("copies")), "digest")
-    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"bi": F.least("block", "other"), "bj": F.greatest("block", "other")})
-    full = full.select("root", "bi", "bj", "block", "digest", "n", "first", "alone", "ell", "copies", "codes")
-    linked = stored(full.groupBy("root", "bi", "bj").applyInArrow(_verify(threshold), "digest binary, root binary, links long"), "linked")
-    if (blocks.agg(F.max("blocks").alias("n")).first()["n"] or 1) > 1:
-        roots = connected(linked.select(F.col("digest").alias("u"), F.col("root").alias("v"))).select(F.col("node").alias("digest"), "root")
-        linked = linked.groupBy("digest").agg(F.sum("links").alias("links")).join(roots, "digest")
+    level = F.greatest(F.lit(1), F.col("alone") + F.col("i") + 2 - F.col("first"))
+    postings = found.select("digest", "n", "ell", "first", "alone", F.posexplode("prefix").alias("i", "u")).select("u", F.col("digest").alias("v"), level.alias("level"), "ell", "n")
+    total = found.agg(F.sum(F.size("prefix")).alias("n")).first()["n"] or 0
+    met = stored(beside_least(postings, total).where("members > 1"), "postings")
+    family = stored(connected(met.where(F.col("members") > wide).select(F.col("v").alias("u"), F.col("least").alias("v"))).withColumnRenamed("node", "digest"), "families")
+
+    narrow = met.where(F.col("members") <= wide).join(family.withColumnRenamed("digest", "v"), "v", "left")
+    codes = lambda side: found.select(F.col("digest").alias(side), F.col("n").alias(f"n{side}"), F.col("codes").alias(f"codes_{side}"))
+    pairs = candidate_pairs(narrow, threshold).join(codes("a"), "a").join(codes("b"), "b").select("a", "b", "na", "nb", "codes_a", "codes_b")
+    pairs = stored(pairs.mapInArrow(_verify_pairs(threshold), "a binary, b binary"), "pairs")
+
+    members = found.select("digest", "n", "first", "alone", "ell", "codes").join(nodes.select("digest", "copies"), "digest")
+    dealt = blocks_of(family.join(found.select("digest", "n"), "digest"), found.count(), threshold, block_docs, block_shingles)
+    full = members.join(dealt, "digest").select("root", "bi", "bj", "block", "digest", "n", "first", "alone", "ell", "copies", "codes")
+    blocks = stored(full.groupBy("root", "bi", "bj").applyInArrow(_verify(threshold), "digest binary, root binary, links long"), "linked")
+
+    both = pairs.select(F.col("a").alias("digest"), F.col("b").alias("root")).unionByName(pairs.select(F.col("b").alias("digest"), F.col("a").alias("root")))
+    from_pairs = both.join(nodes.select(F.col("digest").alias("root"), F.col("copies").alias("links")), "root").select("digest", "links")
+    links = blocks.select("digest", "links").unionByName(from_pairs).groupBy("digest").agg(F.sum("links").alias("links"))
+    roots = connected(blocks.select(F.col("digest").alias("u"), F.col("root").alias("v")).unionByName(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))).withColumnRenamed("node", "digest")
+    linked = links.join(roots, "digest")
     members = nodes.join(linked, "digest", "left").where("copies > 1 or root is not null").select("digest", "least", "copies", F.coalesce("root", "digest").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     members = stored(members, "members")
-    classes = members.join(members.groupBy("root").agg(F.min("least").alias("component")), "root").select("digest", "component", (F.col("links") + F.col("copies") - 1).alias("links"))
-    return sigs.join(classes, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
+    components = members.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("members"))
+    classes = join_by_count(members, components, "root", seen["rows"]).select("digest", "component", (F.col("links") + F.col("copies") - 1).alias("links"), F.col("copies").alias("members"))
+    joined = join_by_count(sigs, classes, "digest", seen["rows"], "left")
+    return joined.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, threshold: int = 80) -> DataFrame:

@@ -12,10 +12,12 @@ _own: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset and Spark runs on this machine alone (tests)."""
     held = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if held:
         return held.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not _own:
         _own.append("file://" + tempfile.mkdtemp(prefix="spark-llm-"))
     return _own[0]
@@ -41,6 +43,19 @@ def text_bytes(text: str = "text") -> Column:
     return F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")
 
 
+def grown(each: int, total: int, up_to: int) -> int:
+    """A part's size for a total: `each` while the total is at most up_to, then growing with its square root.
+
+    Messages from every part of one kind to every part of another then grow with the total, not with its square.
+    """
+    return int(each * max(1.0, (total or 0) / up_to) ** 0.5)
+
+
+def tasks(spark: SparkSession, wanted: int) -> int:
+    """As many tasks as wanted, at least those that the session shuffles to."""
+    return max(int(wanted), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def parts(total: int, each: int) -> int:
     """How many parts of about `each` make up `total`; at least 1."""
     return max(1, -(-int(total or 0) // each))
