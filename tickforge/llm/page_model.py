@@ -19,12 +19,14 @@ import math
 import random
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
-#: Start and end tags, comments, and elements whose inside isn't markup (group 1 of theirs is the name).
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(script|style|template|textarea|iframe|title)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+#: Elements whose inside isn't markup; each goes with it, to the page's end where no end tag follows.
+RAW = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style", "template", "textarea", "iframe", "title")}
 #: Elements that are passed over whole where their end tag follows; without one, what comes after is read on.
 SKIPPED = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("noscript", "select", "svg")}
+AFTER_NAME, SPECIAL = re.compile(r"[\s/>]"), re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))|([^\s=\"'/]+)")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var button canvas object".split())
@@ -89,16 +91,122 @@ def _run(text: str, links: int, parent: str) -> tuple[str, tuple[str, ...]]:
     return "run", (f"length:{length}", f"links:{linked}", f"end:{stop}", f"in:{parent}", *(("sign",) if "©" in text else ()))
 
 
+class Ahead:
+    """The next match of a pattern from any place on; the stretch up to it is looked at once."""
+
+    def __init__(self, page: str, pattern: re.Pattern):
+        self.page, self.pattern, self.start, self.found = page, pattern, 0, -1
+
+    def __call__(self, at: int) -> int:
+        if not self.start <= at <= self.found:
+            m = self.pattern.search(self.page, at)
+            self.start, self.found = at, m.start() if m else len(self.page)
+        return self.found
+
+
+class Tags:
+    """Where the tags of a page end.  No stretch is looked at again and again, however the page is broken."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.name_end, self.special = Ahead(page, AFTER_NAME), Ahead(page, SPECIAL)
+        self.endless: set[int] = set()  # special characters outside quotes from which no tag's end is reached
+
+    def end(self, at: int) -> int:
+        """Behind the first > from `at` on that isn't quoted; -1 if there is none."""
+        passed: list[int] = []
+        while at <= self.last:
+            k = self.special(at)
+            if k >= len(self.page) or k in self.endless:
+                break
+            if self.page[k] == ">":
+                return k + 1
+            passed.append(k)
+            close = self.page.find(self.page[k], k + 1)
+            if close < 0:
+                break
+            at = close + 1
+        self.endless.update(passed)
+        return -1
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, whether it is an end tag, attributes) of the tags of a page; comments and elements that are passed over have no name."""
+    tags, at, endless = Tags(page), 0, set()
+    after = lambda mark, k: n + len(mark) if (n := page.find(mark, k)) >= 0 else len(page)
+    while (at := page.find("<", at)) >= 0:
+        end, first = -1, at + 1 + page.startswith("/", at + 1)
+        if page.startswith("<!--", at):
+            end = after("-->", at + 4)
+        elif page.startswith("<![CDATA[", at):
+            end = after("]]>", at + 9)
+        elif page.startswith(("<!", "<?"), at):
+            end = page.find(">", at) + 1 if at < tags.last else -1
+        elif at < tags.last and "a" <= page[first : first + 1].lower() <= "z" and (end := tags.end(tags.name_end(first))) > 0:
+            cut = tags.name_end(first)
+            name, raw, closing = page[first:cut].lower(), page[cut : end - 1], first > at + 1
+            passed = None
+            if not closing and name in RAW:
+                m = RAW[name].search(page, end)
+                passed = m.end() if m else len(page)
+            elif not closing and name in SKIPPED and name not in endless and not (name == "svg" and raw.endswith("/")):
+                if m := SKIPPED[name].search(page, end):
+                    passed = m.end()
+                else:
+                    endless.add(name)
+            if passed is None:
+                yield at, end, name, closing, raw
+                at = end
+                continue
+            end = passed
+        if end > 0:
+            yield at, end, "", False, ""
+        at = max(end, at + 1)
+
+
+class Open:
+    """The open elements of a page, inline ones too, with their block's node; what is open under a name is found at once."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = [("", 0)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    @property
+    def node(self) -> int:
+        return self.stack[-1][1]
+
+    def push(self, tag: str, node: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, node))
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The place of the innermost open element of these names; 0 if there is none."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def pop(self, to: int) -> list[str]:
+        gone = [t for t, _ in self.stack[to:]]
+        for t in gone:
+            self.places[t].pop()
+        while self.blocks and self.blocks[-1] >= to:
+            self.blocks.pop()
+        del self.stack[to:]
+        return gone
+
+
 def parse(page: str) -> Tree:
-    """The page's block elements and text runs, parents before children.
+    """The page's block elements and text runs, parents before children, in time linear in the page.
 
     Tags that are left open or closed twice are mended as browsers do: a block closes an open
-    paragraph, an item its sibling; an end tag without its start is passed over.
+    paragraph, an item its sibling; an end tag without its start is passed over, and so is one
+    of an inline element that was opened outside of the innermost block.
     """
     tree = Tree()
     nodes = tree.nodes
     nodes.append(Node(-1, "root", ("tag:root",)))
-    stack: list[tuple[str, int]] = [("", 0)]  # open elements, inline ones too, with their block's node
+    held = Open()
     pieces: list[str] = []
     links, open_links, skipping = 0, 0, 0
 
@@ -110,7 +218,7 @@ def parse(page: str) -> Tree:
                 text = html.unescape(text)
             text = " ".join(text.split())
             if text and not skipping:
-                at = stack[-1][1]
+                at = held.node
                 kind, seen = _run(text, min(links, len(text)), nodes[at].kind)
                 nodes.append(Node(at, kind, seen, text, nodes[at].label))
             pieces.clear()
@@ -118,71 +226,50 @@ def parse(page: str) -> Tree:
 
     def close(to: int) -> None:
         nonlocal open_links, skipping
-        if any(t not in INLINE for t, _ in stack[to:]):
+        if held.blocks and held.blocks[-1] >= to:
             flush()
-        for tag, _ in stack[to:]:
-            open_links -= tag == "a"
-            skipping -= tag == "head"
-        del stack[to:]
-
-    last, endless = 0, set()
-    while m := TOKEN.search(page, last):
-        if m.start() > last:
-            piece = page[last : m.start()]
+        gone = held.pop(to)
+        open_links -= gone.count("a")
+        skipping -= gone.count("head")
+
+    last = 0
+    for start, end, tag, closing, raw in tokens(page):
+        if start > last:
+            piece = page[last:start]
             pieces.append(piece)
             if open_links:
                 links += len(piece)
-        last = m.end()
-        tag = m[3]
-        if tag is None:
+        last = end
+        if not tag:
             continue
-        tag = tag.lower()
-        if m[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                if tag in INLINE and stack[i][0] not in INLINE:
-                    break
+        if closing:
+            at = held.last((tag,))
+            if at and not (tag in INLINE and held.blocks and held.blocks[-1] > at):
+                close(at)
             continue
-        if m[4].endswith("/") and (tag == "svg" or tag in MATH):
+        if raw.endswith("/") and (tag == "svg" or tag in MATH):
             continue
-        if tag in SKIPPED and tag not in endless:
-            if end := SKIPPED[tag].search(page, last):
-                last = end.end()
-                continue
-            endless.add(tag)
         if tag in VOID:
             if tag == "br" or tag == "hr":
                 pieces.append(" ") if tag == "br" else flush()
             continue
         if tag in INLINE:
-            stack.append((tag, stack[-1][1]))
+            held.push(tag, held.node)
             open_links += tag == "a"
             continue
         flush()
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] not in INLINE:
-                    break
+        if tag in CLOSES_P and held.blocks and held.stack[held.blocks[-1]][0] == "p":
+            close(held.blocks[-1])
         if tag in SIBLINGS:
             others, stops = SIBLINGS[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in stops:
-                    break
-                if stack[i][0] in others:
-                    close(i)
-                    break
-        attributes = _attributes(m[4])
+            if (at := held.last(others)) > held.last(stops):
+                close(at)
+        attributes = _attributes(raw)
         kind, seen = _element(tag, attributes)
-        at = stack[-1][1]
         marked = attributes.get("data-main")
-        nodes.append(Node(at, kind, seen, None, int(marked) if marked in ("0", "1") else nodes[at].label))
+        nodes.append(Node(held.node, kind, seen, None, int(marked) if marked in ("0", "1") else nodes[held.node].label))
         skipping += tag == "head"
-        stack.append((tag, len(nodes) - 1))
+        held.push(tag, len(nodes) - 1)
     if last < len(page):
         pieces.append(page[last:])
     flush()
