@@ -10,9 +10,10 @@ each block of bytes the shift that cannot skip an occurrence, and for blocks tha
 first m bytes of a string, the bucket of those strings, which are compared directly.  Many
 lanes of the stream are searched in step, so that a step is a few numpy calls.
 
-Scale: documents are read once and not shuffled.  The windows of the benchmark are broadcast
-in parts of at most `part_bytes` of benchmark text; a larger benchmark is searched part by
-part in one pass over each task's batches.
+Scale: documents are read once and not shuffled.  The windows of the benchmark are written by
+tasks, in files of about `part_bytes` of benchmark text.  A worker holds one part's tables at
+a time, and keeps them from task to task where there is but one; a larger benchmark is
+searched part by part for each `HELD_BYTES` of documents, so memory doesn't grow with it.
 
 Null or wordless documents have no words and are clean; null items have no windows; items
 may repeat.  Further columns are not looked at.
@@ -20,18 +21,22 @@ may repeat.  Further columns are not looked at.
 
 from __future__ import annotations
 
-import hashlib
+import pickle
+import uuid
+from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import files
 from .kernel import _LOWER, byte_view, slices, word_spans
-from .shared import parts, table, text_bytes
+from .shared import fresh_path, parts, stored, table, text_bytes
 
 SIZE = 10
-PART_BYTES = 8 << 20
+PART_BYTES, HELD_BYTES = 8 << 20, 64 << 20
 LANE = 1024
 #: Bytes outside words: ASCII but 0-9, A-Z and a-z.
 BETWEEN = np.ones(256, bool)
@@ -124,7 +129,7 @@ def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray
     return stream.tobytes(), place, doc
 
 
-_STATE = "doc_id long, text string, n_words long, hits array<struct<start: long, end: long>>, items array<string>"
+_FOUND = "doc_id long, n_words long, hits array<struct<start: long, end: long>>, items array<string>"
 _RUNS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -154,63 +159,91 @@ class Search:
         return n, found
 
 
-def _scan(shared, last: bool):
-    def run(batches):
-        search = Search(shared.value)
-        for batch in batches:
-            n, found = search.texts(batch.column(1))
-            hits, items = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            for d, (runs, names) in found.items():
+@lru_cache(maxsize=1)
+def _search(uri: str | None) -> Search:
+    """The tables of one part, the worker's own; kept from task to task while no other part is asked for."""
+    return Search(pickle.loads(files.get(uri)) if uri else {})
+
+
+def _held(batches, at: int, most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of about `most` bytes of text."""
+    group, size = [], 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.column(at).nbytes
+        if size >= most:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _searched(batches, uris: list[str], at: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, dict[int, tuple[list[dict], list[str]]]]]:
+    """(batch, words of each text, {text: (maximal runs of hit words, items)}) after a search for all parts in turn."""
+    for group in _held(batches, at, HELD_BYTES if len(uris) > 1 else 0):
+        words: list = [None] * len(group)
+        found: list[dict] = [{} for _ in group]
+        for uri in uris or [None]:
+            search = _search(uri)
+            for k, batch in enumerate(group):
+                words[k], got = search.texts(batch.column(at))
+                for d, (runs, names) in got.items():
+                    held = found[k].setdefault(d, ([], set()))
+                    held[0].extend(runs)
+                    held[1].update(names)
+        for batch, n, got in zip(group, words, found):
+            out = {}
+            for d, (runs, names) in got.items():
                 merged: list[dict] = []
-                for a, b in sorted([*runs, *((r["start"], r["end"]) for r in hits[d] or ())]):
-                    if merged and a <= merged[-1]["end"]:
-                        merged[-1]["end"] = max(b, merged[-1]["end"])
+                for lo, hi in sorted(runs):
+                    if merged and lo <= merged[-1]["end"]:
+                        merged[-1]["end"] = max(hi, merged[-1]["end"])
                     else:
-                        merged.append({"start": a, "end": b})
-                hits[d], items[d] = merged, sorted(names | set(items[d] or ()))
-            text = pa.nulls(batch.num_rows, pa.string()) if last else batch.column(1).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), text, pa.array(n), pa.array(hits, _RUNS), pa.array(items, pa.list_(pa.string()))], ["doc_id", "text", "n_words", "hits", "items"])
-
-    return run
+                        merged.append({"start": lo, "end": hi})
+                out[d] = merged, sorted(names)
+            yield batch, n, out
 
 
-def window_parts(benchmark: DataFrame, size: int = SIZE, item_col: str = "item_id", item_text_col: str = "text", part_bytes: int = PART_BYTES) -> list:
-    """Broadcasts of the benchmark's windows, each of about part_bytes of text."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
+def window_parts(benchmark: DataFrame, size: int = SIZE, item_col: str = "item_id", item_text_col: str = "text", part_bytes: int = PART_BYTES) -> list[str]:
+    """Files of the benchmark's windows in the shared folder, each of about part_bytes of text; tasks write them."""
+    path = fresh_path(benchmark.sparkSession, "windows")
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
     total = parts(items.agg(F.sum(text_bytes("text")).alias("n")).first()["n"], part_bytes)
-    out = []
-    for part in range(total):
-        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(total)) == part).collect()  # about part_bytes at most
-        out.append(benchmark.sparkSession.sparkContext.broadcast(item_windows([(r["item"] or "", r["text"]) for r in own], size)))
-    return out
 
+    def write(part: pa.Table) -> pa.Table:
+        uri = f"{path}/{uuid.uuid4().hex}.windows"
+        files.put(uri, pickle.dumps(item_windows(list(zip(part.column("item").to_pylist(), part.column("text").to_pylist())), size)))
+        return pa.table({"uri": [uri]})
+
+    written = items.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(total))).groupBy("part").applyInArrow(write, "uri string")
+    return sorted(r["uri"] for r in stored(written, "window-parts").collect())  # a short row for each part_bytes of the benchmark
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, in which no window of the benchmark occurs."""
-    at, now = docs.columns.index(text_col), docs
 
-    def clean(shared):
-        def run(batches):
-            search = Search(shared.value)
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                keep[list(search.texts(batch.column(at))[1])] = False
-                yield batch.filter(pa.array(keep))
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
+    """The rows of docs, with all their columns, in which no window of the benchmark occurs."""
+    at, uris = docs.columns.index(text_col), window_parts(benchmark, size, part_bytes=part_bytes)
 
-        return run
+    def run(batches):
+        for batch, _, found in _searched(batches, uris, at):
+            keep = np.ones(batch.num_rows, bool)
+            keep[list(found)] = False
+            yield batch.filter(pa.array(keep))
 
-    for shared in window_parts(benchmark, size):
-        now = now.mapInArrow(clean(shared), docs.schema)
-    return now
+    return docs.mapInArrow(run, docs.schema)
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
     """(doc_id, n_words, hits: array of maximal [start, end) runs of hit words, items: array of item ids as strings, sorted) of every row."""
-    windows = window_parts(benchmark, size, item_col, item_text_col, part_bytes)
-    now = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start: long, end: long>>").alias("hits"), F.array().cast("array<string>").alias("items"))
-    for k, shared in enumerate(windows):
-        now = now.mapInArrow(_scan(shared, k == len(windows) - 1), _STATE)
-    return now.drop("text")
+    uris = window_parts(benchmark, size, item_col, item_text_col, part_bytes)
+
+    def run(batches):
+        for batch, n, found in _searched(batches, uris, 1):
+            hits, items = [[] for _ in n], [[] for _ in n]
+            for d, (runs, names) in found.items():
+                hits[d], items[d] = runs, names
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(hits, _RUNS), pa.array(items, pa.list_(pa.string()))], ["doc_id", "n_words", "hits", "items"])
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, _FOUND)
 
 
 def with_digests(found: DataFrame) -> DataFrame:
