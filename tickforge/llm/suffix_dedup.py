@@ -17,9 +17,12 @@ Windows whose common prefix with a neighbour reaches `width` repeat.
 
 Scale: chunks of documents (by a hash of id and text) send sorted keys of their segments to
 buckets of the anchor space and get a verdict for each back: alone (nearly all), repeated
-whole, or to be compared.  Only segments to be compared carry text.  An anchor with more
-than `hot_anchor` different segments (a common phrase in many contexts) would make a large
-group; its windows are compared by 64-bit hashes of all their bytes, counted per chunk first.
+whole, or to be compared.  Only segments to be compared carry text.  Whole segments are equal
+by hashes of their anchor and of all their bytes, 128 bits in all.  An anchor with more than
+`HOT_ANCHOR` different segments, or more than `HOT_IN_CHUNK` in one chunk (a common phrase in
+many contexts), would make a group without bound; its windows are compared by 128 bits of
+two hashes of all their bytes, counted per chunk first.  Chunks and buckets grow with the
+square root of the corpus beyond `GROWN_FROM` bytes, so that messages grow with the corpus.
 
 Nulls are empty texts.  Repeated rows repeat each other and are removed whole (if long
 enough).  Texts under `width` bytes are kept whole.  Further columns are not looked at.
@@ -36,15 +39,17 @@ from pyspark.sql import functions as F
 
 from .kernel import _BYTE_CODE, _spread, U64, byte_view, powers, slices
 from .packing import by_bucket, coded, squeeze, unsqueeze
-from .shared import parts, stored, table, text_bytes
+from .shared import grown, parts, stored, table, tasks, text_bytes
 
 WIDTH, ANCHOR = 200, 32
-CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
+CHUNK_BYTES, BUCKET_BYTES, GROWN_FROM = 8 << 20, 16 << 20, 32 << 30
 HOT_ANCHOR, HOT_IN_CHUNK = 256, 16
 BATCH_BYTES = 4 << 20
 PIECE = 4 << 20
 ALONE, WHOLE, FIRST, HOT, COMPARE = range(5)
 _PLACE = U64((1 << 24) - 1)
+#: Codes of bytes for a second hash.
+_OTHER_CODE = _spread(_BYTE_CODE ^ U64(0xA0761D6478BD642F))
 TRIPLE = np.dtype([("row", np.int64), ("lo", np.int64), ("hi", np.int64)])
 
 
@@ -152,8 +157,8 @@ def _verdicts(bucket: pa.Table) -> pa.Table:
 
 
 SPANS, SEGMENT, WINDOWS = range(3)
-_FOUND = [("chunk", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("anchor", pa.int64()), ("bytes", pa.binary()), ("places", pa.binary()), ("off", pa.int32()), ("windows", pa.int32()), ("row", pa.int64()), ("start", pa.int64()), ("wanted", pa.bool_())]
-_FOUND_SQL = "chunk int, kind int, bucket int, anchor long, bytes binary, places binary, off int, windows int, row long, start long, wanted boolean"
+_FOUND = [("chunk", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("anchor", pa.int64()), ("bytes", pa.binary()), ("others", pa.binary()), ("places", pa.binary()), ("off", pa.int32()), ("windows", pa.int32()), ("row", pa.int64()), ("start", pa.int64()), ("wanted", pa.bool_())]
+_FOUND_SQL = "chunk int, kind int, bucket int, anchor long, bytes binary, others binary, places binary, off int, windows int, row long, start long, wanted boolean"
 
 
 def _triples(rows: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> bytes:
@@ -187,19 +192,20 @@ def _judged(width: int, anchor: int, buckets: int):
                 rows.append(blank | {"chunk": number, "kind": SEGMENT, "anchor": int(seg["key1"].view(np.int64)[i]), "bytes": data[at : at + windows - 1 + width].tobytes(), "off": int(seg["off"][i]), "windows": windows, "row": int(seg["row"][i]), "start": int(seg["start"][i]), "wanted": bool(said[i] == COMPARE)})
             hot = np.flatnonzero(said == HOT)
             if len(hot):
-                hashes, places = [], []
+                hashes, others, places = [], [], []
                 for i in hot.tolist():
                     at, windows = int(seg["at"][i]), int(seg["windows"][i])
                     n = windows - 1 + width
                     up, down = powers(n)
-                    total = np.zeros(n + 1, U64)
-                    np.cumsum(_BYTE_CODE[data[at : at + n]] * up[:n], out=total[1:])
-                    hashes.append(_spread((total[width:] - total[:-width]) * down[:windows]))
+                    for codes, out in ((_BYTE_CODE, hashes), (_OTHER_CODE, others)):
+                        total = np.zeros(n + 1, U64)
+                        np.cumsum(codes[data[at : at + n]] * up[:n], out=total[1:])
+                        out.append(_spread((total[width:] - total[:-width]) * down[:windows]))
                     places.append(np.stack([np.full(windows, seg["row"][i]), seg["start"][i] + np.arange(windows)]))
-                h, p = np.concatenate(hashes), np.concatenate(places, axis=1)
-                order = np.argsort(h, kind="stable")
-                h, p = h[order], p[:, order]
-                rows += [blank | {"chunk": number, "kind": WINDOWS, "bucket": b, "bytes": squeeze(h[lo:hi]), "places": squeeze(p[:, lo:hi])} for b, lo, hi in by_bucket(coded(h, buckets))]
+                h, h2, p = np.concatenate(hashes), np.concatenate(others), np.concatenate(places, axis=1)
+                order = np.lexsort((h2, h))
+                h, h2, p = h[order], h2[order], p[:, order]
+                rows += [blank | {"chunk": number, "kind": WINDOWS, "bucket": b, "bytes": squeeze(h[lo:hi]), "others": squeeze(h2[lo:hi]), "places": squeeze(p[:, lo:hi])} for b, lo, hi in by_bucket(coded(h, buckets))]
         return pa.table([pa.array([r[k] for r in rows], t) for k, t in _FOUND], [k for k, _ in _FOUND])
 
     return run
@@ -293,37 +299,44 @@ def _compare(width: int, anchor: int):
 def _hot_spans(windows: DataFrame, width: int) -> DataFrame:
     """(chunk, spans) of the windows of hot anchors that occur twice or more."""
 
+    def new(h: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        return np.append(np.ones(min(1, len(h)), bool), (h[1:] != h[:-1]) | (h2[1:] != h2[:-1]))
+
     def counted(batches):
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                h, n = np.unique(unsqueeze(r["bytes"], U64), return_counts=True)
-                rows.append((r["chunk"], r["bucket"], squeeze(h), squeeze(n.astype(np.uint32))))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["chunk", "bucket", "hashes", "counts"])
+                h, h2 = unsqueeze(r["bytes"], U64), unsqueeze(r["others"], U64)
+                heads = np.flatnonzero(new(h, h2))
+                rows.append((r["chunk"], r["bucket"], squeeze(h[heads]), squeeze(h2[heads]), squeeze(np.diff(np.append(heads, len(h))).astype(np.uint32))))
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["chunk", "bucket", "hashes", "others", "counts"])
 
     def answer(bucket: pa.Table) -> pa.Table:
-        hashes = [unsqueeze(x, U64) for x in bucket.column("hashes").to_pylist()]
+        each = [unsqueeze(x, U64) for x in bucket.column("hashes").to_pylist()]
+        h, h2 = np.concatenate(each), np.concatenate([unsqueeze(x, U64) for x in bucket.column("others").to_pylist()])
         counts = np.concatenate([unsqueeze(x, np.uint32) for x in bucket.column("counts").to_pylist()])
-        known, at = np.unique(np.concatenate(hashes), return_inverse=True)
-        many = np.bincount(at, weights=counts) > 1
-        cuts = np.cumsum([0, *map(len, hashes)])
-        return pa.table([bucket.column("chunk"), bucket.column("bucket"), pa.array([squeeze(many[at[lo:hi]]) for lo, hi in zip(cuts[:-1], cuts[1:])], pa.binary())], ["chunk", "bucket", "many"])
+        order = np.lexsort((h2, h))
+        group = np.cumsum(new(h[order], h2[order])) - 1
+        many = np.empty(len(h), bool)
+        many[order] = (np.bincount(group, weights=counts[order]) > 1)[group]
+        cuts = np.cumsum([0, *map(len, each)])
+        return pa.table([bucket.column("chunk"), bucket.column("bucket"), pa.array([squeeze(many[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:])], pa.binary())], ["chunk", "bucket", "many"])
 
     def spans(batches):
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                h = unsqueeze(r["bytes"], U64)
                 places = unsqueeze(r["places"], np.int64).reshape(2, -1)
-                many = unsqueeze(r["many"], np.bool_)[np.searchsorted(np.unique(h), h)]
+                many = unsqueeze(r["many"], np.bool_)[np.cumsum(new(unsqueeze(r["bytes"], U64), unsqueeze(r["others"], U64))) - 1]
                 row, start = places[:, many]
                 if len(row):
                     rows.append((r["chunk"], _triples(row, start, start + width)))
             yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], ["chunk", "spans"])
 
-    own = windows.select("chunk", "bucket", "bytes", "places")
-    replies = own.select("chunk", "bucket", "bytes").mapInArrow(counted, "chunk int, bucket int, hashes binary, counts binary").groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, many binary")
-    return own.join(replies, ["chunk", "bucket"]).select("chunk", "bytes", "places", "many").mapInArrow(spans, "chunk int, spans binary")
+    own = windows.select("chunk", "bucket", "bytes", "others", "places")
+    replies = own.select("chunk", "bucket", "bytes", "others").mapInArrow(counted, "chunk int, bucket int, hashes binary, others binary, counts binary").groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, many binary")
+    return own.join(replies, ["chunk", "bucket"]).select("chunk", "bytes", "others", "places", "many").mapInArrow(spans, "chunk int, spans binary")
 
 
 def _cut(keep_text: bool):
@@ -358,9 +371,9 @@ def _cut(keep_text: bool):
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, anchor: int = ANCHOR, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, keep_text: bool = True) -> DataFrame:
     """(doc_id, n_bytes, removed: array of maximal [start, end) runs of bytes, kept: the other bytes) of every row; see the module's text."""
     size = docs.agg(F.sum(text_bytes(text_col)).alias("bytes")).first()["bytes"]
-    chunks, buckets = parts(size, chunk_bytes), parts(size, bucket_bytes)
+    chunks, buckets = parts(size, grown(chunk_bytes, size, GROWN_FROM)), parts(size, grown(bucket_bytes, size, GROWN_FROM))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = texts.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int"))
+    texts = texts.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)).cast("int")).repartition(tasks(docs.sparkSession, chunks), "chunk")
 
     def send(chunk: pa.Table) -> pa.Table:
         _, own = _chunk_rows(chunk)
