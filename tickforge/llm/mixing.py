@@ -10,12 +10,13 @@ whose draws come nearest its target (one aggregation over ids and sizes, no samp
 
 Scale: texts are read once for sizes, which are kept as a slim table; all sums are
 aggregated before they are shuffled, so a source with a third of all rows is a few partial
-sums.  Only the table of sources, one row each, is ordered as a whole.  It is joined back to
+sums.  Only the table of sources, one row each, is ordered as a whole, in one task: sources
+are taken to be sites or collections, of which a task can sort millions.  It is joined back to
 documents under Spark's own size check for broadcasts, else by a join that may be split.
 
 Null texts and texts without words have size 0; rates of sources of size 0 are 0.  Null is a
 source.  Repeated ids draw alike.  An empty table gives no rows.  Columns of the input keep
-their names; those of clashing names are not touched, as the plan's columns carry a prefix.
+their names, whatever they are: the plan's columns carry a prefix that none of them has.
 """
 
 from __future__ import annotations
@@ -74,18 +75,21 @@ def doc_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     return stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size_of(text_col).alias("size")), "sizes")
 
 
-def with_copies(rows: DataFrame, plan: DataFrame, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """All columns of rows, those of the plan with the prefix mix_, and mix_copies."""
-    own = plan.select(*(F.col(c).alias(f"mix_{c}") for c in plan.columns))
-    joined = rows.join(own, rows[source_col].cast("string").eqNullSafe(own["mix_source"])).drop("mix_source")
-    return joined.withColumn("mix_copies", _copies(F.col("mix_rate"), F.col("mix_seed"), id_col))
+def with_copies(rows: DataFrame, plan: DataFrame, id_col: str = "doc_id", source_col: str = "source", prefix: str = "mix_") -> DataFrame:
+    """All columns of rows, those of the plan with the prefix, and copies with it; rows must have no columns of such names."""
+    own = plan.select(*(F.col(c).alias(prefix + c) for c in plan.columns))
+    joined = rows.join(own, rows[source_col].cast("string").eqNullSafe(own[f"{prefix}source"])).drop(f"{prefix}source")
+    return joined.withColumn(f"{prefix}copies", _copies(F.col(f"{prefix}rate"), F.col(f"{prefix}seed"), id_col))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The rows of docs, each as often as the mix takes it."""
+    prefix = "mix_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
     plan = mixing_plan(doc_sizes(docs, id_col, text_col, source_col), **how)
-    counted = with_copies(docs, plan, id_col, source_col)
-    return counted.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), "mix_copies"))).select(*docs.columns)
+    counted = with_copies(docs, plan, id_col, source_col, prefix).where(F.col(f"{prefix}copies") > 0)
+    return counted.withColumn(f"{prefix}copy", F.explode(F.sequence(F.lit(1).cast("long"), f"{prefix}copies"))).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
