@@ -15,8 +15,9 @@ No vocabulary of this kind comes with the public tokenizers, and none is trained
 pieces and scores of the sentencepiece file are used as a unigram vocabulary, and counts are
 tested against the tokenizers library with the same vocabulary.  Any other can be given.
 
-Scale: one pass over the texts, no shuffle.  Null and empty texts have no tokens.  Repeated
-rows count alike; further columns are not looked at.
+Scale: one pass over the texts, no shuffle.  Beside a word itself, memory is bounded by the
+longest piece, so a very long text without spaces is one word like others.  Null and empty
+texts have no tokens.  Repeated rows count alike; further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -63,24 +64,28 @@ class Viterbi:
         self.automaton.make_automaton()
         self.unknown_score = min(score for _, score in pieces) - UNKNOWN_PENALTY
         self.single = {piece for piece in seen if len(piece) == 1}
+        self.ring = 1 + max((len(piece) for piece in seen), default=1)
 
     def count(self, word: str) -> int:
-        """How many pieces the best path over the word has."""
-        n = len(word)
-        score, count, unknown, reached = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1), [True] + [False] * n
-        ends: list[list] = [[] for _ in range(n)]
-        for last, value in self.automaton.iter(word):
-            ends[last].append(value)
-        for end in range(1, n + 1):
+        """How many pieces the best path over the word has.  What is carried are the ends that the longest piece reaches back to."""
+        ring = self.ring
+        score, count, unknown = [0.0] * ring, [0] * ring, [False] * ring
+        matches = self.automaton.iter(word)
+        last, value = next(matches, (-1, None))
+        for end in range(1, len(word) + 1):
             best, of, is_unknown = 0.0, -1, False
-            for size, own, blank in ends[end - 1]:  # longest first, so starts ascend
-                if of < 0 or own + score[end - size] > best:
-                    best, of, is_unknown = own + score[end - size], end - size, blank
-            if word[end - 1] not in self.single and (of < 0 or self.unknown_score + score[end - 1] > best):
-                best, of, is_unknown = self.unknown_score + score[end - 1], end - 1, True
-            score[end], unknown[end] = best, is_unknown
-            count[end] = count[of] + (not (is_unknown and unknown[of]))
-        return count[n]
+            while last == end - 1:  # longest first, so starts ascend
+                size, own, blank = value
+                start = (end - size) % ring
+                if of < 0 or own + score[start] > best:
+                    best, of, is_unknown = own + score[start], start, blank
+                last, value = next(matches, (-1, None))
+            before, here = (end - 1) % ring, end % ring
+            if word[end - 1] not in self.single and (of < 0 or self.unknown_score + score[before] > best):
+                best, of, is_unknown = self.unknown_score + score[before], before, True
+            count[here] = count[of] + (not (is_unknown and unknown[of]))
+            score[here], unknown[here] = best, is_unknown
+        return count[len(word) % ring]
 
 
 class Words:
