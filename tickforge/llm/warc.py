@@ -10,6 +10,7 @@ Of records with equal payloads of at least `least_revisit` bytes, the one of the
 is a response and the others are revisits that refer to it, without payload.  Rows of one id
 with one payload are all responses (or all revisits); a null id revisits if any other id
 has the payload.  Null html is an empty payload, null urls are written as the record's urn.
+A very long payload is held whole, one record at a time.
 An empty table gives no archives and no rows.  Further columns are not looked at.
 """
 
@@ -26,10 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import files
-from .shared import fresh_path, stored, table
+from .shared import fresh_path, parts, stored, table
 
 LEAST_REVISIT = 100
-ARCHIVE_BYTES, SPLIT_BYTES, READ_BYTES = 32 << 20, 4 << 20, 1 << 20
+ARCHIVE_BYTES, SPLIT_BYTES, READ_BYTES = 32 << 20, 8 << 20, 1 << 20
+TASK_BYTES = 128 << 20  # of ranges that one task reads where there are more than enough of them
 MAGIC = b"\x1f\x8b\x08"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -176,8 +178,9 @@ def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES, keep_payl
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"])
 
     ranges = archives.select("uri", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
-    n = archives.agg(F.sum(F.ceil(F.col("bytes") / split_bytes)).alias("n")).first()["n"] or 1
-    return ranges.repartition(int(n), "uri", "start").mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
+    size = archives.agg(F.sum(F.ceil(F.col("bytes") / split_bytes)).alias("ranges"), F.sum("bytes").alias("bytes")).first()
+    n = min(int(size["ranges"] or 1), max(4 * archives.sparkSession.sparkContext.defaultParallelism, parts(size["bytes"], TASK_BYTES)))
+    return ranges.repartition(n, "uri", "start").mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
