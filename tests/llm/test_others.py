@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from conftest_llm import prose, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -44,6 +45,13 @@ def test_archives_in_small_ranges(spark):
     assert warc.read_archives(warc.write_archives(warc.with_revisits(df.limit(0)), fresh_path(spark, "warc"))).count() == 0
 
 
+def test_archives_of_very_long_and_repeated_pages(spark):
+    long = "".join(f"<p>{k * 7919 % 1_000_003}</p>" for k in range(300_000))
+    df = spark.createDataFrame([(1, "u", long), (2, "v", long), (2, "v", long), (3, "w", long + "x")], PAGES)
+    got = warc.read_archives(warc.write_archives(warc.with_revisits(df), fresh_path(spark, "warc"), archive_bytes=1000), split_bytes=100_000, keep_payload=False).collect()
+    assert Counter((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in got) == Counter([(1, "response", None, len(long)), (2, "revisit", 1, len(long)), (2, "revisit", 1, len(long)), (3, "response", None, len(long) + 1)])
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.binary(max_size=200), min_size=1, max_size=8), st.integers(1, 300))
 def test_every_record_has_one_owner(payloads, step):
@@ -105,6 +113,25 @@ def test_toxicity_on_held_out_rows(spark, documents):
     assert not any(r["toxic"] for r in ordinal_toxicity.graded(df, none).collect()) and ordinal_toxicity.graded(df.limit(0), none).count() == 0
 
 
+@pytest.mark.parametrize("toxic", [5, 11, 50])
+def test_few_toxic_labels_reject_no_clean_text(spark, documents, toxic):
+    """Whether there is enough to learn from or not: clean, null and empty texts stay, with severities near the share of toxic labels."""
+    texts = [prose(60, k, 300) + (f" vile awful{k % 3} " if k < toxic else "") for k in range(300)]
+    df = documents(*texts, None, "", "short clean text", "word " * 200_000)
+    model = ordinal_toxicity.learn(df, spark.createDataFrame([(k, 1, int(k < toxic)) for k in range(300)], LABELS))
+    got = {r["doc_id"]: r for r in ordinal_toxicity.graded(df, model).collect()}
+    assert not any(got[k]["toxic"] or got[k]["severity"] > 0.4 for k in range(toxic, 304))
+    assert sum(got[k]["toxic"] for k in range(toxic)) in ((0, toxic) if toxic < 50 else (toxic,))
+    assert got[300]["severity"] == got[301]["severity"] and got[300]["severity"] < 0.1
+
+
+def test_equal_rows_and_ties_score_alike(spark, documents):
+    df = documents(*(("vile " if k % 2 else "kind ") + prose(9, k // 2) for k in range(80)), "vile", "vile", "vile vile vile")
+    model = ordinal_toxicity.learn(df, spark.createDataFrame([(k, 1, k % 2) for k in range(80)], LABELS))
+    got = {r["doc_id"]: (r["severity"], r["grade"], r["toxic"]) for r in ordinal_toxicity.graded(df, model).collect()}
+    assert got[80] == got[81] == got[82] and got[80][2]
+
+
 def test_graded_labels_order_scores():
     rng = np.random.default_rng(0)
     grade = rng.integers(0, 4, 600)
@@ -125,7 +152,7 @@ def test_counts_equal_the_library(documents):
     pieces = viterbi_counts.unigram_pieces(viterbi_counts.default_vocabulary())
     held = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=False))
     held.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
-    texts = [*(t for t in edge_texts() if t is None or len(t) < 1000), "  two  spaces ", "▁x y", "日本語 ☃☃☃ a☃b", "<unk> <s> x</s>", prose(200, 1)]
+    texts = [*edge_texts(), "  two  spaces ", "▁x y", "日本語 ☃☃☃ a☃b", "<unk> <s> x</s>", prose(200, 1), "withoutspaces日本" * 20_000]
     df = clashing(documents(*texts), "n_tokens", "n_chars2")
     got = {r["doc_id"]: r["n_tokens"] for r in viterbi_counts.token_counts(df).collect()}
     assert got == {k: len(held.encode(t or "", add_special_tokens=False).ids) for k, t in enumerate(texts)}
@@ -165,7 +192,7 @@ def filled(sizes: dict, weights=(5.0, 2.0, 1.0)):
 
 def test_targets_and_copies(documents):
     rows = [(k, prose(1 + k % 40, k), ("a", "b", None, "é", "Z", "tiny")[min(5, k % 7)]) for k in range(700)] + [(900, None, "empty"), (901, " ", "empty"), (None, "x y", "a"), (5, prose(6, 5), "tiny")]
-    df = clashing(documents(*rows), "rate", "seed", "target", "size", "of")
+    df = clashing(documents(*rows), "rate", "seed", "target", "size", "of", "mix_rate", "MIX_copies", "mix_copy", "mix_source")
     sizes: Counter = Counter()
     for _, text, source in rows:
         sizes[source] += len(words(text))
