@@ -36,6 +36,34 @@ def test_stages(spark, tiny):
     assert [r["start"] for r in ids] == [sum(x["n_tokens"] for x in ids[:k]) for k in range(len(ids))]
 
 
+def test_edges_of_the_pipeline(spark, documents, tmp_path):
+    """Nulls, repeats, long texts, clashing names and empty tables, from end to end."""
+    from conftest_llm import prose
+    from llm_cases import clashing, edge_texts
+
+    item = prose(14, 77)
+    rows = [*edge_texts(), (None, prose(30, 1)), (50, prose(30, 2)), (50, prose(30, 2)), (51, prose(30, 2) + " x"), (52, f"{prose(30, 3)} {item} {prose(9, 4)}"), (53, prose(30, 5), None), *(prose(40, 100 + k) + (" vile" if k % 2 else "") for k in range(60))]
+    docs = clashing(documents(*rows), "digest", "mix_rate", "hits", "severity", "words", "ell", "part")
+    first = docs.where("text like '%vile%'").agg({"doc_id": "min"}).first()[0]
+    labels = spark.createDataFrame([(first - 1 + k, 1, k % 2) for k in range(60)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, item), (2, None)], "item_id long, text string")
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+        df.write.parquet(f"file://{tmp_path}/{name}.parquet")
+    now = table(spark, f"file://{tmp_path}", "documents")
+    for name, stage in corpus_pipeline.STAGES:
+        now = stored(stage(spark, now, f"file://{tmp_path}"), "test")
+        assert name == "token_ids" or now.columns == docs.columns
+        if name == "decontamination":
+            kept = [(r["doc_id"], r["text"]) for r in now.collect()]
+    texts = [t for _, t in kept]
+    assert not any(t and ("vile" in t or item in t) for t in texts) and texts.count(prose(30, 2)) == 1 and prose(30, 2) + " x" not in texts
+    assert (None, prose(30, 1)) in kept and (53, prose(30, 5)) in kept and None in texts and "" in texts and edge_texts()[-1] in texts
+    assert {r["doc_id"] for r in now.collect()} <= {d for d, _ in kept}
+    for name in ("documents", "labels", "benchmark"):
+        table(spark, f"file://{tmp_path}", name).limit(0).write.parquet(f"file://{tmp_path}/none/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}/none").count() == 0
+
+
 def test_run_is_registered(spark, tiny):
     import __spark_entry__
 

@@ -134,7 +134,7 @@ def _frequencies(texts: DataFrame, buckets: int) -> tuple[DataFrame, callable]:
         return pa.table([bucket.column("chunk"), bucket.column("bucket"), pa.array([squeeze(level[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:])], pa.binary())], ["chunk", "bucket", "levels"])
 
     sent = texts.groupBy("chunk").applyInArrow(send, "chunk int, bucket int, codes binary, counts binary")
-    return sent.groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, levels binary")
+    return sent.repartition(tasks(texts.sparkSession, buckets), "bucket").groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, levels binary")
 
 
 def _matches(levels: np.ndarray, n: int, first: int, alone: int, most: int) -> int:

@@ -296,8 +296,8 @@ def _compare(width: int, anchor: int):
     return run
 
 
-def _hot_spans(windows: DataFrame, width: int) -> DataFrame:
-    """(chunk, spans) of the windows of hot anchors that occur twice or more."""
+def _hot_spans(windows: DataFrame, width: int, chunks: int, buckets: int) -> DataFrame:
+    """(chunk, spans) of the windows of hot anchors that occur twice or more; chunks and buckets: tasks of either."""
 
     def new(h: np.ndarray, h2: np.ndarray) -> np.ndarray:
         return np.append(np.ones(min(1, len(h)), bool), (h[1:] != h[:-1]) | (h2[1:] != h2[:-1]))
@@ -335,8 +335,8 @@ def _hot_spans(windows: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows], pa.int32()), pa.array([b for _, b in rows], pa.binary())], ["chunk", "spans"])
 
     own = windows.select("chunk", "bucket", "bytes", "others", "places")
-    replies = own.select("chunk", "bucket", "bytes", "others").mapInArrow(counted, "chunk int, bucket int, hashes binary, others binary, counts binary").groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, many binary")
-    return own.join(replies, ["chunk", "bucket"]).select("chunk", "bytes", "others", "places", "many").mapInArrow(spans, "chunk int, spans binary")
+    replies = own.select("chunk", "bucket", "bytes", "others").mapInArrow(counted, "chunk int, bucket int, hashes binary, others binary, counts binary").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, many binary")
+    return own.repartition(chunks, "chunk", "bucket").join(replies, ["chunk", "bucket"]).select("chunk", "bytes", "others", "places", "many").mapInArrow(spans, "chunk int, spans binary")
 
 
 def _cut(keep_text: bool):
@@ -382,13 +382,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["chunk", "bucket", "key1", "key2", "counts"])
 
     sent = texts.groupBy("chunk").applyInArrow(send, "chunk int, bucket int, key1 binary, key2 binary, counts binary")
-    replies = sent.groupBy("bucket").applyInArrow(_verdicts, "chunk int, bucket int, said binary")
+    chunk_tasks, bucket_tasks = (tasks(docs.sparkSession, n) for n in (chunks, buckets))
+    replies = sent.repartition(bucket_tasks, "bucket").groupBy("bucket").applyInArrow(_verdicts, "chunk int, bucket int, said binary")
     found = stored(texts.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(_judged(width, anchor, buckets), _FOUND_SQL), "segments")
-    compared = found.where(F.col("kind") == SEGMENT).select("anchor", "bytes", "off", "windows", "chunk", "row", "start", "wanted").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compare(width, anchor), "chunk int, spans binary")
+    compared = found.where(F.col("kind") == SEGMENT).select("anchor", "bytes", "off", "windows", "chunk", "row", "start", "wanted").repartition(chunk_tasks, "anchor").sortWithinPartitions("anchor").mapInArrow(_compare(width, anchor), "chunk int, spans binary")
     spans = found.where(F.col("kind") == SPANS).select("chunk", F.col("bytes").alias("spans")).unionByName(compared)
     hot = found.where(F.col("kind") == WINDOWS)
     if not hot.isEmpty():
-        spans = spans.unionByName(_hot_spans(hot, width))
+        spans = spans.unionByName(_hot_spans(hot, width, chunk_tasks, bucket_tasks))
     return texts.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(_cut(keep_text), "doc_id long, n_bytes long, removed array<struct<start: long, end: long>>, kept binary")
 
 
