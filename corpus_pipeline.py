@@ -2,6 +2,14 @@
 
 Each stage works on all that its predecessor kept.  A stage's rows are written as Parquet in
 the folder that the cluster shares, and read again as the next one's documents.
+
+Null and empty texts are never toxic and have no shingles and no benchmark words: they go
+through the filters.  As their size is 0, the mix repeats them as their source's rate says,
+and their ids are the end id alone.  Rows of a null id are documents like others; of rows
+with equal id and text one stays after the second stage, as of all rows of one class, and of
+a class the smallest id stays (null before all).  Very long texts are worked through whole in
+every stage.  Equal evidence at the threshold of toxicity rejects.  Further columns of
+documents are kept up to the last stage, whatever their names.  An empty table gives no rows.
 """
 
 from __future__ import annotations
