@@ -42,7 +42,7 @@ from .packing import by_bucket, coded, squeeze, unsqueeze
 from .shared import grown, parts, stored, table, tasks, text_bytes
 
 WIDTH, ANCHOR = 200, 32
-CHUNK_BYTES, BUCKET_BYTES, GROWN_FROM = 8 << 20, 16 << 20, 32 << 30
+CHUNK_BYTES, BUCKET_BYTES, GROWN_FROM = 4 << 20, 16 << 20, 32 << 30
 HOT_ANCHOR, HOT_IN_CHUNK = 256, 16
 BATCH_BYTES = 4 << 20
 PIECE = 4 << 20
