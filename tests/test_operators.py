@@ -71,6 +71,32 @@ def test_one_exchange_for_all_features(spark):
     assert plan.count("Exchange hashpartitioning(symbol") == 1
 
 
+def test_blocks_equal_whole_series(spark):
+    a = "CASE WHEN id % 977 = 5 THEN NULL ELSE 100 + (id * 7919 % 1013) / 50 + 10 * sin(id / 300) END"
+    held = spark.range(9500).selectExpr(
+        "CASE WHEN id < 9400 THEN 'A' WHEN id < 9415 THEN 'B' ELSE 'C' END AS symbol", "'1h' AS interval", "timestamp_seconds(3600 * (id + 700 * (id div 2500)) - 5000000) AS timestamp", f"{a} AS close", f"{a} + id % 3 AS high",
+        f"{a} - id % 4 AS low", "100D AS open", "CASE WHEN id % 601 = 7 THEN NULL ELSE double(id % 17) END AS volume", "double(id % 5) AS taker_buy_volume",
+    )
+    whole, cut = (x.orderBy("symbol", "timestamp").toPandas() for x in (features.features(held), features.features_blocked(held, block=3000, halo=2900)))
+    assert cut["symbol"].value_counts().to_dict() == {"A": 9400, "C": 85} and list(cut.columns) == list(whole.columns) and (cut[["symbol", "timestamp"]] == whole[["symbol", "timestamp"]]).all().all()
+    for c in VALUES:
+        assert cut[c].to_numpy(float) == pytest.approx(whole[c].to_numpy(float), rel=1e-9, abs=1e-9, nan_ok=True), c
+    assert features.features_blocked(held.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="halo"):
+        features.features_blocked(held, block=100, halo=50)
+
+
+def test_places_count_rows_of_gaps_and_repeats(spark):
+    from tickforge.operators.blocks import in_blocks, placed
+
+    k = klines(spark, [1.0] * 25).withColumn("timestamp", F.expr("timestamp + make_interval(0, 0, 0, 0, CASE WHEN hour(timestamp) > 8 THEN 400 ELSE 0 END)"))
+    got = placed(k.unionByName(k.where(F.hour("timestamp") == 3)), 4).collect()
+    assert sorted(r["place"] for r in got) == list(range(len(got))) and {r["total"] for r in got} == {len(got)}
+    assert [r["place"] for r in sorted(got, key=lambda r: (r["timestamp"], r["place"]))] == list(range(len(got)))
+    dealt = in_blocks(k, 10, 4).collect()
+    assert {of: (sum(r["own"] for r in dealt if r["of"] == of), sum(not r["own"] for r in dealt if r["of"] == of)) for of in range(3)} == {0: (10, 0), 1: (10, 4), 2: (5, 4)} and len(dealt) == 33
+
+
 def test_asof_takes_whole_rows_with_their_nulls(spark):
     base = klines(spark, [1.0, 2.0, 3.0, 4.0], step=60 * 12).select("symbol", "timestamp", "close")
     other = spark.createDataFrame([("A", T0 + timedelta(hours=10), 7.0), ("A", T0 + timedelta(hours=20), None), ("B", T0, 9.0)], "symbol string, timestamp timestamp, x double")

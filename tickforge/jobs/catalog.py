@@ -555,6 +555,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "atr": _recursive("atr_14", "atr_21"),
     "adx_di": _recursive("plus_di", "minus_di", "adx_14"),
     "realtime_features": ((lambda s, d: _shown(features.realtime_features(adapter.bars(s, d)), *REALTIME)), sql.feature_sql(*REALTIME)),
+    "features_blocked": ((lambda s, d: _shown(features.features_blocked(adapter.bars(s, d)), *VALUES)), sql.feature_sql(*VALUES)),
     "features_full": ((lambda s, d: _shown(_features(s, d), *VALUES)), sql.feature_sql(*VALUES)),
     "features_latest": (_latest_features, LATEST_SQL),
     "multi_timeframe": (_timeframes, TIMEFRAMES_SQL),

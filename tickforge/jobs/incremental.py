@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import interval_ms
 from ..operators.clean import emit_slice
-from ..operators.features import features
+from ..operators.features import features_blocked
 from ..operators.plans import resume_plan
 from ..schema import FEATURES, KEY
 from ..sources.scratch import settled
@@ -30,7 +30,7 @@ def backfill_features(klines: DataFrame, out: str, lookback: int | None = None,
 
     A series goes on behind its last features.  Only series with new bars are read.  lookback: how many
     intervals before the start they are read from; None: from their first bar, so that averages without
-    end are those of the whole history, whatever runs came before.  An empty plan writes nothing.
+    end are those of the whole history, whatever runs came before.  Long series go by blocks.  An empty plan writes nothing.
     """
     spark = klines.sparkSession
     plan = settled(resume_plan(klines, stored_features(spark, out)).where("start <= last").select(*KEY, "status", "start", "last"))
@@ -39,6 +39,6 @@ def backfill_features(klines: DataFrame, out: str, lookback: int | None = None,
     held = klines.join(plan.select(*KEY, "start"), list(KEY))
     if lookback is not None:
         held = held.where(F.unix_micros("timestamp") >= F.unix_micros("start") - lookback * 1000 * interval_ms("interval"))
-    found = features(held.drop("start"), version=version).join(plan.select(*KEY, "start", "last"), list(KEY))
+    found = features_blocked(held.drop("start"), version=version).join(plan.select(*KEY, "start", "last"), list(KEY))
     upsert_table(spark, out, settled(emit_slice(found, F.col("start"), F.col("last")).select(*FEATURES.names)))
     return plan

@@ -1,4 +1,7 @@
-"""All features of a series: finite windows first, the recursive kernel last, one exchange."""
+"""All features of a series: finite windows first, the recursive kernel last, one exchange.
+
+features works through a series in one task; features_blocked cuts long series into blocks.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.recursive import ema, recursive_columns, rsi, true_range, wilder
-from ..functions.windows import mean
+from ..functions.windows import mean, ratio, series
 from ..schema import AVERAGES, BASE, FEATURES, KEY, RECURSIVE
+from .blocks import in_blocks, with_running_sums
 from .clean import annotate, clean_ohlcv, min_history, non_finite_to_null, require_columns
 from .indicators import finite_features
 
@@ -41,6 +45,31 @@ def features(klines: DataFrame, least_rows: int = 20, version: int = 2) -> DataF
     return annotate(non_finite_to_null(found), version).select(*FEATURES.names)
 
 
+#: Bars of a block, and bars before it that its windows and recursions see.  What a bar weighs after HALO bars is
+#: below 2^-236 for the slowest average and below the least double for the sums that rsi and directions divide.
+BLOCK, HALO = 131_072, 16_384
+
+
+def features_blocked(klines: DataFrame, least_rows: int = 20, version: int = 2, block: int = BLOCK, halo: int = HALO) -> DataFrame:
+    """features, by blocks of a series: for series of any length, at the price of a count and a join before the one exchange.
+
+    Sums without end (obv, vwap) get those of earlier blocks.  halo: at least the 200 bars of the longest window;
+    averages without end are as of the whole history as far as `halo` bars reach (see HALO).
+    """
+    if halo < max(AVERAGES):
+        raise ValueError("a halo is at least the longest window")
+    wanted = [*KEY, "timestamp", *BASE, *(c for c in ("taker_buy_volume",) if c in klines.columns)]
+    held = in_blocks(require_columns(klines).select(*wanted), block, halo).where(F.col("total") >= least_rows)
+    typical = (F.col("high") + F.col("low") + F.col("close")) / 3
+    stepped = held.withColumn("change", F.col("close") - F.lag("close").over(series()))
+    signed = F.when(F.col("place") == 0, F.col("volume")).otherwise(F.signum("change") * F.col("volume"))
+    summed = with_running_sums(stepped, {"sum_signed": signed, "sum_paid": typical * F.col("volume"), "sum_volume": F.col("volume")})
+    finite = finite_features(summed).withColumns({"obv": F.col("sum_signed"), "vwap": ratio(F.col("sum_paid"), F.col("sum_volume"))})
+    found = recursive_features(finite.drop("sum_signed", "sum_paid", "sum_volume", "change", "place", "total", "of"))
+    own = found.where("own").withColumn("symbol", F.col("series"))
+    return annotate(non_finite_to_null(own), version).select(*FEATURES.names)
+
+
 def features_latest(klines: DataFrame, lookback: int = 300, least_rows: int = 20) -> DataFrame:
     """The newest row's features of each series, from its newest `lookback` bars only; what the stream emits."""
     newest = Window.partitionBy(*KEY).orderBy(F.col("timestamp").desc())
