@@ -49,6 +49,14 @@ def test_passages_in_many_contexts(documents):
     check(documents(*docs), chunk_bytes=3000, bucket_bytes=4000)
 
 
+def test_keys_of_segments_reach_all_buckets_alike():
+    """Anchors are chosen by least hash; as keys such hashes would nearly all go to the first bucket."""
+    data = np.frombuffer(prose(20_000, 5).encode(), np.uint8)
+    keys = S.anchored_segments(data, np.array([0, len(data)]), S.WIDTH, S.ANCHOR)["key1"]
+    share = np.bincount((S.coded(np.sort(keys), 16) >> np.uint64(32)).astype(int), minlength=16) / len(keys)
+    assert len(keys) > 500 and share.max() < 0.15 and share.min() > 0.02
+
+
 def test_small_width_and_periods(documents):
     rng = random.Random(5)
     texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(80))) for _ in range(40)] + ["a" * 100, "ab" * 60, "abcabcabc" * 9]

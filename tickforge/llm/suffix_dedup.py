@@ -89,7 +89,8 @@ def anchored_segments(data: np.ndarray, offsets: np.ndarray, width: int, anchor:
     start, off = starts[head], at[head] - starts[head]
     end = start + size - 1 + width
     key2 = _spread(((total[end] - total[start]) * down[start]) ^ (size.astype(U64) << U64(40)) ^ off.astype(U64) * U64(0x9E3779B97F4A7C15))
-    return {"doc": np.searchsorted(offsets, start, "right") - 1, "start": start, "windows": size, "off": off, "key1": hashes[at[head]], "key2": key2}
+    key1 = _spread(hashes[at[head]])  # anchors have least hashes, which would all go to the first buckets
+    return {"doc": np.searchsorted(offsets, start, "right") - 1, "start": start, "windows": size, "off": off, "key1": key1, "key2": key2}
 
 
 def _chunk_rows(chunk: pa.Table) -> tuple[list, pa.Array]:
