@@ -38,6 +38,12 @@ SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = U64(0xD6E8FEB86659FD93)
 _BASE_INV = U64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
+_PRIME = U64((1 << 31) - 1)
+_PRIME_BASES = tuple(pow(7, k, int(_PRIME)) for k in (1_234_567_891, 1_700_000_009))  # primitive roots
+_prime_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Codes of bytes below the prime, a row for each base; in LOWER_CODES A-Z are as a-z.
+BYTE_CODES = _spread(np.arange(1, 513, dtype=U64) * U64(0xE7037ED1A0B428DB)).reshape(2, 256) % _PRIME
+LOWER_CODES = BYTE_CODES[:, _LOWER]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,6 +57,26 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Below 2**32, and equal to x modulo the prime."""
+    return (x & _PRIME) + (x >> U64(31))
+
+
+def _prime_powers(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..n of base k and of its inverse, modulo the prime."""
+    held = _prime_tables.get(k)
+    if held is None or len(held[0]) <= n:
+        size, both = 1 << int(n + 1).bit_length(), []
+        for base in (_PRIME_BASES[k], pow(_PRIME_BASES[k], -1, int(_PRIME))):
+            table, done = np.ones(size, np.uint32), 1
+            while done < size:
+                table[done : 2 * done] = table[: min(done, size - done)].astype(U64) * U64(pow(base, done, int(_PRIME))) % _PRIME
+                done *= 2
+            both.append(table)
+        held = _prime_tables[k] = tuple(both)
+    return held
+
+
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, offsets of n+1 documents) of a string or binary column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -90,9 +116,119 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPAC
     return starts, ends, np.searchsorted(offsets[1:] - lo, starts, "right")
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = _LOWER_CODE, block: int = SLICE_BYTES) -> np.ndarray:
+class Sums:
+    """Polynomial sums over a run of bytes, modulo the prime 2**31 - 1, for two bases and codes that have nothing in common.
+
+    The hash of any span of the run follows from them: 62 bits and the length.  Two spans of n bytes have the same one
+    only where both polynomials of degree n vanish, so no pattern of bytes does that for every base, as patterns
+    do modulo a power of two.  Where equal bytes must be sure, `distinct_spans` compares them.
+    """
+
+    def __init__(self, raw: np.ndarray, codes: np.ndarray):
+        self.each = []
+        for k in range(2):
+            up, down = _prime_powers(k, len(raw))
+            total = np.zeros(len(raw) + 1, dtype=U64)
+            np.cumsum(_fold(codes[k][raw] * up[: len(raw)]), out=total[1:])
+            self.each.append((total, down))
+
+    def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of each span of bytes."""
+        a, b = (((total[ends] - total[starts]) % _PRIME * down[starts]) % _PRIME for total, down in self.each)
+        return _spread(((a << U64(31)) | b) ^ _spread((ends - starts).astype(U64)))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray = LOWER_CODES, block: int = SLICE_BYTES) -> np.ndarray:
     """A 64-bit hash of each span of bytes; the spans are in order and don't overlap."""
-    return prefix_hashes(data, starts, ends, (), codes, block)[0]
+    out, i = np.empty(len(starts), dtype=U64), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + block, "right")))
+        lo = int(starts[i])
+        out[i:j] = Sums(data[lo : int(ends[j - 1])], codes).spans(starts[i:j] - lo, ends[i:j] - lo)
+        i = j
+    return out
+
+
+def flat_places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of spans, one span after another."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def unequal(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, other: np.ndarray, other_starts: np.ndarray, other_sizes: np.ndarray) -> np.ndarray:
+    """Which spans of data differ in any byte from their partners, spans of `other`."""
+    wrong = sizes != other_sizes
+    alike = np.flatnonzero(~wrong & (sizes > 0))
+    n = sizes[alike]
+    differ = data[flat_places(starts[alike], n)] != other[flat_places(other_starts[alike], n)]
+    wrong[alike] = np.add.reduceat(differ, np.cumsum(n) - n) if len(alike) else False
+    return wrong
+
+
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, first, at): the different spans by key, where each is first met, and which of them each span is.
+
+    Bytes are compared: of different spans with one hash, all but the first go on to other keys.
+    """
+    keys, sizes = span_hashes(data, starts, ends, BYTE_CODES if codes is None else codes), ends - starts
+    while True:
+        known, first, at = np.unique(keys, return_index=True, return_inverse=True)
+        own = first[at]
+        again = np.flatnonzero(own != np.arange(len(own)))
+        wrong = again[unequal(data, starts[again], sizes[again], data, starts[own[again]], sizes[own[again]])]
+        if not len(wrong):
+            return known, first, at
+        keys[wrong] = _spread(keys[wrong] + U64(1))
+
+
+class Grown:
+    """An array that is appended to; `data` has room, `n` values are filled."""
+
+    def __init__(self, dtype: type):
+        self.data, self.n = np.zeros(1024, dtype), 0
+
+    def append(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.data):
+            self.data = np.concatenate([self.data[: self.n], np.zeros(self.n + len(values), self.data.dtype)])
+        self.data[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+
+class HeldSpans:
+    """Spans of bytes, numbered as they come.  A span is found by its hash, and only if its bytes are the same."""
+
+    def __init__(self, recent: int = 1 << 16):
+        self.most_recent, self.keys = recent, [np.zeros(0, U64), np.zeros(0, U64)]  # a large sorted table, and a recent one that is merged into it now and then
+        self.numbers = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.bytes, self.starts, self.sizes = Grown(np.uint8), Grown(np.int64), Grown(np.int64)
+
+    def __len__(self) -> int:
+        return self.sizes.n
+
+    def find(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number of each span of raw; -1 where it isn't held, -2 where another one of its key is."""
+        found = np.full(len(keys), -1)
+        for held, numbers in zip(self.keys, self.numbers):
+            place = np.searchsorted(held, keys)
+            met = np.flatnonzero(place < len(held))
+            met = met[held[place[met]] == keys[met]]
+            found[met] = numbers[place[met]]
+        met = np.flatnonzero(found >= 0)
+        found[met[unequal(raw, starts[met], sizes[met], self.bytes.data, self.starts.data[found[met]], self.sizes.data[found[met]])]] = -2
+        return found
+
+    def add(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        """Spans of keys that aren't held, in order of key; they get the next numbers."""
+        numbers = len(self) + np.arange(len(keys))
+        self.starts.append(self.bytes.n + np.cumsum(sizes) - sizes)
+        self.sizes.append(sizes)
+        self.bytes.append(raw[flat_places(starts, sizes)])
+        into, new = 1, (keys, numbers)
+        if len(self.keys[1]) + len(keys) > self.most_recent:
+            order = np.argsort(both := np.concatenate([self.keys[1], keys]), kind="stable")
+            into, new = 0, (both[order], np.concatenate([self.numbers[1], numbers])[order])
+            self.keys[1], self.numbers[1] = self.keys[1][:0], self.numbers[1][:0]
+        at = np.searchsorted(self.keys[into], new[0])
+        self.keys[into], self.numbers[into] = np.insert(self.keys[into], at, new[0]), np.insert(self.numbers[into], at, new[1])
 
 
 def prefix_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: tuple[int, ...], codes: np.ndarray = _LOWER_CODE, block: int = SLICE_BYTES) -> list[np.ndarray]:
@@ -131,7 +267,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = 5) -> tuple[
         return np.zeros(0, U64), np.zeros(0, np.int64)
     counts = np.bincount(doc, minlength=n)
     run = np.zeros(len(words), dtype=U64)
-    for k in range(size):
+    for k in range(min(size, len(words))):
         run[: len(words) - k] = run[: len(words) - k] * U64(0xC2B2AE3D27D4EB4F) + words[k:]
     last = np.cumsum(counts)[doc]
     whole = np.arange(len(words)) + size <= last

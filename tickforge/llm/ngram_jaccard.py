@@ -2,8 +2,8 @@
 
 Which documents link: those whose sets of five-word shingles have
 100 * |A and B| >= threshold * |A or B|.  One row per document comes out: its class (connected
-component of links) and its number of links.  No pair is lost; a shingle is its 64-bit hash,
-on which intersections are counted.
+component of links) and its number of links.  No pair is lost; a shingle is a 64-bit hash
+of five words' hashes (sums modulo a prime, for two bases), on which intersections are counted.
 
 How: shingles are ordered by how many different sets hold them, rarest first.  A pair that
 links shares at least l shingles among the first (n - ceil(t n) + l) of each of the two

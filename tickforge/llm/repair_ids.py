@@ -15,7 +15,8 @@ each round, lengths of expansions, null flags and doc ids, ids before each docum
 of each document in the sequence, where each frame starts; then the sequence (unsigned
 32-bit), a zstd frame each `FRAME` symbols.
 
-Scale: one range shuffle of the texts by id; a task streams through its range and writes
+Scale: one range shuffle of the texts by id (rows of one id by a hash of the text, so that no id makes a hot range), with
+as many tasks as the texts' bytes ask; a task streams through its range and writes
 shards of about `shard_ids` ids.  The list of shards, one row each, is a table; running sums
 over the writing tasks, and over each one's shards, give the ids before each shard.  A task
 reads shards of about `READ_IDS` ids.  Files are named by attempt and only those in the list
@@ -29,7 +30,7 @@ string in a text is one piece and gives that token's id, as an untouched tokeniz
 with added_tokens=False it is ordinary text.
 
 Null texts are empty documents: they hold only the end id.  Repeated ids stay together,
-one document a row, ordered by text.  An empty table gives no files and no rows.
+one document a row, ordered by a hash of the text.  An empty table gives no files and no rows.
 """
 
 from __future__ import annotations
@@ -49,14 +50,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import files
-from .kernel import _BYTE_CODE, byte_view, slices, span_hashes
-from .shared import fresh_path, parts, stored, table
+from .kernel import Grown, HeldSpans, byte_view, distinct_spans, flat_places, slices
+from .shared import fresh_path, parts, stored, table, tasks, text_bytes
 
 END_ID = 2
 SHARD_IDS, READ_IDS = 1 << 20, 32 << 20  # ids of a shard, and of the shards that one task reads
+TASK_BYTES = 128 << 20  # of text, in a range of ids that one task writes
 LEAST_COUNT = 32
 FRAME, INDEX_READ = 1 << 13, 1 << 17  # symbols of a frame of the sequence; bytes of the first read, which mostly holds the index
-MOST_PIECES, RECENT_PIECES = 1_500_000, 100_000
+MOST_PIECES, MOST_BYTES = 1_500_000, 64 << 20  # pieces that a worker holds, and their bytes
 LONG_PIECE = 1024  # bytes; longer ones are encoded where they occur and not held
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -84,31 +86,6 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Known:
-    """Ids of pieces by hash, in a large sorted table and a small recent one that is merged into it now and then."""
-
-    def __init__(self):
-        self.keys, self.starts, self.sizes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32), np.zeros(0, np.uint16)
-
-    def place(self, keys: np.ndarray) -> np.ndarray:
-        """The entry of each key, or -1."""
-        at = np.searchsorted(self.keys, keys)
-        at[at == len(self.keys)] = 0
-        return np.where(self.keys[at] == keys, at, -1) if len(self.keys) else np.full(len(keys), -1)
-
-    def add(self, keys: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
-        """Keys are new here and sorted; ids are theirs, one key after another."""
-        starts = len(self.ids) + np.cumsum(sizes) - sizes
-        at = np.searchsorted(self.keys, keys)
-        self.keys, self.starts, self.sizes = np.insert(self.keys, at, keys), np.insert(self.starts, at, starts.astype(np.uint32)), np.insert(self.sizes, at, sizes.astype(np.uint32))
-        self.ids = np.concatenate([self.ids, ids])
-
-    def spread(self, entries: np.ndarray) -> np.ndarray:
-        """The ids of entries, one after another."""
-        sizes = self.sizes[entries].astype(np.int64)
-        return self.ids[np.repeat(self.starts[entries] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))]
-
-
 class Pieces:
     """Encodes texts piece by piece, each different piece once as long as it is held."""
 
@@ -125,17 +102,19 @@ class Pieces:
         self.first_new = self.tokenizer.get_vocab_size(with_added_tokens=True)
         if self.first_new > 1 << 16:
             raise ValueError("token ids of more than 16 bits")
-        self.old, self.recent = Known(), Known()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.held, self.ids, self.starts, self.sizes = HeldSpans(), Grown(np.uint16), Grown(np.int64), Grown(np.int64)
 
-    def _learn(self, held: Known, keys: np.ndarray, pieces: list[bytes]) -> None:
-        """Encode pieces of sorted keys that are new to held into it; one of letters after a space at most is one word to the model."""
+    def _encoded(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of pieces; one of letters after a space at most is one word to the model."""
         model, table_ = self.tokenizer.model, _BYTE_LETTERS
         ids = [[t.id for t in model.tokenize(p.decode("latin-1").translate(table_))] if (p[1:] if p[:1] == b" " else p).decode().isalpha() else None for p in pieces]
         odd = [i for i, x in enumerate(ids) if x is None]
         for i, got in zip(odd, self.tokenizer.encode_batch_fast([pieces[i].decode() for i in odd], add_special_tokens=False)):
             ids[i] = got.ids
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        held.add(keys, sizes, np.fromiter(chain.from_iterable(ids), np.uint16, int(sizes.sum())))
+        return ids
 
     def _added_spans(self, raw: np.ndarray, local: np.ndarray) -> list[tuple[int, int]]:
         """Where strings of added tokens stand, each in one document."""
@@ -165,31 +144,31 @@ class Pieces:
             cut[lo], cut[lo + 1 : hi], cut[hi] = True, False, True
         starts = np.flatnonzero(cut[:n])
         ends = np.append(starts[1:], n)
-        keys = span_hashes(raw, starts, ends, _BYTE_CODE)
-        known, first, at = np.unique(keys, return_index=True, return_inverse=True)
-        old, recent, once = self.old.place(known), self.recent.place(known), Known()
-        missing, long = (old < 0) & (recent < 0), (ends - starts)[first] > LONG_PIECE
-        buf = raw.tobytes() if missing.any() else b""
-        for held, new in ((self.recent, np.flatnonzero(missing & ~long)), (once, np.flatnonzero(missing & long))):
-            if len(new):
-                self._learn(held, known[new], [buf[starts[i] : ends[i]] for i in first[new].tolist()])
-        places = (self.old, old), (self.recent, self.recent.place(known)), (once, once.place(known))
-        both = Known()
-        owner = np.where(old >= 0, 0, np.where(places[1][1] >= 0, 1, 2))
-        sizes = np.zeros(len(known), np.int64)
-        for k, (held, at_held) in enumerate(places):
-            sizes[owner == k] = held.sizes[at_held[owner == k]]
-        ids, fill = np.empty(int(sizes.sum()), np.uint16), np.repeat(owner.astype(np.uint8), sizes)
-        for k, (held, at_held) in enumerate(places):
-            ids[fill == k] = held.spread(at_held[owner == k])
-        both.add(known, sizes, ids)
-        if len(self.recent.keys) > RECENT_PIECES:
-            if len(self.old.keys) > MOST_PIECES:
-                self.old = Known()
-            self.old.add(self.recent.keys, self.recent.sizes.astype(np.int64), self.recent.spread(np.arange(len(self.recent.keys))))
-            self.recent = Known()
-        before = np.append(0, np.cumsum(sizes[at], dtype=np.int64))
-        return both.spread(at), np.diff(before[np.searchsorted(starts, local)])
+        known, first, at = distinct_spans(raw, starts, ends)
+        if len(self.held) > MOST_PIECES or self.held.bytes.n > MOST_BYTES:
+            self._forget()
+        size = (ends - starts)[first]
+        place = self.held.find(known, raw, starts[first], size)
+        new, old = np.flatnonzero(place < 0), np.flatnonzero(place >= 0)
+        many = np.zeros(len(known), np.int64)
+        many[old] = self.sizes.data[place[old]]
+        made = np.zeros(0, np.uint16)
+        if len(new):
+            buf = raw.tobytes()
+            found = self._encoded([buf[starts[i] : ends[i]] for i in first[new].tolist()])
+            many[new] = np.fromiter(map(len, found), np.int64, len(found))
+            made = np.fromiter(chain.from_iterable(found), np.uint16, int(many[new].sum()))
+        is_new = np.repeat(place < 0, many)
+        ids = np.empty(len(is_new), np.uint16)
+        ids[is_new], ids[~is_new] = made, self.ids.data[flat_places(self.starts.data[place[old]], many[old])]
+        begin = np.cumsum(many) - many
+        keep = new[(place[new] == -1) & (size[new] <= LONG_PIECE)]
+        self.held.add(known[keep], raw, starts[first[keep]], size[keep])
+        self.starts.append(self.ids.n + np.cumsum(many[keep]) - many[keep])
+        self.sizes.append(many[keep])
+        self.ids.append(ids[flat_places(begin[keep], many[keep])])
+        before = np.append(0, np.cumsum(many[at], dtype=np.int64))
+        return ids[flat_places(begin[at], many[at])], np.diff(before[np.searchsorted(starts, local)])
 
 
 @lru_cache(maxsize=1)
@@ -438,7 +417,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
             yield shard()
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    dealt = own.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    size = own.agg(F.sum(text_bytes())).first()[0]
+    dealt = own.repartitionByRange(tasks(docs.sparkSession, parts(size, TASK_BYTES)), F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
     return stored(dealt.mapInArrow(run, "uri string, first_doc long, last_doc long, docs long, ids long, part int, number int"), "shard-list")
 
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kernel import _BYTE_CODE, _spread, U64, byte_view, powers, slices
+from .kernel import _BYTE_CODE, _spread, BYTE_CODES, Sums, U64, byte_view, powers, slices
 from .packing import by_bucket, coded, squeeze, unsqueeze
 from .shared import grown, parts, stored, table, tasks, text_bytes
 
@@ -48,8 +48,6 @@ BATCH_BYTES = 4 << 20
 PIECE = 4 << 20
 ALONE, WHOLE, FIRST, HOT, COMPARE = range(5)
 _PLACE = U64((1 << 24) - 1)
-#: Codes of bytes for a second hash.
-_OTHER_CODE = _spread(_BYTE_CODE ^ U64(0xA0761D6478BD642F))
 TRIPLE = np.dtype([("row", np.int64), ("lo", np.int64), ("hi", np.int64)])
 
 
@@ -88,7 +86,7 @@ def anchored_segments(data: np.ndarray, offsets: np.ndarray, width: int, anchor:
     size = np.diff(np.append(head, len(starts)))
     start, off = starts[head], at[head] - starts[head]
     end = start + size - 1 + width
-    key2 = _spread(((total[end] - total[start]) * down[start]) ^ (size.astype(U64) << U64(40)) ^ off.astype(U64) * U64(0x9E3779B97F4A7C15))
+    key2 = _spread(Sums(data, BYTE_CODES).spans(start, end) ^ off.astype(U64) * U64(0x9E3779B97F4A7C15))
     key1 = _spread(hashes[at[head]])  # anchors have least hashes, which would all go to the first buckets
     return {"doc": np.searchsorted(offsets, start, "right") - 1, "start": start, "windows": size, "off": off, "key1": key1, "key2": key2}
 
@@ -198,10 +196,10 @@ def _judged(width: int, anchor: int, buckets: int):
                     at, windows = int(seg["at"][i]), int(seg["windows"][i])
                     n = windows - 1 + width
                     up, down = powers(n)
-                    for codes, out in ((_BYTE_CODE, hashes), (_OTHER_CODE, others)):
-                        total = np.zeros(n + 1, U64)
-                        np.cumsum(codes[data[at : at + n]] * up[:n], out=total[1:])
-                        out.append(_spread((total[width:] - total[:-width]) * down[:windows]))
+                    total = np.zeros(n + 1, U64)
+                    np.cumsum(_BYTE_CODE[data[at : at + n]] * up[:n], out=total[1:])
+                    hashes.append(_spread((total[width:] - total[:-width]) * down[:windows]))
+                    others.append(Sums(data[at : at + n], BYTE_CODES).spans(np.arange(windows), np.arange(width, n + 1)))
                     places.append(np.stack([np.full(windows, seg["row"][i]), seg["start"][i] + np.arange(windows)]))
                 h, h2, p = np.concatenate(hashes), np.concatenate(others), np.concatenate(places, axis=1)
                 order = np.lexsort((h2, h))

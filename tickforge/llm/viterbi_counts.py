@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kernel import _BYTE_CODE, byte_view, slices, span_hashes
+from .kernel import Grown, HeldSpans, byte_view, distinct_spans, slices
 from .shared import table
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-MOST_WORDS = 2_000_000
+MOST_WORDS, MOST_BYTES = 2_000_000, 64 << 20  # words that a worker holds, and their bytes
 
 
 def default_vocabulary() -> str:
@@ -89,11 +89,10 @@ class Viterbi:
 
 
 class Words:
-    """Counts of words by hash, each word scored once as long as it is held."""
+    """Counts of words, each word scored once as long as it is held.  Found by hash; a held word counts only if its bytes are the same."""
 
     def __init__(self, viterbi: Viterbi):
-        self.viterbi = viterbi
-        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.viterbi, self.held, self.counts = viterbi, HeldSpans(), Grown(np.int64)
 
     def totals(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of each document of data[offsets[0]:offsets[-1]]."""
@@ -111,25 +110,22 @@ class Words:
         heads = local[:-1][np.diff(local) >= 3]
         marked[heads] = (raw[heads] == 0xE2) & (raw[heads + 1] == 0x96) & (raw[heads + 2] == 0x81)
         bare = marked[starts]
-        keys = span_hashes(raw, starts, ends, _BYTE_CODE)
-        known, first, at = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.keys) > MOST_WORDS:
-            self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        place = np.searchsorted(self.keys, known)
-        held = place < len(self.keys)
-        held[held] = self.keys[place[held]] == known[held]
-        if not held.all():
-            new = np.flatnonzero(~held)
-            buf = raw.tobytes()
-            counts = []
+        known, first, at = distinct_spans(raw, starts, ends)
+        size = (ends - starts)[first]
+        if len(self.held) > MOST_WORDS or self.held.bytes.n > MOST_BYTES:
+            self.held, self.counts = HeldSpans(), Grown(np.int64)
+        place = self.held.find(known, raw, starts[first], size)
+        counts, new = self.counts.data[np.maximum(place, 0)], np.flatnonzero(place < 0)
+        if len(new):
+            buf, made = raw.tobytes(), []
             for i in first[new].tolist():
                 word = buf[starts[i] : ends[i]].decode()
-                counts.append(self.viterbi.count(word if bare[i] else MARK + word[1:] if spaced[i] else MARK + word))
-            keys = np.concatenate([self.keys, known[new]])
-            order = np.argsort(keys)
-            self.keys, self.counts = keys[order], np.concatenate([self.counts, np.array(counts, np.int64)])[order]
-            place = np.searchsorted(self.keys, known)
-        before = np.append(0, np.cumsum(self.counts[place][at]))
+                made.append(self.viterbi.count(word if bare[i] else MARK + word[1:] if spaced[i] else MARK + word))
+            counts[new] = made
+            keep = new[place[new] == -1]
+            self.held.add(known[keep], raw, starts[first[keep]], size[keep])
+            self.counts.append(counts[keep])
+        before = np.append(0, np.cumsum(counts[at]))
         return np.diff(before[np.searchsorted(starts, local)])
 
 
