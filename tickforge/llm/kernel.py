@@ -216,12 +216,14 @@ class HeldSpans:
         found[met[unequal(raw, starts[met], sizes[met], self.bytes.data, self.starts.data[found[met]], self.sizes.data[found[met]])]] = -2
         return found
 
-    def add(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
-        """Spans of keys that aren't held, in order of key; they get the next numbers."""
+    def add(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, findable: bool = True) -> np.ndarray:
+        """The next numbers, for spans of keys that aren't held, in order of key; others are held too, but never found."""
         numbers = len(self) + np.arange(len(keys))
         self.starts.append(self.bytes.n + np.cumsum(sizes) - sizes)
         self.sizes.append(sizes)
         self.bytes.append(raw[flat_places(starts, sizes)])
+        if not findable:
+            return numbers
         into, new = 1, (keys, numbers)
         if len(self.keys[1]) + len(keys) > self.most_recent:
             order = np.argsort(both := np.concatenate([self.keys[1], keys]), kind="stable")
@@ -229,6 +231,7 @@ class HeldSpans:
             self.keys[1], self.numbers[1] = self.keys[1][:0], self.numbers[1][:0]
         at = np.searchsorted(self.keys[into], new[0])
         self.keys[into], self.numbers[into] = np.insert(self.keys[into], at, new[0]), np.insert(self.numbers[into], at, new[1])
+        return numbers
 
 
 def prefix_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lengths: tuple[int, ...], codes: np.ndarray = _LOWER_CODE, block: int = SLICE_BYTES) -> list[np.ndarray]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decision_list, decontaminate, html_extraction, mixing, ngram_jaccard, ordinal_toxicity, repair_ids, suffix_dedup, viterbi_counts, warc
+from . import decision_list, decontaminate, html_extraction, mixing, ngram_jaccard, ordinal_toxicity, piece_ids, repair_ids, suffix_dedup, viterbi_counts, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_viterbi_counts": viterbi_counts.query,
         "op9_mixing": mixing.query,
         "op10_html_extraction": html_extraction.query,
+        "op12_piece_ids": piece_ids.query,
     }
 
 
