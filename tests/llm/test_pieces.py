@@ -50,11 +50,11 @@ TEXTS = ["a ", " a", "  a  b   ", "▁a ▁b", "▁", " ▁", "▁ ", "a▁", "a
 
 
 def test_edges_in_small_chunks(documents, library):
-    check(documents(*edge_texts(), *TEXTS, (None, "of no id", "s"), (7, "same id", "s"), (7, "same id", "s")), library, chunk_bytes=64)
+    check(documents(*edge_texts(), *TEXTS, (None, "of no id", "s"), (7, "same id", "s"), (7, "same id", "s")), library, chunk_bytes=64, bucket_bytes=20_000)
 
 
 def test_extra_columns_and_empty_table(documents, library):
-    df = clashing(documents("some text", None), "chunk", "position", "word", "ids", "counts", "positions", "doc_ids")
+    df = clashing(documents("some text", None), "chunk", "bucket", "words", "ids", "counts", "positions", "doc_ids")
     check(df, library)
     assert P.encoded(df.where("false")).count() == 0
     assert P.encoded(documents(None, "")).where(F.size("ids") > 0).count() == 0
@@ -74,21 +74,24 @@ def test_words_make_the_text(texts):
         assert sum(ids[at[k] : at[k + 1]], []) == held.encode(text)
 
 
-def test_words_of_equal_hash_stay_apart(documents, library, monkeypatch):
-    """The table of held words is asked through hashes that are all the same for a length."""
-    texts = ["abc abd abe", "abd abc xyz abc", "xyz"]
+def test_words_of_equal_hash_stay_apart(monkeypatch, library):
+    """Chunks and tables whose hashes are all the same for a length."""
     monkeypatch.setattr(kernel, "span_hashes", lambda data, starts, ends, codes=None, block=0: (ends - starts).astype(np.uint64))
+    texts = ["abc abd abe", "abd abc xyz abc", "xyz", "", "abe abe"]
+    chunk = P._Chunk()
     data, offsets = kernel.byte_view(pa.array(texts))
-    words = kernel.HeldSpans()
     for k in range(len(texts)):
-        raw = data[offsets[k] : offsets[k + 1]]
-        starts, ends, _ = P.marked_words(data, offsets[k : k + 2])
-        keys, first, at = kernel.distinct_spans(raw, starts, ends, kernel.BYTE_CODES)
-        place = words.find(keys, raw, starts[first], (ends - starts)[first])
-        for missing, findable in ((place == -1, True), (place == -2, False)):
-            place[missing] = words.add(keys[missing], raw, starts[first][missing], (ends - starts)[first][missing], findable)
-        got = [words.bytes.data[words.starts.data[p] :][: words.sizes.data[p]].tobytes().decode() for p in place[at]]
-        assert " ".join(got) == texts[k]
+        chunk.add([k], data, offsets[k : k + 2])
+    held = [chunk.words.bytes.data[a : a + n].tobytes().decode() for a, n in zip(chunk.words.starts.data[: len(chunk.words)], chunk.words.sizes.data)]
+    assert [" ".join(held[p] for p in at) for *_, at in chunk.slices] == texts
+    rows = pa.Table.from_batches(chunk.rows(2))
+
+    class Words:
+        def mapInArrow(self, run, _):
+            return pa.Table.from_batches(run(rows.filter(rows.column("bucket").is_valid()).to_batches()))
+
+    got = P._joined(rows.filter(rows.column("doc_ids").is_valid()), P.segmented(Words(), P.default_model()))
+    assert got.column("ids").to_pylist() == library.encode(texts)
 
 
 def test_models_that_cross_markers_are_refused(monkeypatch, tmp_path):

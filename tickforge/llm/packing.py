@@ -17,6 +17,15 @@ def unpack(packed: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers as byte planes, compressed; for values of which most are small."""
+    return zstandard.compress(np.ascontiguousarray(values.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def unplanes(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+
+
 def squeeze(values: np.ndarray) -> bytes:
     return zstandard.compress(np.ascontiguousarray(values).tobytes(), 1)
 

@@ -7,16 +7,18 @@ Which models allow that is checked when one is loaded; others are refused: byte
 encoding, no normalisation, a marker put before the text, spaces kept, pieces as said.
 
 How: one pass over the texts writes them dictionary-encoded.  A task gathers its texts in
-chunks of about `CHUNK_BYTES`; a chunk has a dictionary of its marked words (a row each:
-chunk, position, word) and, for its documents, the positions of their words.  The words of
-all chunks are made distinct, each is segmented by the library, and ids are joined back to
-the dictionaries by word, and to the documents by chunk and position.  Decoding is the
-library's, over all ids of a document.
-
-Scale: texts are read once and not shuffled; what moves are distinct words of chunks, and
-positions (well under half the size of the texts).  A word of every chunk is one row a chunk,
-a small share of all rows.  A chunk is bounded, but for one longer text.  Words are found by
-hash and compared by bytes.  What a lost executor had begun isn't in the written table.
+chunks of about `CHUNK_BYTES`; a chunk has a dictionary of its marked words and, for its
+documents, the positions of their words.  A chunk sends the words of each bucket of the hash
+space in one packed message; a bucket's task makes the table of distinct words (found by
+hash, compared by bytes), has the library segment each once, and answers with ids by
+position, which are joined back to the chunk's documents.  Decoding is the library's, over
+all ids of a document.
+
+Scale: texts are read once and not shuffled; what moves are chunks' distinct words, and
+positions.  A word of every chunk is one entry a chunk.  Chunks and buckets grow with the
+square root of the corpus beyond `GROWN_FROM` bytes, so that messages grow with the corpus.
+A chunk is bounded, but for one longer text.  What a lost executor had begun isn't in the
+written table.
 
 Null and empty texts have no ids and decode to the empty text.  Texts of spaces alone, words
 of any length and characters outside the vocabulary (ids of bytes) give the library's ids.
@@ -29,18 +31,20 @@ from __future__ import annotations
 import re
 import uuid
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kernel import BYTE_CODES, HeldSpans, byte_view, distinct_spans, flat_places, slices
-from .packing import squeeze, unsqueeze
-from .shared import stored, table
+from .kernel import BYTE_CODES, Grown, HeldSpans, byte_view, distinct_spans, flat_places, slices
+from .packing import pack, planes, squeeze, unpack, unplanes, unsqueeze
+from .shared import grown, parts, stored, table, tasks, text_bytes
 
 CHUNK_BYTES = 32 << 20
-DICTIONARY_ROWS = 1 << 16
+BUCKET_BYTES, GROWN_FROM = 16 << 20, 32 << 30  # bytes of all texts whose words come into one bucket
+MOST_WORDS, MOST_BYTES = 2_000_000, 64 << 20  # words that a bucket's task holds, and their bytes
 MARK = "▁"
 
 
@@ -91,90 +95,126 @@ def marked_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return begin + skip, np.append(begin[1:], n), np.diff(np.searchsorted(begin, local))
 
 
-def _dictionary_rows(chunk: str, words: HeldSpans):
-    n = len(words)
-    for lo in range(0, n, DICTIONARY_ROWS):
-        hi = min(n, lo + DICTIONARY_ROWS)
-        starts = words.starts.data[lo:hi]
-        offsets = np.append(starts, words.bytes.n if hi == n else words.starts.data[hi]) - starts[0]
-        text = pa.Array.from_buffers(pa.string(), hi - lo, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(words.bytes.data[starts[0] : starts[0] + offsets[-1]].tobytes())])
-        blank = [pa.nulls(hi - lo, t) for t in (pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())]
-        yield pa.RecordBatch.from_arrays([pa.array([chunk] * (hi - lo)), pa.array(np.arange(lo, hi, dtype=np.int32)), text, *blank], _COLUMNS)
+_COLUMNS = [("chunk", "long", pa.int64()), ("bucket", "int", pa.int32()), ("positions", "binary", pa.binary()), ("sizes", "binary", pa.binary()), ("words", "binary", pa.binary()), ("doc_ids", "array<long>", pa.list_(pa.int64())), ("counts", "array<int>", pa.list_(pa.int32()))]
+
+
+def _row(**values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([values.get(c)], t) for c, _, t in _COLUMNS], [c for c, *_ in _COLUMNS])
+
+
+class _Chunk:
+    """Texts as positions in a dictionary of their marked words."""
 
+    def __init__(self):
+        self.number, self.words, self.keys, self.slices, self.size = uuid.uuid4().int >> 65, HeldSpans(), Grown(np.uint64), [], 0
 
-_COLUMNS = ["chunk", "position", "word", "doc_ids", "counts", "positions"]
+    def add(self, doc_ids: list, data: np.ndarray, offsets: np.ndarray) -> None:
+        raw = data[int(offsets[0]) : int(offsets[-1])]
+        starts, ends, counts = marked_words(data, offsets)
+        keys, first, at = distinct_spans(raw, starts, ends, BYTE_CODES)
+        begin, long = starts[first], (ends - starts)[first]
+        place = self.words.find(keys, raw, begin, long)
+        for missing, findable in ((place == -1, True), (place == -2, False)):
+            place[missing] = self.words.add(keys[missing], raw, begin[missing], long[missing], findable)
+            self.keys.append(keys[missing])
+        self.slices.append((doc_ids, counts.astype(np.int32), place[at].astype(np.uint32)))
+        self.size += len(raw)
 
+    def rows(self, buckets: int):
+        """A row for each slice of documents, then one for each bucket of words.  Frequent words get small positions."""
+        n, words = len(self.words), self.words
+        often = sum((np.bincount(x, minlength=n) for *_, x in self.slices), np.zeros(n, np.int64))
+        order = np.argsort(-often, kind="stable")
+        position = np.empty(n, np.uint32)
+        position[order] = np.arange(n)
+        for doc_ids, counts, at in self.slices:
+            yield _row(chunk=self.number, positions=planes(position[at]), doc_ids=doc_ids, counts=counts)
+        bucket = (self.keys.data[:n] % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((position, bucket))
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            mine = order[cuts[b] : cuts[b + 1]]
+            size = words.sizes.data[mine]
+            yield _row(chunk=self.number, bucket=b, positions=pack(position[mine]), sizes=planes(size), words=squeeze(words.bytes.data[flat_places(words.starts.data[mine], size)]))
 
-def _dictionary_encoded(docs: DataFrame, chunk_bytes: int) -> DataFrame:
-    """Chunks: a row for each word of a dictionary (position, word), and for each slice of documents (doc_ids, counts, positions)."""
+
+def _dictionary_encoded(docs: DataFrame, chunk_bytes: int, buckets: int) -> DataFrame:
+    """The rows of all chunks, written."""
 
     def run(batches):
-        chunk, words, size = uuid.uuid4().hex, HeldSpans(), 0
+        chunk = _Chunk()
         for batch in batches:
             data, offsets = byte_view(batch.column(1))
             for lo, hi in slices(offsets):
-                starts, ends, counts = marked_words(data, offsets[lo : hi + 1])
-                raw = data[int(offsets[lo]) : int(offsets[hi])]
-                keys, first, at = distinct_spans(raw, starts, ends, BYTE_CODES)
-                begin, long = starts[first], (ends - starts)[first]
-                place = words.find(keys, raw, begin, long)
-                for missing, findable in ((place == -1, True), (place == -2, False)):
-                    place[missing] = words.add(keys[missing], raw, begin[missing], long[missing], findable)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.array([batch.column(0)[lo:hi].to_pylist()], pa.list_(pa.int64())), pa.array([counts.astype(np.int32)], pa.list_(pa.int32())), pa.array([squeeze(place[at].astype(np.uint32))], pa.binary())],
-                    _COLUMNS,
-                )
-                size += len(raw)
-                if size >= chunk_bytes:
-                    yield from _dictionary_rows(chunk, words)
-                    chunk, words, size = uuid.uuid4().hex, HeldSpans(), 0
-        yield from _dictionary_rows(chunk, words)
-
-    own = docs.select("doc_id", "text")
-    return stored(own.mapInArrow(run, "chunk string, position int, word string, doc_ids array<long>, counts array<int>, positions binary"), "piece-chunks")
+                chunk.add(batch.column(0)[lo:hi].to_pylist(), data, offsets[lo : hi + 1])
+                if chunk.size >= chunk_bytes:
+                    yield from chunk.rows(buckets)
+                    chunk = _Chunk()
+        yield from chunk.rows(buckets)
+
+    return stored(docs.mapInArrow(run, ", ".join(f"{c} {t}" for c, t, _ in _COLUMNS)), "piece-chunks")
 
 
 def segmented(words: DataFrame, model: str) -> DataFrame:
-    """(word, ids) of distinct marked words without their first marker, each segmented by the library."""
+    """(chunk, positions, sizes, ids) of the words of chunks' buckets, dealt by bucket; each distinct word is segmented once as long as it is held."""
 
     def run(batches):
-        held = processor(model)
-        lone = [held.piece_to_id(MARK)]  # the word that is a marker alone
+        library = processor(model)
+        lone = [library.piece_to_id(MARK)]  # the word that is a marker alone
+        held, starts, sizes, ids = HeldSpans(), Grown(np.int64), Grown(np.int64), Grown(np.uint32)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([ids if text else lone for text, ids in zip(texts, held.encode(texts, num_threads=1))], pa.list_(pa.int32()))], ["word", "ids"])
-
-    return words.mapInArrow(run, "word string, ids array<int>")
+            for chunk, positions, long, text in zip(*(batch.column(c).to_pylist() for c in ("chunk", "positions", "sizes", "words"))):
+                raw, size = unsqueeze(text, np.uint8), unplanes(long).astype(np.int64)
+                begin = np.cumsum(size) - size
+                keys, first, at = distinct_spans(raw, begin, begin + size, BYTE_CODES)
+                if len(held) > MOST_WORDS or held.bytes.n > MOST_BYTES:
+                    held, starts, sizes, ids = HeldSpans(), Grown(np.int64), Grown(np.int64), Grown(np.uint32)
+                place = held.find(keys, raw, begin[first], size[first])
+                for missing, findable in ((np.flatnonzero(place == -1), True), (np.flatnonzero(place == -2), False)):
+                    if len(missing):
+                        buf = raw.tobytes()
+                        each = [buf[begin[i] : begin[i] + size[i]].decode() for i in first[missing].tolist()]
+                        found = [x if w else lone for w, x in zip(each, library.encode(each, num_threads=1))]
+                        place[missing] = held.add(keys[missing], raw, begin[first[missing]], size[first[missing]], findable)
+                        many = np.fromiter(map(len, found), np.int64, len(found))
+                        starts.append(ids.n + np.cumsum(many) - many)
+                        sizes.append(many)
+                        ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(many.sum())))
+                entry = place[at]
+                many = sizes.data[entry]
+                out = (chunk, pa.int64()), (positions, pa.binary()), (planes(many), pa.binary()), (planes(ids.data[flat_places(starts.data[entry], many)]), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in out], ["chunk", "positions", "sizes", "ids"])
+
+    return words.mapInArrow(run, "chunk long, positions binary, sizes binary, ids binary")
 
 
 def _joined(chunk: pa.Table, dictionary: pa.Table) -> pa.Table:
     """(doc_id, ids) of a chunk's documents."""
-    out = []
-    order = np.argsort(dictionary.column("position").to_numpy())
-    ids = dictionary.column("ids").combine_chunks()
-    ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) and ids.num_chunks else ids
-    bounds = ids.offsets.to_numpy().astype(np.int64) if len(order) else np.zeros(1, np.int64)
-    flat = ids.values.to_numpy(zero_copy_only=False) if len(order) else np.zeros(0, np.int32)
-    begin, size = bounds[:-1][order], np.diff(bounds)[order]
+    column = lambda c, read: np.concatenate([np.zeros(0, np.int64), *(read(x).astype(np.int64) for x in dictionary.column(c).to_pylist())])
+    order = np.argsort(column("positions", unpack))
+    size, flat, out = column("sizes", unplanes), column("ids", unplanes).astype(np.int32), []
+    begin = (np.cumsum(size) - size)[order]
+    size = size[order]
     for row in range(chunk.num_rows):
         doc_ids, counts, positions = (chunk.column(c)[row] for c in ("doc_ids", "counts", "positions"))
-        at = unsqueeze(positions.as_py(), np.uint32)
+        at = unplanes(positions.as_py())
         words = np.append(0, np.cumsum(counts.values.to_numpy(), dtype=np.int64))
         ends = np.append(0, np.cumsum(size[at]))[words].astype(np.int32)
         out.append(pa.RecordBatch.from_arrays([doc_ids.values, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[flat_places(begin[at], size[at])], pa.int32()))], ["doc_id", "ids"]))
     return pa.Table.from_batches(out, pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))]))
 
 
-def encoded(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def encoded(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc_id, ids: array of int) of every row of docs; model: path of a sentencepiece file that tasks can read."""
     model = model or default_model()
     processor(model)
-    chunks = _dictionary_encoded(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), chunk_bytes)
-    words = chunks.where("position is not null").select("chunk", "position", "word")
-    known = segmented(words.select("word").distinct(), model)
-    dictionaries = words.join(known, "word").select("chunk", "position", "ids")
-    slices_ = chunks.where("positions is not null").select(F.col("chunk").alias("held_in"), "doc_ids", "counts", "positions")
-    return slices_.groupBy("held_in").cogroup(dictionaries.groupBy("chunk")).applyInArrow(_joined, "doc_id long, ids array<int>")
+    spark, own = docs.sparkSession, docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    size = own.agg(F.sum(text_bytes())).first()[0]
+    buckets = parts(size, grown(bucket_bytes, size, GROWN_FROM))
+    chunks = _dictionary_encoded(own, grown(chunk_bytes, size, GROWN_FROM), buckets)
+    words = chunks.where("bucket is not null").select("chunk", "bucket", "positions", "sizes", "words").repartition(tasks(spark, buckets), "bucket").drop("bucket")
+    texts = chunks.where("doc_ids is not null").select(F.col("chunk").alias("held_in"), "doc_ids", "counts", "positions")
+    return texts.groupBy("held_in").cogroup(segmented(words, model).groupBy("chunk")).applyInArrow(_joined, "doc_id long, ids array<int>")
 
 
 def decoded(ids: DataFrame, model: str | None = None) -> DataFrame:
