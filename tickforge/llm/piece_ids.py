@@ -224,7 +224,9 @@ def decoded(ids: DataFrame, model: str | None = None) -> DataFrame:
     def run(batches):
         held = processor(model)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([held.decode(x) if x else "" for x in batch.column(1).to_pylist()], pa.string())], ["doc_id", "ids", "text"])
+            flat, bounds = batch.column(1).values.to_numpy(zero_copy_only=False), batch.column(1).offsets.to_numpy()
+            texts = (held.decode(flat[lo:hi].tolist()) if lo < hi else "" for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()))  # a document's ids at a time
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return ids.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 
