@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decision_list, decontaminate, html_extraction, mixing, ngram_jaccard, ordinal_toxicity, piece_ids, repair_ids, suffix_dedup, viterbi_counts, warc
+from . import decision_list, decontaminate, html_extraction, importance_resampling, mixing, ngram_jaccard, ordinal_toxicity, piece_ids, prefix_trie, repair_ids, suffix_dedup, viterbi_counts, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,7 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_viterbi_counts": viterbi_counts.query,
         "op9_mixing": mixing.query,
         "op10_html_extraction": html_extraction.query,
+        "op11_importance_resampling": importance_resampling.query,
         "op12_piece_ids": piece_ids.query,
+        "op13_prefix_trie": prefix_trie.query,
     }
 
 
@@ -30,4 +32,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_ngram_jaccard": ngram_jaccard.SQL,
         "op5_warc": warc.SQL,
         "op6_decontaminate": decontaminate.SQL,
+        "op11_importance_resampling": importance_resampling.SQL,
+        "op13_prefix_trie": prefix_trie.SQL,
     }
