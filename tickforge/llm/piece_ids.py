@@ -42,7 +42,7 @@ from .kernel import BYTE_CODES, Grown, HeldSpans, byte_view, distinct_spans, fla
 from .packing import pack, planes, squeeze, unpack, unplanes, unsqueeze
 from .shared import grown, parts, stored, table, tasks, text_bytes
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 BUCKET_BYTES, GROWN_FROM = 16 << 20, 32 << 30  # bytes of all texts whose words come into one bucket
 MOST_WORDS, MOST_BYTES = 2_000_000, 64 << 20  # words that a bucket's task holds, and their bytes
 MARK = "▁"
@@ -188,8 +188,14 @@ def segmented(words: DataFrame, model: str) -> DataFrame:
     return words.mapInArrow(run, "chunk long, positions binary, sizes binary, ids binary")
 
 
-def _joined(chunk: pa.Table, dictionary: pa.Table) -> pa.Table:
-    """(doc_id, ids) of a chunk's documents."""
+def _texts(ids: pa.ListArray, model: str) -> pa.Array:
+    """The library's text of each row's ids, a row at a time."""
+    held, flat, bounds = processor(model), ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    return pa.array((held.decode(flat[lo:hi].tolist()) if lo < hi else "" for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist())), pa.string())
+
+
+def _joined(chunk: pa.Table, dictionary: pa.Table, model: str | None = None) -> pa.Table:
+    """(doc_id, ids) of a chunk's documents; with a model, also their decoded texts."""
     column = lambda c, read: np.concatenate([np.zeros(0, np.int64), *(read(x).astype(np.int64) for x in dictionary.column(c).to_pylist())])
     order = np.argsort(column("positions", unpack))
     size, flat, out = column("sizes", unplanes), column("ids", unplanes).astype(np.int32), []
@@ -200,12 +206,13 @@ def _joined(chunk: pa.Table, dictionary: pa.Table) -> pa.Table:
         at = unplanes(positions.as_py())
         words = np.append(0, np.cumsum(counts.values.to_numpy(), dtype=np.int64))
         ends = np.append(0, np.cumsum(size[at]))[words].astype(np.int32)
-        out.append(pa.RecordBatch.from_arrays([doc_ids.values, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[flat_places(begin[at], size[at])], pa.int32()))], ["doc_id", "ids"]))
-    return pa.Table.from_batches(out, pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))]))
+        columns = {"doc_id": doc_ids.values, "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[flat_places(begin[at], size[at])], pa.int32()))}
+        out.append(pa.RecordBatch.from_pydict(columns | ({"text": _texts(columns["ids"], model)} if model else {})))
+    return pa.Table.from_batches(out, None if out else pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())][: 3 if model else 2]))
 
 
-def encoded(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(doc_id, ids: array of int) of every row of docs; model: path of a sentencepiece file that tasks can read."""
+def encoded(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, decode: bool = False) -> DataFrame:
+    """(doc_id, ids: array of int) of every row of docs, and with decode the text of the ids; model: path of a sentencepiece file that tasks can read."""
     model = model or default_model()
     processor(model)
     spark, own = docs.sparkSession, docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -214,7 +221,11 @@ def encoded(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", t
     chunks = _dictionary_encoded(own, grown(chunk_bytes, size, GROWN_FROM), buckets)
     words = chunks.where("bucket is not null").select("chunk", "bucket", "positions", "sizes", "words").repartition(tasks(spark, buckets), "bucket").drop("bucket")
     texts = chunks.where("doc_ids is not null").select(F.col("chunk").alias("held_in"), "doc_ids", "counts", "positions")
-    return texts.groupBy("held_in").cogroup(segmented(words, model).groupBy("chunk")).applyInArrow(_joined, "doc_id long, ids array<int>")
+
+    def joined(chunk: pa.Table, dictionary: pa.Table) -> pa.Table:
+        return _joined(chunk, dictionary, model if decode else None)
+
+    return texts.groupBy("held_in").cogroup(segmented(words, model).groupBy("chunk")).applyInArrow(joined, "doc_id long, ids array<int>" + ", text string" * decode)
 
 
 def decoded(ids: DataFrame, model: str | None = None) -> DataFrame:
@@ -222,16 +233,13 @@ def decoded(ids: DataFrame, model: str | None = None) -> DataFrame:
     model = model or default_model()
 
     def run(batches):
-        held = processor(model)
         for batch in batches:
-            flat, bounds = batch.column(1).values.to_numpy(zero_copy_only=False), batch.column(1).offsets.to_numpy()
-            texts = (held.decode(flat[lo:hi].tolist()) if lo < hi else "" for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()))  # a document's ids at a time
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _texts(batch.column(1), model)], ["doc_id", "ids", "text"])
 
     return ids.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = decoded(encoded(table(spark, sf_dir, "documents")))
+    both = encoded(table(spark, sf_dir, "documents"), decode=True)
     decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
