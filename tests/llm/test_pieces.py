@@ -54,7 +54,7 @@ def test_edges_in_small_chunks(documents, library):
 
 
 def test_extra_columns_and_empty_table(documents, library):
-    df = clashing(documents("some text", None), "chunk", "bucket", "words", "ids", "counts", "positions", "doc_ids")
+    df = clashing(documents("some text", None), "chunk", "bucket", "words", "ids", "counts", "positions", "uri")
     check(df, library)
     assert P.encoded(df.where("false")).count() == 0
     assert P.encoded(documents(None, "")).where(F.size("ids") > 0).count() == 0
@@ -74,7 +74,7 @@ def test_words_make_the_text(texts):
         assert sum(ids[at[k] : at[k + 1]], []) == held.encode(text)
 
 
-def test_words_of_equal_hash_stay_apart(monkeypatch, library):
+def test_words_of_equal_hash_stay_apart(monkeypatch, library, tmp_path):
     """Chunks and tables whose hashes are all the same for a length."""
     monkeypatch.setattr(kernel, "span_hashes", lambda data, starts, ends, codes=None, block=0: (ends - starts).astype(np.uint64))
     texts = ["abc abd abe", "abd abc xyz abc", "xyz", "", "abe abe"]
@@ -84,13 +84,13 @@ def test_words_of_equal_hash_stay_apart(monkeypatch, library):
         chunk.add([k], data, offsets[k : k + 2])
     held = [chunk.words.bytes.data[a : a + n].tobytes().decode() for a, n in zip(chunk.words.starts.data[: len(chunk.words)], chunk.words.sizes.data)]
     assert [" ".join(held[p] for p in at) for *_, at in chunk.slices] == texts
-    rows = pa.Table.from_batches(chunk.rows(2))
+    rows = pa.Table.from_batches(chunk.rows(2, f"file://{tmp_path}"))
 
     class Words:
         def mapInArrow(self, run, _):
             return pa.Table.from_batches(run(rows.filter(rows.column("bucket").is_valid()).to_batches()))
 
-    got = P._joined(rows.filter(rows.column("doc_ids").is_valid()), P.segmented(Words(), P.default_model()))
+    got = P._joined(rows.filter(rows.column("uri").is_valid()), P.segmented(Words(), P.default_model()))
     assert got.column("ids").to_pylist() == library.encode(texts)
 
 

@@ -7,18 +7,18 @@ Which models allow that is checked when one is loaded; others are refused: byte
 encoding, no normalisation, a marker put before the text, spaces kept, pieces as said.
 
 How: one pass over the texts writes them dictionary-encoded.  A task gathers its texts in
-chunks of about `CHUNK_BYTES`; a chunk has a dictionary of its marked words and, for its
-documents, the positions of their words.  A chunk sends the words of each bucket of the hash
+chunks of about `CHUNK_BYTES`; a chunk has a dictionary of its marked words and, in a file of
+the shared folder, the positions of its documents' words.  A chunk sends the words of each bucket of the hash
 space in one packed message; a bucket's task makes the table of distinct words (found by
 hash, compared by bytes), has the library segment each once, and answers with ids by
-position, which are joined back to the chunk's documents.  Decoding is the library's, over
+position, and the task that gets a chunk's answers joins them back to its documents.  Decoding is the library's, over
 all ids of a document.
 
-Scale: texts are read once and not shuffled; what moves are chunks' distinct words, and
-positions.  A word of every chunk is one entry a chunk.  Chunks and buckets grow with the
+Scale: texts are read once and not shuffled; what moves are chunks' distinct words and their
+ids.  A word of every chunk is one entry a chunk.  Chunks and buckets grow with the
 square root of the corpus beyond `GROWN_FROM` bytes, so that messages grow with the corpus.
-A chunk is bounded, but for one longer text.  What a lost executor had begun isn't in the
-written table.
+A chunk is bounded, but for one longer text.  Files are named by chance, and what a lost
+executor had begun isn't in the written table.
 
 Null and empty texts have no ids and decode to the empty text.  Texts of spaces alone, words
 of any length and characters outside the vocabulary (ids of bytes) give the library's ids.
@@ -38,9 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import files
 from .kernel import BYTE_CODES, Grown, HeldSpans, byte_view, distinct_spans, flat_places, slices
 from .packing import pack, planes, squeeze, unpack, unplanes, unsqueeze
-from .shared import grown, parts, stored, table, tasks, text_bytes
+from .shared import fresh_path, grown, parts, stored, table, tasks, text_bytes
 
 CHUNK_BYTES = 16 << 20
 BUCKET_BYTES, GROWN_FROM = 16 << 20, 32 << 30  # bytes of all texts whose words come into one bucket
@@ -95,7 +96,10 @@ def marked_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return begin + skip, np.append(begin[1:], n), np.diff(np.searchsorted(begin, local))
 
 
-_COLUMNS = [("chunk", "long", pa.int64()), ("bucket", "int", pa.int32()), ("positions", "binary", pa.binary()), ("sizes", "binary", pa.binary()), ("words", "binary", pa.binary()), ("doc_ids", "array<long>", pa.list_(pa.int64())), ("counts", "array<int>", pa.list_(pa.int32()))]
+_COLUMNS = [("chunk", "long", pa.int64()), ("bucket", "int", pa.int32()), ("positions", "binary", pa.binary()), ("sizes", "binary", pa.binary()), ("words", "binary", pa.binary()), ("uri", "string", pa.string())]
+
+
+_SLICE = pa.schema([("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("positions", pa.binary())])
 
 
 def _row(**values) -> pa.RecordBatch:
@@ -120,15 +124,20 @@ class _Chunk:
         self.slices.append((doc_ids, counts.astype(np.int32), place[at].astype(np.uint32)))
         self.size += len(raw)
 
-    def rows(self, buckets: int):
-        """A row for each slice of documents, then one for each bucket of words.  Frequent words get small positions."""
+    def rows(self, buckets: int, folder: str):
+        """A row that names the file of the chunk's documents, then one for each bucket of words.  Frequent words get small positions."""
         n, words = len(self.words), self.words
         often = sum((np.bincount(x, minlength=n) for *_, x in self.slices), np.zeros(n, np.int64))
         order = np.argsort(-often, kind="stable")
         position = np.empty(n, np.uint32)
         position[order] = np.arange(n)
-        for doc_ids, counts, at in self.slices:
-            yield _row(chunk=self.number, positions=planes(position[at]), doc_ids=doc_ids, counts=counts)
+        out, uri = pa.BufferOutputStream(), f"{folder}/chunk-{self.number:016x}.arrow"
+        with pa.ipc.new_stream(out, _SLICE, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+            for doc_ids, counts, at in self.slices:
+                to.write_batch(pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((doc_ids, counts, planes(position[at])), _SLICE)], schema=_SLICE))
+        if self.slices:
+            files.put(uri, out.getvalue().to_pybytes())
+            yield _row(chunk=self.number, uri=uri)
         bucket = (self.keys.data[:n] % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((position, bucket))
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -139,7 +148,8 @@ class _Chunk:
 
 
 def _dictionary_encoded(docs: DataFrame, chunk_bytes: int, buckets: int) -> DataFrame:
-    """The rows of all chunks, written."""
+    """The rows of all chunks, written.  Files of chunks are named by chance, and those of lost attempts are in no row."""
+    folder = fresh_path(docs.sparkSession, "piece-files")
 
     def run(batches):
         chunk = _Chunk()
@@ -148,9 +158,9 @@ def _dictionary_encoded(docs: DataFrame, chunk_bytes: int, buckets: int) -> Data
             for lo, hi in slices(offsets):
                 chunk.add(batch.column(0)[lo:hi].to_pylist(), data, offsets[lo : hi + 1])
                 if chunk.size >= chunk_bytes:
-                    yield from chunk.rows(buckets)
+                    yield from chunk.rows(buckets, folder)
                     chunk = _Chunk()
-        yield from chunk.rows(buckets)
+        yield from chunk.rows(buckets, folder)
 
     return stored(docs.mapInArrow(run, ", ".join(f"{c} {t}" for c, t, _ in _COLUMNS)), "piece-chunks")
 
@@ -201,8 +211,8 @@ def _joined(chunk: pa.Table, dictionary: pa.Table, model: str | None = None) ->
     size, flat, out = column("sizes", unplanes), column("ids", unplanes).astype(np.int32), []
     begin = (np.cumsum(size) - size)[order]
     size = size[order]
-    for row in range(chunk.num_rows):
-        doc_ids, counts, positions = (chunk.column(c)[row] for c in ("doc_ids", "counts", "positions"))
+    slices_ = (b for uri in chunk.column("uri").to_pylist() for b in pa.ipc.open_stream(files.get(uri)))
+    for doc_ids, counts, positions in ((b.column(k)[0] for k in range(3)) for b in slices_):
         at = unplanes(positions.as_py())
         words = np.append(0, np.cumsum(counts.values.to_numpy(), dtype=np.int64))
         ends = np.append(0, np.cumsum(size[at]))[words].astype(np.int32)
@@ -220,7 +230,7 @@ def encoded(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", t
     buckets = parts(size, grown(bucket_bytes, size, GROWN_FROM))
     chunks = _dictionary_encoded(own, grown(chunk_bytes, size, GROWN_FROM), buckets)
     words = chunks.where("bucket is not null").select("chunk", "bucket", "positions", "sizes", "words").repartition(tasks(spark, buckets), "bucket").drop("bucket")
-    texts = chunks.where("doc_ids is not null").select(F.col("chunk").alias("held_in"), "doc_ids", "counts", "positions")
+    texts = chunks.where("uri is not null").select(F.col("chunk").alias("held_in"), "uri")
 
     def joined(chunk: pa.Table, dictionary: pa.Table) -> pa.Table:
         return _joined(chunk, dictionary, model if decode else None)
