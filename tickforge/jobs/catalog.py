@@ -15,7 +15,7 @@ from ..functions import times
 from ..sources.scratch import scratch_path, settled
 from ..streaming import jobs as streams
 from . import adapter, sql
-from .incremental import backfill_features, stored_features
+from .incremental import backfill_features, carry_features, stored_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -144,6 +144,16 @@ def _feature_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _versioned(stored_features(spark, out), *VALUES)
 
 
+def _feature_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs of the job that goes on from states, over a growing table: each reads new bars and the lookback alone."""
+    b, held, out, states = adapter.bars(spark, sf_dir), *(scratch_path(spark, n) for n in ("klines", "features", "states"))
+    cut = lambda day: F.to_timestamp(F.lit(f"2024-01-{day} 05:00:00"))
+    for part in (_done(b), b.where(F.col("timestamp") < cut(14)), b.where(F.col("timestamp").between(cut(12), cut(21))), b):
+        tables.upsert_table(spark, held, part)
+        carry_features(tables.read_table(spark, held), out, states, block=256)
+    return _versioned(stored_features(spark, out), *VALUES)
+
+
 FEATURE_BACKFILL_SQL = sql.feature_sql(*VALUES).replace("\nSELECT symbol, interval,", "\nSELECT 2::BIGINT AS feature_version, symbol, interval,")
 
 
@@ -499,13 +509,34 @@ def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every bar's features as the stream emits them, over bars that come in four parts."""
     out, held, state = (scratch_path(spark, n) for n in ("live", "held", "state"))
-    _fed(spark, adapter.bars(spark, sf_dir), "klines", lambda k: streams.stream_features(k, held, out, state, every=None).awaitTermination(), parts=2)
-    newest = tables.latest_n(spark.read.parquet(out), 1)
-    return _shown(newest, "close", "sma_20", "ema_20", "rsi_14", "macd_signal", "adx_14")
+    _fed(spark, adapter.bars(spark, sf_dir, "4h"), "klines", lambda k: streams.stream_features(k, held, out, state, LIVE_LOOKBACK, None).awaitTermination())
+    return _shown(spark.read.parquet(out), *VALUES)
+
+
+LIVE_LOOKBACK = 60
+#: A series of its own for each bar: the bar and those before it that its ring holds.
+LIVE_SQL = sql.feature_ctes("4h").replace(f"\n{sql.finite()}", f"""
+placed AS (SELECT *, row_number() OVER {sql.WK} AS place FROM bars),
+ring AS (SELECT b.* EXCLUDE (symbol, place), n.symbol || '@' || n.place AS symbol FROM placed n JOIN placed b ON b.symbol = n.symbol AND b.interval = n.interval AND b.place BETWEEN n.place - {LIVE_LOOKBACK - 1} AND n.place),
+{sql.finite("ring")}""") + "\nSELECT split_part(symbol, '@', 1) AS symbol, interval, epoch_us(timestamp) AS ts, " + ", ".join(f"{sql.r(c)} AS {c}" for c in VALUES) + " FROM feats QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY timestamp DESC) = 1"
+
+
+def _stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars with gaps, some of them late or twice, filled by what came before in their series."""
+    b = _gappy(spark, sf_dir)
+    with streams.keyed_state(spark):
+        cleaned = _landed(spark, b.unionByName(b.where(F.hour("timestamp") == 3)), "gappy", streams.stream_clean)
+    return _shown(cleaned, "open", "high", "low", "close", "volume")
+
 
+def _stream_clean_sql() -> str:
+    text = _gappy_sql()
+    for c in ("open", "high", "low", "close"):
+        text = text.replace(f", first_value({c} IGNORE NULLS) OVER (PARTITION BY symbol, interval ORDER BY timestamp ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)", "")
+    return text
 
-LIVE_SQL = LATEST_SQL[: LATEST_SQL.rindex("\nSELECT symbol")] + "\nSELECT symbol, interval, epoch_us(timestamp) AS ts, " + ", ".join(f"{sql.r(c)} AS {c}" for c in ("close", "sma_20", "ema_20", "rsi_14", "macd_signal", "adx_14")) + " FROM feats QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY timestamp DESC) = 1"
 
 MISSING_SQL = QUALITY_CTES + f"""SELECT symbol, interval, rows, 58::BIGINT AS total_features, total_missing::BIGINT AS total_missing, {sql.r('miss')} AS missing_percentage, nw AS n_with_missing, nc AS n_critical
 FROM ms JOIN (SELECT symbol, interval, count(*) FILTER (WHERE present < rows) AS nw, count(*) FILTER (WHERE 100.0 * (rows - present) / rows > 5) AS nc FROM mo GROUP BY 1, 2) USING (symbol, interval)"""
@@ -527,6 +558,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "non_finite_to_null": (_non_finite, NON_FINITE_SQL),
     "feature_slice": (_slice, SLICE_SQL),
     "feature_backfill": (_feature_backfill, FEATURE_BACKFILL_SQL),
+    "feature_carried": (_feature_carried, FEATURE_BACKFILL_SQL),
     "upsert": (_upsert, UPSERT_SQL),
     "upsert_table": (_upsert_table, UPSERT_SQL),
     "clean_ohlcv": ((lambda s, d: _shown(clean.clean_ohlcv(_gappy(s, d)), "open", "high", "low", "close", "volume")), _gappy_sql()),
@@ -588,6 +620,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "stream_bars": (_stream_bars("4h"), _stream_bars_sql("4h")),
     "stream_bars_closed": (_stream_bars("1d"), _stream_bars_sql("1d")),
     "stream_features": (_stream_features, LIVE_SQL),
+    "stream_clean": (_stream_clean, _stream_clean_sql()),
 }
 
 

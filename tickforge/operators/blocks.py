@@ -39,14 +39,19 @@ def in_blocks(df: DataFrame, block: int, halo: int) -> DataFrame:
     return dealt.withColumn("series", F.col("symbol")).withColumn("symbol", F.concat("symbol", F.lit("@"), F.col("of").cast("string")))
 
 
-def with_running_sums(blocks: DataFrame, terms: dict[str, Column]) -> DataFrame:
+def with_running_sums(blocks: DataFrame, terms: dict[str, Column], start: DataFrame | None = None) -> DataFrame:
     """blocks with, for each name, the sum of its term over the series' rows up to each own row.
 
-    Blocks are summed first; sums of earlier blocks come by a join of one row a block.
+    Blocks are summed first; sums of earlier blocks come by a join of one row a block.  start: (series, interval,
+    <name>_start) of sums that rows before these had, where there were any.
     """
     totals = blocks.groupBy(*KEY, "series", "of").agg(*(F.sum(F.when(F.col("own"), x)).alias(f"{n}_before") for n, x in terms.items()))
     earlier = Window.partitionBy("series", "interval").orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(*KEY, *(F.sum(f"{n}_before").over(earlier).alias(f"{n}_before") for n in terms))
+    before = totals.select(*KEY, "series", *(F.sum(f"{n}_before").over(earlier).alias(f"{n}_before") for n in terms))
+    if start is not None:
+        plus = {f"{n}_before": F.coalesce(F.col(f"{n}_before") + F.col(f"{n}_start"), f"{n}_before", f"{n}_start") for n in terms}
+        before = before.join(start, ["series", "interval"], "left").withColumns(plus)
+    before = before.select(*KEY, *(f"{n}_before" for n in terms))
     so_far = Window.partitionBy(*KEY).orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
     joined = blocks.join(before, list(KEY))
     summed = {n: F.sum(F.when(F.col("own"), x)).over(so_far) for n, x in terms.items()}

@@ -74,20 +74,51 @@ def upsert_table(spark: SparkSession, path: str, incoming: DataFrame) -> None:
     write_table(merged.drop("date"), path, "overwrite")
 
 
+MOST_INTERVALS = 64  # names of intervals that a condition lists
+
+
+def since_by_interval(table: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Rows of a table (as write_table lays out, or without dates) of the intervals of firsts (interval, first: a time), each from its earliest date on.
+
+    The condition names intervals and dates, so folders of other intervals and earlier dates aren't read.
+    Beyond MOST_INTERVALS names, which no known set of intervals has, it is one date for all.
+    """
+    found = firsts.groupBy("interval").agg(F.min("first").alias("first")).where(F.col("first").isNotNull()).limit(MOST_INTERVALS + 1).collect()
+    if not found:
+        return table.limit(0)
+    at = (lambda t: F.col("date") >= F.to_date(F.lit(t))) if "date" in table.columns else (lambda t: F.col("timestamp") >= F.lit(t))
+    if len(found) > MOST_INTERVALS:
+        return table.where(at(firsts.agg(F.min("first")).first()[0]))
+    meets = [(F.col("interval") == r["interval"]) & at(r["first"]) for r in found]
+    held = meets[0]
+    for more in meets[1:]:
+        held = held | more
+    return table.where(held)
+
+
 def lookback_rows(table: DataFrame, new: DataFrame, n: int) -> DataFrame:
     """Rows of a table (as write_table lays out) of the series of new: for each series at least the n rows up to its oldest new one, and all later ones.
 
-    Only the dates of twice n intervals are read; series that hold fewer than n rows there (gaps, or a
-    short history) are read whole.
+    The dates of twice n intervals are read, of each interval its own.  Series that hold fewer than n rows there (gaps, or a
+    short history) are looked for further back, four times as far each time, until they have n rows or their interval's
+    first date is reached; only folders of their intervals are read for them.
     """
     ms = interval_ms("interval")
-    wanted = new.groupBy(*KEY).agg(F.min("timestamp").alias("__oldest")).withColumn("__from", F.to_date(F.timestamp_micros(F.unix_micros("__oldest") - 2000 * n * ms)))
-    first = wanted.agg(F.min("__from").alias("d")).first()["d"]
-    if first is None:
+    wanted = settled(new.groupBy(*KEY).agg(F.min("timestamp").alias("__oldest")))
+    if wanted.isEmpty():
         return table.limit(0)
-    joined = table.join(wanted, list(KEY))
-    near = joined.where((F.col("date") >= F.lit(first).cast("date")) & (F.col("date") >= F.col("__from")))
-    full = near.where(F.col("timestamp") <= F.col("__oldest")).groupBy(*KEY).count().where(F.col("count") >= n).select(*KEY)
-    short = settled(wanted.join(full, list(KEY), "left_anti"))
-    held = near.join(short.select(*KEY), list(KEY), "left_anti").select(*table.columns)
-    return held if short.isEmpty() else held.unionByName(table.join(short.select(*KEY), list(KEY), "left_semi"))
+    back, found, edge = 2 * n, None, None
+    while True:
+        reach = wanted.withColumn("first", F.timestamp_micros(F.unix_micros("__oldest") - 1000 * back * ms))
+        near = since_by_interval(table, reach).join(reach, list(KEY)).where(F.col("date") >= F.to_date("first"))
+        full = near.where(F.col("timestamp") <= F.col("__oldest")).groupBy(*KEY).count().where(F.col("count") >= n).select(*KEY)
+        if edge is None:
+            edge = settled(since_by_interval(table.select("interval", "date"), wanted.select("interval", F.lit("0001-01-01").cast("timestamp").alias("first"))).groupBy("interval").agg(F.min("date").alias("__edge")))
+        whole = reach.join(F.broadcast(edge), "interval").where(F.to_date("first") <= F.col("__edge")).select(*KEY)  # an interval a row
+        done = settled(full.union(whole).distinct())
+        rows = near.join(done, list(KEY), "left_semi").select(*table.columns)
+        found = rows if found is None else found.unionByName(rows)
+        wanted = settled(wanted.join(done, list(KEY), "left_anti"))
+        if wanted.isEmpty():
+            return found
+        back *= 4

@@ -13,11 +13,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.bars import _span, trade_bar_columns
 from ..operators.clean import closed_only, dedupe_last
-from ..operators.features import features_each
-from ..schema import KEY, KLINE
+from ..schema import FEATURES, KEY, KLINE, VALUES
 from ..sources.messages import message_to_kline, parse_ws_klines
 from ..sources.scratch import settled
-from ..sources.tables import lookback_rows, upsert_table
+from ..sources.tables import upsert_table
+from .state import keyed_state, later_rows, ring_features, stream_clean  # noqa: F401
 
 
 def stream_klines(source: DataFrame, kind: str = "websocket", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -35,12 +35,7 @@ def monotonic_bars(klines: DataFrame, order_col: str | None = None) -> DataFrame
     schema = klines.schema
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values(order_col or "timestamp", kind="stable")
-        before = rows["timestamp"].cummax().shift(1)
-        if state.exists:
-            last = pd.Timestamp(state.get[0], unit="us")
-            before = before.fillna(last).clip(lower=last)
-        rows = rows[before.isna() | (rows["timestamp"] > before)]
+        rows = later_rows(batches, state.get[0] if state.exists else None, order_col)
         if len(rows):
             state.update((int(rows["timestamp"].iloc[-1].value // 1000),))
             yield rows
@@ -68,21 +63,21 @@ def upsert_sink(rows: DataFrame, path: str, checkpoint: str, order_col: str | No
     return _each_batch(rows, write, checkpoint, every)
 
 
-def stream_features(klines: DataFrame, table: str, out: str, checkpoint: str, lookback: int = 300, every: str | None = "15 seconds", order_col: str | None = None) -> StreamingQuery:
+def stream_features(klines: DataFrame, table: str, out: str, checkpoint: str, lookback: int = 300, every: str | None = "15 seconds", order_col: str | None = None, version: int = 2, idle_ms: int | None = None) -> StreamingQuery:
     """On new bars: upsert them, and upsert each new bar's features from its own newest `lookback` bars, however many a trigger brings.
 
-    Late and repeated bars go as in monotonic_bars.  Of the table a trigger reads the days that lookbacks reach.
+    The newest bars of a series are its state: no table is read for them, and a bar costs the same in a trigger
+    of many.  Late and repeated bars go as in monotonic_bars.  Null prices are passed over by recursions; stream_clean fills them.
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        new = settled(batch.select(*KLINE.names))
-        upsert_table(spark, table, new)
-        if not new.isEmpty():
-            held = lookback_rows(spark.read.parquet(table), new, lookback)
-            upsert_table(spark, out, settled(features_each(held.select(*KLINE.names), new, lookback)))
-
-    return _each_batch(monotonic_bars(klines, order_col), write, checkpoint, every)
+        spark, rows = batch.sparkSession, settled(batch)
+        upsert_table(spark, table, rows.select(*KLINE.names))
+        made = rows.where("has_features").select(*KEY, "timestamp", *(F.nanvl(F.col(f"feature_{c}"), F.lit(None)).alias(c) for c in VALUES), F.lit(version).cast("long").alias("feature_version"))
+        upsert_table(spark, out, made.select(*FEATURES.names))
+
+    with keyed_state(klines.sparkSession):
+        return _each_batch(ring_features(klines, lookback, order_col=order_col, idle_ms=idle_ms), write, checkpoint, every)
 
 
 def stream_bars(trades: DataFrame, interval: str, lateness: str = "1 minute") -> DataFrame:
