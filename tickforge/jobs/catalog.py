@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import bars as make
-from ..operators import clean, features, indicators, plans, quality, timeframes
+from ..operators import clean, features, indicators, plans, quality, quality_state, timeframes
 from ..schema import AVERAGES, FINITE, VALUES
 from ..sources import messages, tables
 from ..functions import times
@@ -361,6 +361,48 @@ def _recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("symbol", "interval", F.array_join("recommendations", "; ").alias("recommendations"), "error", _r("overall_quality_score").alias("overall_quality_score"))
 
 
+def _correlation_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlations over whole histories, from co-moments that tasks make and merge."""
+    f = _features(spark, sf_dir).withColumn("period", F.timestamp_micros(F.lit(0).cast("long")))
+    names = quality.numeric_columns(f)
+    states = quality_state.merged_states(quality_state.partial_states(f.repartition(7)), len(names))
+    return quality_state.state_correlation(states, names).select("symbol", "interval", F.size("highly_correlated_pairs").cast("long").alias("pairs"), _r("max_correlation").alias("max_correlation"))
+
+
+def _varies(text: str) -> str:
+    """Correlations only of values that vary by more than rounding."""
+    for x in ("a", "b"):
+        text = text.replace(f"min({x}.value) < max({x}.value)", f"max({x}.value) - min({x}.value) > 1e-9 * greatest(abs(max({x}.value)), abs(min({x}.value)))")
+    return text
+
+
+QUALITY_WHOLE_SQL = _varies(sql.feature_ctes() + ",\n" + sql.FEATURE_LONG).replace(") WHERE place <= 1000)", "))")
+
+WEEK = 604_800
+
+
+def _stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly reports of features that come in four parts, none of which ends with a week."""
+    held, states, reports, state = (scratch_path(spark, n) for n in ("features", "states", "reports", "state"))
+    _fed(spark, _features(spark, sf_dir), "features", lambda f: streams.stream_quality(f, held, states, reports, state, WEEK, None).awaitTermination())
+    r = streams.latest_reports(spark.read.parquet(reports))
+    return r.select(
+        "symbol", "interval", F.unix_micros("period").alias("period"), F.col("total_rows").cast("long").alias("total_rows"), _r("missing_analysis.missing_percentage").alias("missing"), F.col("outlier_analysis.total_outliers").alias("outliers"),
+        F.size("correlation_analysis.highly_correlated_pairs").cast("long").alias("pairs"), _r("correlation_analysis.max_correlation").alias("max_correlation"), F.col("variance_analysis.zero_variance_count").alias("flat"),
+        F.col("data_integrity.is_valid").alias("valid"), _r("overall_quality_score").alias("score"), "low_quality",
+    )
+
+
+STREAM_QUALITY_SQL = _varies(sql.feature_ctes() + ",\n" + sql.FEATURE_LONG).replace(
+    "held AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, interval ORDER BY timestamp DESC) AS place FROM feats) WHERE place <= 1000)",
+    f"held AS (SELECT * REPLACE (symbol || '@' || (epoch_us(timestamp) // {WEEK * 1_000_000}) AS symbol) FROM feats)",
+) + f"""
+SELECT split_part(symbol, '@', 1) AS symbol, interval, split_part(symbol, '@', 2)::BIGINT * {WEEK * 1_000_000} AS period, rows AS total_rows, {sql.r('miss')} AS missing, outliers::BIGINT AS outliers, coalesce(pairs, 0) AS pairs, {sql.r('coalesce(least(1, cmax), 0)')} AS max_correlation, flat, valid, {sql.r('score')} AS score, score < 70 AS low_quality
+FROM (SELECT *, greatest(100 - least(2 * miss, 30) - least(5 * opct, 20) - least(2 * coalesce(pairs, 0), 20) - least(5 * flat, 20) - CASE WHEN valid THEN 0 ELSE 10 END, 0) AS score
+      FROM (SELECT symbol, interval, rows, hl + o + h + l + c + v = 0 AS valid FROM it) JOIN (SELECT symbol, interval, miss FROM ms) USING (symbol, interval) LEFT JOIN cp USING (symbol, interval) JOIN va USING (symbol, interval)
+      JOIN (SELECT symbol, interval, sum(n) AS outliers, 100.0 * sum(n) / sum(present) AS opct FROM ou GROUP BY 1, 2) USING (symbol, interval))"""
+
+
 def _few_sql(where: str) -> str:
     place = f"list_position([{', '.join(repr(c) for c in VALUES)}], feature)"
     return f"(SELECT symbol, interval, string_agg(feature, ', ' ORDER BY place) AS names FROM (SELECT *, row_number() OVER (PARTITION BY symbol, interval ORDER BY {place}) AS place FROM mo LEFT JOIN ou USING (symbol, interval, feature, present) WHERE {where}) WHERE place <= 3 GROUP BY 1, 2)"
@@ -511,13 +553,13 @@ def _stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every bar's features as the stream emits them, over bars that come in four parts."""
     out, held, state = (scratch_path(spark, n) for n in ("live", "held", "state"))
-    _fed(spark, adapter.bars(spark, sf_dir, "4h"), "klines", lambda k: streams.stream_features(k, held, out, state, LIVE_LOOKBACK, None).awaitTermination())
+    _fed(spark, adapter.bars(spark, sf_dir), "klines", lambda k: streams.stream_features(k, held, out, state, LIVE_LOOKBACK, None).awaitTermination())
     return _shown(spark.read.parquet(out), *VALUES)
 
 
-LIVE_LOOKBACK = 60
+LIVE_LOOKBACK = 300
 #: A series of its own for each bar: the bar and those before it that its ring holds.
-LIVE_SQL = sql.feature_ctes("4h").replace(f"\n{sql.finite()}", f"""
+LIVE_SQL = sql.feature_ctes().replace(f"\n{sql.finite()}", f"""
 placed AS (SELECT *, row_number() OVER {sql.WK} AS place FROM bars),
 ring AS (SELECT b.* EXCLUDE (symbol, place), n.symbol || '@' || n.place AS symbol FROM placed n JOIN placed b ON b.symbol = n.symbol AND b.interval = n.interval AND b.place BETWEEN n.place - {LIVE_LOOKBACK - 1} AND n.place),
 {sql.finite("ring")}""") + "\nSELECT split_part(symbol, '@', 1) AS symbol, interval, epoch_us(timestamp) AS ts, " + ", ".join(f"{sql.r(c)} AS {c}" for c in VALUES) + " FROM feats QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY timestamp DESC) = 1"
@@ -606,6 +648,8 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "quality_overall": (_overall, OVERALL_SQL),
     "quality_recommendations": (_recommendations, RECOMMENDATIONS_SQL),
     "quality_json": (_report_json, None),
+    "quality_correlation_whole": (_correlation_whole, QUALITY_WHOLE_SQL + f"\nSELECT symbol, interval, pairs, {sql.r('least(1, cmax)')} AS max_correlation FROM cp"),
+    "stream_quality": (_stream_quality, STREAM_QUALITY_SQL),
     "parse_rest_klines": (_rest, _klines_sql()),
     "parse_ws_klines": (_ws, WS_SQL),
     "parse_trades": (_trades_parsed, f"WITH {sql.TRADES} SELECT symbol, epoch_us(timestamp) // 1000 AS ms, id, {sql.r('price')} AS price, {sql.r('quantity')} AS quantity, maker AS is_buyer_maker FROM trades"),

@@ -27,10 +27,10 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, kind in df.dtypes if kind in ("double", "float", "int", "bigint") and c not in NOT_FEATURES]
 
 
-def long_form(df: DataFrame) -> DataFrame:
-    """(symbol, interval, feature, value)."""
+def long_form(df: DataFrame, keys: tuple[str, ...] = KEY) -> DataFrame:
+    """(keys, feature, value)."""
     names = numeric_columns(df)
-    return df.select(*KEY, *(F.col(c).cast("double").alias(c) for c in names)).unpivot(list(KEY), names, "feature", "value")
+    return df.select(*keys, *(F.col(c).cast("double").alias(c) for c in names)).unpivot(list(keys), names, "feature", "value")
 
 
 def moments(df: DataFrame) -> DataFrame:
@@ -98,10 +98,10 @@ def correlation(df: DataFrame, limit: float = CORRELATION_LIMIT) -> DataFrame:
     return df.select(*KEY, *names).groupBy(*KEY).applyInPandas(_pairs(names, limit), "symbol string, interval string, highly_correlated_pairs array<struct<feature1: string, feature2: string, correlation: double>>, max_correlation double")
 
 
-def low_variance(held: DataFrame) -> DataFrame:
+def low_variance(held: DataFrame, keys: tuple[str, ...] = KEY) -> DataFrame:
     """(low_variance_features, zero_variance_count) of each series, from its moments."""
     low = F.col("variance") < VARIANCE_LIMIT
-    return held.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.when(low, F.struct("feature", "variance")))).alias("low_variance_features"), F.count(F.when(F.col("variance") == 0, 1)).alias("zero_variance_count"))
+    return held.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(low, F.struct("feature", "variance")))).alias("low_variance_features"), F.count(F.when(F.col("variance") == 0, 1)).alias("zero_variance_count"))
 
 
 INTEGRITY = ("high_less_than_low", *(f"negative_{c}" for c in ("open", "high", "low", "close")), "negative_volume")
@@ -114,13 +114,13 @@ def integrity(df: DataFrame) -> DataFrame:
     return counted.withColumn("is_valid", sum((F.col(n) for n in INTEGRITY), F.lit(0)) == 0)
 
 
-def feature_scores(held: DataFrame, found: DataFrame) -> DataFrame:
+def feature_scores(held: DataFrame, found: DataFrame, keys: tuple[str, ...] = KEY) -> DataFrame:
     """(feature, score) from moments and outliers: 100, less for missing values, outliers and low variance, at least 0."""
-    both = held.join(found.select(*KEY, "feature", "percentage"), [*KEY, "feature"], "left")
+    both = held.join(found.select(*keys, "feature", "percentage"), [*keys, "feature"], "left")
     gone = 100 * (F.col("rows") - F.col("present")) / F.col("rows")
     odd = F.when(F.col("present") > 3, F.least(5 * F.coalesce("percentage", F.lit(0.0)), F.lit(30.0))).otherwise(0.0)
     flat = F.when(F.col("variance") < VARIANCE_LIMIT, 20.0).otherwise(0.0)
-    return both.select(*KEY, "feature", F.greatest(100 - F.least(2 * gone, F.lit(50.0)) - odd - flat, F.lit(0.0)).alias("score"))
+    return both.select(*keys, "feature", F.greatest(100 - F.least(2 * gone, F.lit(50.0)) - odd - flat, F.lit(0.0)).alias("score"))
 
 
 def overall_score(miss: Column, outlier_percent: Column, pairs: Column, flat: Column, valid: Column) -> Column:
@@ -148,32 +148,24 @@ def _advice(low: float) -> Column:
     return F.slice(F.filter(asked, lambda x: x.isNotNull()), 1, 5)
 
 
-def check_quality(df: DataFrame, rows: int = 1000, low: float = 70.0, wanted: DataFrame | None = None) -> DataFrame:
-    """One report a series, over its newest rows; low_quality where the overall score is below `low`.
-
-    The newest rows, `rows` a series, are written once, as every part of the report reads them.  Series of
-    `wanted` (KEY) without rows get a report of score 0 with an error; without it, no rows give no report.
-    """
-    sample = settled(newest(df, rows))
-    names = numeric_columns(sample)
-    held = moments(sample)
-    found = outliers(sample, held)
+def assembled(names: list[str], keys: tuple[str, ...], gone: DataFrame, held: DataFrame, found: DataFrame, correlated: DataFrame, whole: DataFrame, low: float) -> DataFrame:
+    """One report for each of keys from its parts: missing, moments, outliers, correlation and integrity; names: the features in column order."""
     kept = held.where("present > 0")
     place = F.array_position(F.array(*map(F.lit, names)), F.col("feature")).alias("place")
     in_order = lambda when, x: F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.when(when, F.struct(place, "feature", x.alias("x"))))), lambda e: F.struct(e["feature"], e["x"])))
-    odd = found.where("present > 0").groupBy(*KEY).agg(
+    odd = found.where("present > 0").groupBy(*keys).agg(
         F.sum("count").alias("n"), F.sum("present").alias("cells"),
         in_order(F.col("count") > 0, F.col("count")).alias("features"),
         in_order(F.col("percentage") > OUTLIER_LIMIT, F.struct("count", "percentage", "max_zscore")).alias("critical"),
     )
-    scores = feature_scores(kept, found).groupBy(*KEY).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "score")))).alias("feature_quality_scores"))
-    whole = integrity(sample).drop("rows")
+    scores = feature_scores(kept, found, keys).groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "score")))).alias("feature_quality_scores"))
+    whole = whole.drop("rows")
     issues = F.filter(F.array(*(F.struct(F.lit(n).alias("type"), F.col(n).alias("count"), (100 * F.col(n) / F.col("total_rows")).alias("percentage")) for n in INTEGRITY)), lambda x: x["count"] > 0)
-    joined = missing(sample).withColumnRenamed("rows", "total_rows")
-    for part in (odd, correlation(sample), low_variance(kept), whole, scores):
-        joined = joined.join(part, list(KEY), "left")
+    joined = gone.withColumnRenamed("rows", "total_rows")
+    for part in (odd, correlated, low_variance(kept, keys), whole, scores):
+        joined = joined.join(part, list(keys), "left")
     report = joined.select(
-        *KEY, "total_rows", "total_features",
+        *keys, "total_rows", "total_features",
         F.struct("total_missing", "missing_percentage", "features_with_missing", "critical_missing_features").alias("missing_analysis"),
         F.struct(F.coalesce("n", F.lit(0)).alias("total_outliers"), F.col("features").alias("outlier_features"), F.col("critical").alias("critical_outlier_features")).alias("outlier_analysis"),
         F.struct("highly_correlated_pairs", "max_correlation").alias("correlation_analysis"),
@@ -181,7 +173,20 @@ def check_quality(df: DataFrame, rows: int = 1000, low: float = 70.0, wanted: Da
         F.struct(issues.alias("integrity_issues"), "is_valid").alias("data_integrity"), "feature_quality_scores",
         overall_score(F.col("missing_percentage"), F.coalesce(100 * F.col("n") / F.when(F.col("cells") > 0, F.col("cells")), F.lit(0.0)), F.size("highly_correlated_pairs"), F.col("zero_variance_count"), F.col("is_valid")).alias("overall_quality_score"),
     )
-    report = report.withColumn("recommendations", _advice(low))
+    return report.withColumn("recommendations", _advice(low)).withColumn("low_quality", F.col("overall_quality_score") < low)
+
+
+def check_quality(df: DataFrame, rows: int = 1000, low: float = 70.0, wanted: DataFrame | None = None) -> DataFrame:
+    """One report a series, over its newest rows; low_quality where the overall score is below `low`.
+
+    The newest rows, `rows` a series, are written once, as every part of the report reads them.  Series of
+    `wanted` (KEY) without rows get a report of score 0 with an error; without it, no rows give no report.
+    """
+    sample = settled(newest(df, rows))
+    names = numeric_columns(sample)
+    held = moments(sample)
+    found = outliers(sample, held)
+    report = assembled(names, KEY, missing(sample), held, found, correlation(sample), integrity(sample), low).drop("low_quality")
     if wanted is not None:
         report = wanted.select(*KEY).distinct().join(report, list(KEY), "left")
     report = report.withColumn("error", F.when(F.col("total_rows").isNull(), EMPTY)).fillna({"total_rows": 0, "total_features": 0, "overall_quality_score": 0.0})

@@ -13,6 +13,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.bars import _span, trade_bar_columns
 from ..operators.clean import closed_only, dedupe_last
+from ..operators.quality import numeric_columns
+from ..operators.quality_state import PERIOD, STATE, merged_states, partial_states, period_of, state_reports
 from ..schema import FEATURES, KEY, KLINE, VALUES
 from ..sources.messages import message_to_kline, parse_ws_klines
 from ..sources.scratch import settled
@@ -80,6 +82,39 @@ def stream_features(klines: DataFrame, table: str, out: str, checkpoint: str, lo
         return _each_batch(ring_features(klines, lookback, order_col=order_col, idle_ms=idle_ms), write, checkpoint, every)
 
 
+def stream_quality(features: DataFrame, table: str, states: str, reports: str, checkpoint: str, seconds: int = 86_400, every: str | None = "10 minutes", low: float = 70.0) -> StreamingQuery:
+    """Reports of each series and period of time, kept up trigger by trigger: features are upserted into table, and what reports need is added to states.
+
+    A trigger writes the states of its own rows, and reports anew on the periods that it meets: states of all triggers are merged,
+    and outliers counted in those periods' days of the table.  Both go into a folder of the trigger's number, so a trigger
+    that is done again replaces what it wrote.  Each row must come once, as ring_features emits them.  latest_reports reads the outcome.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark, rows = batch.sparkSession, settled(batch.select(*FEATURES.names))
+        span = rows.agg(F.min(period_of("timestamp", seconds)).alias("lo"), F.max(period_of("timestamp", seconds)).alias("hi")).first()
+        if span["lo"] is None:
+            return
+        upsert_table(spark, table, rows)
+        with_period = lambda df: df.withColumn("period", period_of("timestamp", seconds))
+        new = partial_states(with_period(rows)).withColumn("day", F.to_date("period"))
+        new.write.mode("overwrite").partitionBy("day").parquet(f"{states}/trigger={number}")
+        met = with_period(rows).select(*PERIOD).distinct()
+        ends = [F.to_date(F.lit(x)) for x in (span["lo"], span["hi"])]
+        held = spark.read.schema(STATE + ", trigger int, day date").parquet(states).where(F.col("day").between(*ends) & (F.col("trigger") <= number)).drop("trigger", "day")
+        merged = settled(merged_states(held.join(met, list(PERIOD), "left_semi"), len(numeric_columns(rows))))
+        near = spark.read.parquet(table).where(F.col("date").between(ends[0], F.date_add(ends[1], seconds // 86_400 + 1))).select(*FEATURES.names)
+        state_reports(with_period(near).join(met, list(PERIOD), "left_semi"), merged, low).write.mode("overwrite").parquet(f"{reports}/trigger={number}")
+
+    return _each_batch(features, write, checkpoint, every)
+
+
+def latest_reports(reports: DataFrame) -> DataFrame:
+    """Of each series and period the report of the last trigger that met it; reports: the folder of stream_quality."""
+    whole = F.struct(*(c for c in reports.columns if c != "trigger"))
+    return reports.groupBy(*PERIOD).agg(F.max_by(whole, "trigger").alias("r")).select("r.*")
+
+
 def stream_bars(trades: DataFrame, interval: str, lateness: str = "1 minute") -> DataFrame:
     """Bars of a stream of trades; a bar comes out once the watermark has passed its end."""
     bars = trades.withWatermark("timestamp", lateness).groupBy("symbol", F.window("timestamp", _span(interval)).alias("w")).agg(*trade_bar_columns())
