@@ -151,3 +151,23 @@ def test_lookback_of_daily_and_hourly_series(spark):
     got = tables.lookback_rows(table, new, 30).groupBy("symbol").agg(F.count("*").alias("n"), F.min("timestamp").alias("t")).toPandas().set_index("symbol")
     assert (got["n"] >= 30).all() and got.loc["a", "n"] <= 85 and got.loc["a", "t"] >= pd.Timestamp("2024-02-28")
     assert got.loc["g", "n"] < gappy.count() or gappy.count() < 200
+
+
+def test_a_day_is_written_by_many_tasks_and_untouched_slots_keep_their_files(spark, tmp_path):
+    path = f"{tmp_path}/klines"
+    day = spark.range(4000).select(F.format_string("s%03d", (F.col("id") % 100).cast("int")).alias("symbol"), F.lit("1m").alias("interval"), F.timestamp_micros(1_704_067_200_000_000 + F.col("id") * 20_000_000).alias("timestamp"), F.col("id").cast("double").alias("close"))
+    tables.write_table(day, path, slot_rows=1000)
+    files = lambda: {str(p.relative_to(path)) for p in tmp_path.rglob("*.parquet") if "_ranges" not in str(p)}
+    first = files()
+    folders = {f.rsplit("/", 1)[0] for f in first}
+    assert folders == {f"interval=1m/date=2024-01-01/slot={k}" for k in range(4)} and len(first) == 4
+    assert sorted(r["n"] for r in tables.read_table(spark, path).groupBy("slot").agg(F.count("*").alias("n")).collect()) == [1000] * 4
+    new = day.where("symbol = 's030' and close < 500").withColumn("close", F.lit(-1.0)).unionByName(day.where("close = 0").withColumn("symbol", F.lit("s030a")))
+    tables.upsert_table(spark, path, new, slot_rows=1000)
+    later = files()
+    assert {f for f in first if "slot=1/" not in f} == {f for f in later if "slot=1/" not in f} and first != later
+    got = tables.read_table(spark, path)
+    assert got.count() == 4001 and got.where("close = -1").count() == new.count() - 1 and got.where("symbol = 's030a' and slot = 1").count() == 1
+    tables.upsert_table(spark, path, new.withColumn("timestamp", F.col("timestamp") + F.expr("interval 1 day")).withColumn("interval", F.lit(None).cast("string")))
+    assert tables.read_table(spark, path).where("interval is null").count() == new.count()
+    assert tables.read_ranges(spark, path)[0].count() == 5
