@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,3 +291,34 @@ def test_stream_gives_features_of_every_new_bar(spark):
         for r in features.features_latest(whole.where(F.col("timestamp") <= F.lit(T0 + timedelta(hours=k))), lookback).collect():
             if (r["symbol"], times[k]) in got and r["timestamp"] == times[k]:
                 assert [got[r["symbol"], times[k]][c] for c in VALUES] == [r[c] if r[c] is None else pytest.approx(r[c], rel=1e-9) for c in VALUES]
+
+
+def test_all_intervals_come_from_one_exchange_by_day(spark, tiny):
+    from tickforge.jobs import adapter
+    from tickforge.operators import bars
+
+    made = bars.bars_of_all_intervals(adapter.trades(spark, tiny))
+    made.write.format("noop").mode("overwrite").save()
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == len(bars.LADDER)  # the same one, which is run once and reused
+    counts = {r["interval"]: r["n"] for r in made.groupBy("interval").agg(F.sum("trades").alias("n")).collect()}
+    assert set(counts) == set(bars.LADDER) and len(set(counts.values())) == 1
+    assert [bars.parent_interval(i, bars.LADDER) for i in ("3m", "15m", "4h", "6h", "8h", "1d")] == ["1m", "5m", "2h", "2h", "4h", "12h"]
+    for wrong in (("1m", "1w"), ("3m", "5m")):
+        with pytest.raises(ValueError):
+            bars.bars_of_all_intervals(adapter.trades(spark, tiny), wrong)
+
+
+def test_calculators_share_the_one_exchange(spark):
+    from tickforge.functions.windows import series
+
+    df = klines(spark, [10.0 + i % 7 for i in range(60)])
+    own = features.Calculator({"before": F.lag("close").over(series())}, lambda h, l, c: {"seen": np.cumsum(c)}, ("seen",))  # noqa: E741
+    found = features.features(df, calculators=(own, features.Calculator({"twice": 2 * F.col("sma_10")})))
+    assert found.columns[-3:] == ["before", "seen", "twice"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    rows = found.orderBy("timestamp").collect()
+    assert rows[5]["before"] == rows[4]["close"] and rows[5]["seen"] == sum(r["close"] for r in rows[:6]) and rows[20]["twice"] == 2 * rows[20]["sma_10"]
+    with pytest.raises(ValueError, match="ema_10"):
+        features.features(df, calculators=(features.Calculator({"ema_10": F.col("close")}),))

@@ -12,6 +12,7 @@ from ..operators import clean, features, indicators, plans, quality, quality_sta
 from ..schema import AVERAGES, FINITE, VALUES
 from ..sources import messages, tables
 from ..functions import times
+from ..functions.carried import gone_on
 from ..sources.scratch import scratch_path, settled
 from ..streaming import jobs as streams
 from . import adapter, sql
@@ -64,6 +65,48 @@ def _bars_query(interval: str) -> tuple[Query, str]:
     return (lambda spark, d: _klines(adapter.bars(spark, d, interval))), _klines_sql(interval)
 
 
+def _ladder_sql() -> str:
+    each = ",\n".join(sql.bars(f"bars_{i}", i) for i in make.LADDER)
+    shown = ", ".join(f"{sql.r(c)} AS {c}" for c in KLINE_VALUES)
+    return f"WITH {sql.TRADES},\n{each}\n" + "\nUNION ALL ".join(f"SELECT symbol, interval, epoch_us(timestamp) AS ts, {shown}, trades::BIGINT AS trades FROM bars_{i}" for i in make.LADDER)
+
+
+def _range_of_change() -> features.Calculator:
+    """A calculator such as a user adds: the close's change over ten bars, and an average of the range that halves with each bar."""
+    from ..functions.windows import series
+
+    def halving(high, low, close):
+        return {"half_range": gone_on(high - low, 0.5, float(high[0] - low[0]))}
+
+    return features.Calculator({"change_10": F.col("close") / F.lag("close", 10).over(series()) - 1, "change_per_atr": F.col("close") - F.col("sma_10")}, halving, ("half_range",))
+
+
+def _calculated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = features.features(adapter.bars(spark, sf_dir), calculators=(_range_of_change(),))
+    return _shown(found, "sma_20", "rsi_14", "change_10", "change_per_atr", "half_range")
+
+
+CALCULATED_SQL = sql.feature_ctes().replace("WITH RECURSIVE ", "WITH RECURSIVE ") + f""",
+own AS (SELECT *, close / lag(close, 10) OVER {sql.WK} - 1 AS change_10, close - sma_10 AS change_per_atr, high - low AS span FROM feats),
+half AS (SELECT symbol, interval, i, span AS half_range FROM own WHERE i = 0 UNION ALL SELECT o.symbol, o.interval, o.i, h.half_range / 2 + o.span / 2 FROM half h JOIN own o ON o.symbol = h.symbol AND o.interval = h.interval AND o.i = h.i + 1)
+SELECT symbol, interval, epoch_us(timestamp) AS ts, {", ".join(f"{sql.r(c)} AS {c}" for c in ("sma_20", "rsi_14", "change_10", "change_per_atr", "half_range"))} FROM own JOIN half USING (symbol, interval, i)"""
+
+
+def _newest_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from datetime import datetime, timezone
+
+    at = lambda day: datetime(2024, 1, day, tzinfo=timezone.utc)
+    b = adapter.bars(spark, sf_dir)
+    open_start, open_end = tables.latest_n(b, 7, end=at(9)), tables.latest_n(b, 9, start=at(28))
+    return _klines(tables.latest_n(b, 30, at(5), at(20)).unionByName(open_start).unionByName(open_end))
+
+
+NEWEST_BETWEEN_SQL = "\nUNION ALL ".join(
+    "SELECT * FROM (" + _klines_sql(where=f"WHERE {where} QUALIFY row_number() OVER (PARTITION BY symbol, interval ORDER BY timestamp DESC) <= {n}") + ")"
+    for n, where in ((30, "timestamp BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'"), (7, "timestamp <= TIMESTAMP '2024-01-09'"), (9, "timestamp >= TIMESTAMP '2024-01-28'"))
+)
+
+
 def _supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = indicators.finite_features(clean.min_history(adapter.supplier_bars(spark, sf_dir)))
     return _shown(found, "sma_20", "volatility_20", "volume_ratio", "stoch_d")
@@ -272,6 +315,14 @@ def _coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 COVERAGE_SQL = f"WITH {sql.TRADES}, {sql.bars()} SELECT symbol, interval, count(*) AS klines, count(*) FILTER (WHERE {DONE}) AS features, {sql.r(f'100.0 * count(*) FILTER (WHERE {DONE}) / count(*)')} AS progress, count(*) FILTER (WHERE {DONE}) > 0 AS has_features, 0.0::DOUBLE AS quality_score FROM bars GROUP BY 1, 2"
 
 
+def _coverage_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage with the scores of quality reports; a series without features has neither."""
+    b = adapter.bars(spark, sf_dir)
+    made = settled(features.features(b.where("symbol <> 'view'")))
+    c = plans.coverage(b, made, quality.check_quality(made))
+    return c.select("symbol", "interval", "klines", "features", _r("progress").alias("progress"), "has_features", _r("quality_score").alias("quality_score"))
+
+
 def _resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = adapter.bars(spark, sf_dir)
     wanted = b.select("symbol", "interval").distinct().unionByName(spark.createDataFrame([("none", "1h")], "symbol string, interval string"))
@@ -403,6 +454,13 @@ FROM (SELECT *, greatest(100 - least(2 * miss, 30) - least(5 * opct, 20) - least
       JOIN (SELECT symbol, interval, sum(n) AS outliers, 100.0 * sum(n) / sum(present) AS opct FROM ou GROUP BY 1, 2) USING (symbol, interval))"""
 
 
+COVERAGE_SCORED_SQL = QUALITY_CTES + f""", scored AS ({OVERALL_SQL[len(QUALITY_CTES):]}),
+done AS (SELECT symbol, interval, count(*) AS features FROM feats WHERE symbol <> 'view' GROUP BY 1, 2)
+SELECT symbol, interval, klines, coalesce(features, 0) AS features, {sql.r('100.0 * coalesce(features, 0) / klines')} AS progress, features IS NOT NULL AS has_features,
+       {sql.r("CASE WHEN symbol <> 'view' THEN coalesce(overall_quality_score, 0) ELSE 0 END")} AS quality_score
+FROM (SELECT symbol, interval, count(*) AS klines FROM bars GROUP BY 1, 2) LEFT JOIN done USING (symbol, interval) LEFT JOIN scored USING (symbol, interval)"""
+
+
 def _few_sql(where: str) -> str:
     place = f"list_position([{', '.join(repr(c) for c in VALUES)}], feature)"
     return f"(SELECT symbol, interval, string_agg(feature, ', ' ORDER BY place) AS names FROM (SELECT *, row_number() OVER (PARTITION BY symbol, interval ORDER BY {place}) AS place FROM mo LEFT JOIN ou USING (symbol, interval, feature, present) WHERE {where}) WHERE place <= 3 GROUP BY 1, 2)"
@@ -478,10 +536,22 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINES_SQL = f"""WITH {sql.TRADES}, {sql.bars()} SELECT 'klines_1h,symbol=' || symbol || ' ' || CASE WHEN trades % 3 <> 0 THEN 'volume=' || volume::DOUBLE::VARCHAR || ',' ELSE '' END || 'trades=' || trades || 'i,interval="' || interval || '",is_closed=T ' || (epoch_us(timestamp) * 1000)::VARCHAR AS value FROM bars"""
 
 
+def _report_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports as they are stored under their keys, read back from JSON."""
+    text = messages.quality_to_json(quality.check_quality(_features(spark, sf_dir)))
+    of = lambda path, kind: F.get_json_object("value", path).cast(kind)
+    return text.select("key", of("$.total_rows", "long").alias("total_rows"), _r(of("$.overall_quality_score", "double")).alias("overall_quality_score"), of("$.variance_analysis.zero_variance_count", "long").alias("flat"), of("$.data_integrity.is_valid", "boolean").alias("valid"), of("$.recommendations[0]", "string").alias("advice"))
+
+
 def _report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.quality_to_json(quality.check_quality(_features(spark, sf_dir)))
 
 
+REPORT_FIELDS_SQL = RECOMMENDATIONS_SQL[: RECOMMENDATIONS_SQL.rindex("wanted AS")].rstrip().rstrip(",") + f"""
+SELECT 'quality:' || symbol || ':' || interval AS key, it.rows AS total_rows, {sql.r("score")} AS overall_quality_score, flat, hl + o + h + l + c + v = 0 AS valid, nullif(split_part(recommendations, '; ', 1), '') AS advice
+FROM told JOIN it USING (symbol, interval) JOIN va USING (symbol, interval)"""
+
+
 # Streams, each run to its end over the given tables
 
 
@@ -586,6 +656,9 @@ FROM ms JOIN (SELECT symbol, interval, count(*) FILTER (WHERE present < rows) AS
 ENTRIES: dict[str, tuple[Query, str | None]] = {
     "bars_1h": _bars_query("1h"),
     "bars_15m": _bars_query("15m"),
+    "bars_all_intervals": ((lambda s, d: _klines(make.bars_of_all_intervals(adapter.trades(s, d)))), _ladder_sql()),
+    "features_calculators": (_calculated, CALCULATED_SQL),
+    "latest_n_between": (_newest_between, NEWEST_BETWEEN_SQL),
     "resample_4h": ((lambda s, d: _klines(make.resample_bars(adapter.bars(s, d, "15m"), "4h"))), _klines_sql("4h")),
     "downsample_blocks": (_blocks, BLOCKS_SQL),
     "supplier_features": (_supplier, sql.finite_sql("sma_20", "volatility_20", "volume_ratio", "stoch_d", interval="1d", trades=sql.SUPPLIER_TRADES)),
@@ -636,6 +709,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "time_range": (_range, RANGE_SQL),
     "row_counts": ((lambda s, d: plans.row_counts(adapter.bars(s, d))), f"WITH {sql.TRADES}, {sql.bars()} SELECT symbol, interval, count(*) AS rows FROM bars GROUP BY 1, 2"),
     "coverage": (_coverage, COVERAGE_SQL),
+    "coverage_scored": (_coverage_scored, COVERAGE_SCORED_SQL),
     "resume_plan": (_resume, RESUME_SQL),
     "backfill_plan": (_backfill, BACKFILL_SQL),
     "null_report": (_nulls, NULLS_SQL),
@@ -648,6 +722,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "quality_overall": (_overall, OVERALL_SQL),
     "quality_recommendations": (_recommendations, RECOMMENDATIONS_SQL),
     "quality_json": (_report_json, None),
+    "quality_json_fields": (_report_fields, REPORT_FIELDS_SQL),
     "quality_correlation_whole": (_correlation_whole, QUALITY_WHOLE_SQL + f"\nSELECT symbol, interval, pairs, {sql.r('least(1, cmax)')} AS max_correlation FROM cp"),
     "stream_quality": (_stream_quality, STREAM_QUALITY_SQL),
     "parse_rest_klines": (_rest, _klines_sql()),

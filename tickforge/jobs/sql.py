@@ -6,7 +6,7 @@ import math
 
 from ..schema import AVERAGES, FINITE, RECURSIVE, VALUES
 
-BAR_MS = {"15m": 900_000, "1h": 3_600_000, "4h": 14_400_000, "1d": 86_400_000}
+BAR_MS = {name: minutes * 60_000 for name, minutes in {"1m": 1, "3m": 3, "5m": 5, "15m": 15, "30m": 30, "1h": 60, "2h": 120, "4h": 240, "6h": 360, "8h": 480, "12h": 720, "1d": 1440}.items()}
 
 TRADES = """trades AS (
   SELECT event_type AS symbol, ts AS timestamp, event_id AS id, value AS price, json_extract_string(props, '$.k')::DOUBLE AS quantity, user_id % 2 <> 0 AS maker

@@ -5,8 +5,12 @@ features works through a series in one task; features_blocked cuts long series i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,11 +42,44 @@ def recursive_features(df: DataFrame) -> DataFrame:
     return df.groupBy(*KEY).applyInPandas(_kernel(recursive_columns), _with_columns(df, RECURSIVE))
 
 
-def features(klines: DataFrame, least_rows: int = 20, version: int = 2) -> DataFrame:
-    """schema.FEATURES of every series of at least least_rows bars."""
+@dataclass(frozen=True)
+class Calculator:
+    """A user's own features.
+
+    finite: columns by name, of windows over functions.windows.series() or of the row; they may use the bars' columns
+    and the finite features.  recursive: a kernel from a series' (high, low, close) as arrays in order of time to
+    arrays by name, with the names it gives in recursive_names.
+    """
+
+    finite: dict[str, Column] = field(default_factory=dict)
+    recursive: Callable[[np.ndarray, np.ndarray, np.ndarray], dict[str, np.ndarray]] | None = None
+    recursive_names: tuple[str, ...] = ()
+
+    @property
+    def names(self) -> tuple[str, ...]:
+        return (*self.finite, *self.recursive_names)
+
+
+def features(klines: DataFrame, least_rows: int = 20, version: int = 2, calculators: tuple[Calculator, ...] = ()) -> DataFrame:
+    """schema.FEATURES of every series of at least least_rows bars, then the columns of calculators: all in the one exchange."""
+    own = [n for c in calculators for n in c.names]
+    if clash := sorted({n for n in own if own.count(n) > 1 or n in FEATURES.names}):
+        raise ValueError(f"columns of calculators that exist already: {', '.join(clash)}")
     held = min_history(require_columns(klines), least_rows)
-    found = recursive_features(finite_features(held.drop("quote_volume", "trades", "taker_buy_quote_volume", "is_closed")))
-    return annotate(non_finite_to_null(found), version).select(*FEATURES.names)
+    finite = finite_features(held.drop("quote_volume", "trades", "taker_buy_quote_volume", "is_closed"))
+    finite = finite.withColumns({n: x for c in calculators for n, x in c.finite.items()})
+    kernels = [(c.recursive, c.recursive_names) for c in calculators if c.recursive]
+
+    def kernel(*prices: np.ndarray) -> dict[str, np.ndarray]:
+        found = recursive_columns(*prices)
+        for make, wanted in kernels:
+            made = make(*prices)
+            found |= {n: made[n] for n in wanted}
+        return found
+
+    names = (*RECURSIVE, *(n for _, wanted in kernels for n in wanted))
+    found = finite.drop(*names).groupBy(*KEY).applyInPandas(_kernel(kernel), _with_columns(finite, names))
+    return annotate(non_finite_to_null(found), version).select(*FEATURES.names, *own)
 
 
 #: Bars of a block, and bars before it that its windows and recursions see.  What a bar weighs after HALO bars is
