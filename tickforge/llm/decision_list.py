@@ -14,8 +14,10 @@ executors.
 
 Words are runs of all but spaces (20, 09-0D); lines are parted by \\n.  Null and empty texts
 have zero statistics and fail the base rules.  Without labelled rows of both classes the list
-is empty and the base rules alone decide.  Repeated rows are judged alike; null labels and
-ids are not learned from; further columns are not looked at.
+is empty and the base rules alone decide.  Of thresholds of equal gain the first statistic
+and lowest threshold is taken.  Repeated rows are judged alike; null labels and ids are not
+learned from.  A very long text is one row of built-in expressions, in memory in proportion
+to it.  An empty table gives no rows.  Further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -142,7 +144,7 @@ def _grow(rows: DataFrame, marks: dict[str, list[float]], most: int) -> Rule:
         if not p0 or not n0:
             break
         best = None
-        for rate, found in by.items():
+        for rate, found in ((n, by[n]) for n in rates() if n in by):
             for i, mark in enumerate(marks[rate]):
                 p, n = (sum(x[k] for x in found if x[0] > i) for k in (1, 2))
                 for above, a, b in ((True, p, n), (False, p0 - p, n0 - n)):

@@ -16,7 +16,9 @@ a time, and keeps them from task to task where there is but one; a larger benchm
 searched part by part for each `HELD_BYTES` of documents, so memory doesn't grow with it.
 
 Null or wordless documents have no words and are clean; null items have no windows; items
-may repeat.  Further columns are not looked at.
+may repeat, as may documents.  A very long document is one stream, in memory in proportion
+to it.  An empty table gives no rows; an empty benchmark hits nothing.  Further columns are
+not looked at.
 """
 
 from __future__ import annotations

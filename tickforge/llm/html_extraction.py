@@ -2,7 +2,8 @@
 
 Blocks that the model takes for content are joined in page order by one \\n; in a block,
 character references are decoded and white space becomes one space.  Null and empty pages,
-and pages without content, give empty text.  Rows are independent: one pass, no shuffle, the
+and pages without content, give empty text.  A block is content from a marginal of one half
+on.  A very long page is held whole, one at a time.  An empty table gives no rows.  Rows are independent: one pass, no shuffle, the
 model (a few hundred numbers) goes out with the tasks.  Repeated rows give equal texts;
 further columns are not looked at.
 """

@@ -14,7 +14,7 @@ sums.  Only the table of sources, one row each, is ordered as a whole, in one ta
 are taken to be sites or collections, of which a task can sort millions.  It is joined back to
 documents under Spark's own size check for broadcasts, else by a join that may be split.
 
-Null texts and texts without words have size 0; rates of sources of size 0 are 0.  Null is a
+Null texts and texts without words have size 0; a very long text is counted whole; rates of sources of size 0 are 0.  Null is a
 source.  Repeated ids draw alike.  An empty table gives no rows.  Columns of the input keep
 their names, whatever they are: the plan's columns carry a prefix that none of them has.
 """

@@ -32,7 +32,8 @@ shingles in many contexts chain together costs the square of its neighbouring si
 
 Nulls and texts without words are empty sets and link with nothing; their component is
 their own doc_id.  Repeated rows are documents of their own that link with each other.
-Further columns of the input are not looked at.
+Of values of l with equal cost the least is taken.  A very long text is a chunk of its own.
+An empty table gives no rows.  Further columns of the input are not looked at.
 """
 
 from __future__ import annotations

@@ -21,6 +21,9 @@ by thirds of how many telling buckets they hold: such grades order evidence, and
 second opinion on it.  Scoring covers all rows in one pass, without a shuffle; the model,
 8 MB at any size of input, is broadcast.
 
+Of sampled rows of one class whose least shingle hash is the same (near copies, and all
+wordless texts) one is learned from: so the fit sees at most `sample` rows of a class, often fewer.
+
 Null, empty and wordless texts have no evidence: never rejected, and of the severity of a
 text with no telling bucket.  Very long texts are worked through whole, in memory
 proportional to the one text; a bucket counts once however often a text holds it.  Equal

@@ -30,7 +30,9 @@ string in a text is one piece and gives that token's id, as an untouched tokeniz
 with added_tokens=False it is ordinary text.
 
 Null texts are empty documents: they hold only the end id.  Repeated ids stay together,
-one document a row, ordered by a hash of the text.  An empty table gives no files and no rows.
+one document a row, ordered by a hash of the text.  A very long text is encoded whole, in
+memory in proportion to it, and makes its shard longer.  An empty table gives no files and
+no rows.  Further columns are not looked at.
 """
 
 from __future__ import annotations

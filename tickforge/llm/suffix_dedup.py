@@ -25,7 +25,9 @@ two hashes of all their bytes, counted per chunk first.  Chunks and buckets grow
 square root of the corpus beyond `GROWN_FROM` bytes, so that messages grow with the corpus.
 
 Nulls are empty texts.  Repeated rows repeat each other and are removed whole (if long
-enough).  Texts under `width` bytes are kept whole.  Further columns are not looked at.
+enough).  Texts under `width` bytes are kept whole.  A very long text is a chunk of its own
+and is worked through in overlapping pieces.  An empty table gives no rows.  Further columns
+are not looked at.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ tested against the tokenizers library with the same vocabulary.  Any other can b
 
 Scale: one pass over the texts, no shuffle.  Beside a word itself, memory is bounded by the
 longest piece, so a very long text without spaces is one word like others.  Null and empty
-texts have no tokens.  Repeated rows count alike; further columns are not looked at.
+texts have no tokens.  Repeated rows count alike; an empty table gives no rows; further
+columns are not looked at.  Words are found by hash, and their bytes compared.
 """
 
 from __future__ import annotations

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import files
+from .components import join_by_count
 from .shared import fresh_path, parts, stored, table
 
 LEAST_REVISIT = 100
@@ -41,8 +42,8 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """(page_id, url, payload, digest, first: the id that a revisit refers to, else null)."""
     own = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha2("payload", 256))
     long = F.octet_length("payload") >= least
-    firsts = own.where(long).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    joined = own.join(firsts, "digest", "left")
+    firsts = own.where(long).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("members")).where("members > 1")
+    joined = join_by_count(own, firsts, "digest", own.count(), "left")  # a payload of a large share of all pages doesn't come into one task
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select("page_id", "url", F.when(~again, F.col("payload")).alias("payload"), F.octet_length("payload").cast("long").alias("size"), "digest", F.when(again, F.col("first")).alias("first"))
 
