@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,16 +60,17 @@ def emit_slice(df: DataFrame, start: Column, end: Column) -> DataFrame:
     return df.where((F.col("timestamp") >= start) & (F.col("timestamp") <= end))
 
 
-def _one(df: DataFrame, keys: list[Column], order: Column) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    return df.withColumn("__place", place).where("__place = 1").drop("__place")
+def _one(df: DataFrame, keys: list[Column], pick: Callable[[Column, Column], Column], order_col: str) -> DataFrame:
+    """One row of each key, by partial aggregation before the exchange.  Rows without order come first of all."""
+    whole = pick(F.struct(*df.columns), F.struct(order_col)).alias("__row")
+    return df.groupBy(*(k.alias(f"__key{i}") for i, k in enumerate(keys))).agg(whole).select("__row.*")
 
 
 def dedupe_first(df: DataFrame, order_col: str) -> DataFrame:
-    return _one(df, [*map(F.col, KEY), F.col("timestamp")], F.col(order_col).asc())
+    return _one(df, [*map(F.col, KEY), F.col("timestamp")], F.min_by, order_col)
 
 
 def dedupe_last(df: DataFrame, order_col: str, whole_seconds: bool = False) -> DataFrame:
     """The latest arrival of each time; of each whole second, where asked for."""
     time = F.date_trunc("second", "timestamp") if whole_seconds else F.col("timestamp")
-    return _one(df, [*map(F.col, KEY), time], F.col(order_col).desc())
+    return _one(df, [*map(F.col, KEY), time], F.max_by, order_col)

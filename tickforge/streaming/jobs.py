@@ -56,11 +56,10 @@ def _each_batch(klines: DataFrame, write: Callable[[DataFrame, int], None], chec
 
 
 def upsert_sink(rows: DataFrame, path: str, checkpoint: str, order_col: str | None = None, every: str | None = "15 seconds") -> StreamingQuery:
-    """Each trigger's rows upserted into a table; of equal times the last arrival stays."""
+    """Each trigger's rows upserted into a table; later triggers win, and of a trigger's rows of one time the last by order_col, without it the largest by its columns (as in upsert)."""
 
     def write(batch: DataFrame, _: int) -> None:
-        latest = dedupe_last(batch, order_col).drop(order_col) if order_col else batch.dropDuplicates([*KEY, "timestamp"])
-        upsert_table(batch.sparkSession, path, latest)
+        upsert_table(batch.sparkSession, path, dedupe_last(batch, order_col).drop(order_col) if order_col else batch)
 
     return _each_batch(rows, write, checkpoint, every)
 
