@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import bars as make
 from ..operators import clean, features, indicators, plans, quality, quality_state, timeframes
 from ..schema import AVERAGES, FINITE, VALUES
-from ..sources import messages, tables
+from ..sources import messages, tables, wire
 from ..functions import times
 from ..functions.carried import gone_on
 from ..sources.scratch import scratch_path, settled
@@ -547,6 +547,13 @@ def _report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.quality_to_json(quality.check_quality(_features(spark, sf_dir)))
 
 
+def _lines_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that the sink has committed, read back."""
+    path = scratch_path(spark, "lines")
+    wire.write_lines(_lines(spark, sf_dir), path)
+    return wire.read_lines(spark, path).select("value")
+
+
 REPORT_FIELDS_SQL = RECOMMENDATIONS_SQL[: RECOMMENDATIONS_SQL.rindex("wanted AS")].rstrip().rstrip(",") + f"""
 SELECT 'quality:' || symbol || ':' || interval AS key, it.rows AS total_rows, {sql.r("score")} AS overall_quality_score, flat, hl + o + h + l + c + v = 0 AS valid, nullif(split_part(recommendations, '; ', 1), '') AS advice
 FROM told JOIN it USING (symbol, interval) JOIN va USING (symbol, interval)"""
@@ -731,6 +738,7 @@ ENTRIES: dict[str, tuple[Query, str | None]] = {
     "top_of_book": (_book, BOOK_SQL),
     "bus_messages": (_bus, _klines_sql()),
     "line_protocol": (_lines, LINES_SQL),
+    "line_protocol_committed": (_lines_committed, LINES_SQL),
     "stream_klines": (_stream_klines, WS_SQL),
     "stream_monotonic": (_stream_monotonic, _klines_sql()),
     "stream_upsert": (_stream_upsert, _klines_sql()),
