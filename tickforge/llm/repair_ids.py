@@ -15,7 +15,7 @@ each round, lengths of expansions, null flags and doc ids, ids before each docum
 of each document in the sequence, where each frame starts; then the sequence (unsigned
 32-bit), a zstd frame each `FRAME` symbols.
 
-Scale: one range shuffle of the texts by id (rows of one id by a hash of the text, so that no id makes a hot range), with
+Scale: one range shuffle of the texts by id (rows of one id by their texts' beginnings, so that an id with many texts is many ranges), with
 as many tasks as the texts' bytes ask; a task streams through its range and writes
 shards of about `shard_ids` ids.  The list of shards, one row each, is a table; running sums
 over the writing tasks, and over each one's shards, give the ids before each shard.  A task
@@ -30,7 +30,7 @@ string in a text is one piece and gives that token's id, as an untouched tokeniz
 with added_tokens=False it is ordinary text.
 
 Null texts are empty documents: they hold only the end id.  Repeated ids stay together,
-one document a row, ordered by a hash of the text.  A very long text is encoded whole, in
+one document a row, ordered by text.  A very long text is encoded whole, in
 memory in proportion to it, and makes its shard longer.  An empty table gives no files and
 no rows.  Further columns are not looked at.
 """
@@ -58,6 +58,7 @@ from .shared import fresh_path, parts, stored, table, tasks, text_bytes
 END_ID = 2
 SHARD_IDS, READ_IDS = 1 << 20, 32 << 20  # ids of a shard, and of the shards that one task reads
 TASK_BYTES = 128 << 20  # of text, in a range of ids that one task writes
+KEY_CHARS = 64  # of a text, that ranges of one id go by
 LEAST_COUNT = 32
 FRAME, INDEX_READ = 1 << 13, 1 << 17  # symbols of a frame of the sequence; bytes of the first read, which mostly holds the index
 MOST_PIECES, MOST_BYTES = 1_500_000, 64 << 20  # pieces that a worker holds, and their bytes
@@ -420,7 +421,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     size = own.agg(F.sum(text_bytes())).first()[0]
-    dealt = own.repartitionByRange(tasks(docs.sparkSession, parts(size, TASK_BYTES)), F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
+    order = F.col("doc_id").asc_nulls_first()
+    dealt = own.repartitionByRange(tasks(docs.sparkSession, parts(size, TASK_BYTES)), order, F.substring("text", 1, KEY_CHARS)).sortWithinPartitions(order, "text")
     return stored(dealt.mapInArrow(run, "uri string, first_doc long, last_doc long, docs long, ids long, part int, number int"), "shard-list")
 
 
