@@ -133,3 +133,28 @@ def test_queries_give_ids_of_an_untouched_tokenizer(spark, documents, monkeypatc
         check_rows = [(r["n_tokens"], r["ids_crc32"]) for r in found.orderBy("start").collect()]
         want = [[*untouched.encode(t, add_special_tokens=False).ids, I.END_ID] for t in texts]
         assert check_rows == [(len(w), zlib.crc32(np.array(w, "<u4").tobytes())) for w in want]
+
+
+def test_memory_of_a_worker_is_small():
+    """What a worker takes for a shard and its texts: two of them, and their JVM, are an executor."""
+    import tracemalloc
+
+    from tickforge.llm.kernel import slices
+
+    rng = np.random.default_rng(4)
+    data, offsets = byte_view(pa.array([" ".join(f"{a}{b}" for a, b in zip(map("".join, rng.choice([*"abcdefgh"], (200, 4))), rng.choice(["ing", "s", ""], 200))) for _ in range(3000)], pa.string()))
+    pieces, most = I.Pieces(I.default_tokenizer()), getattr(I, "ENCODE_BYTES", 1 << 20)
+    ids = np.append(rng.integers(3, 2000, I.SHARD_IDS - 1), 2).astype(np.uint32)
+    tracemalloc.start()
+    try:
+        for lo, hi in slices(offsets, most):
+            pieces.encode(data, offsets[lo : hi + 1])
+        encoding = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        I.re_pair(ids, 2, 65_000)
+        pairing = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    held = (pieces.held.bytes, pieces.held.starts, pieces.held.sizes, pieces.ids, pieces.starts, pieces.sizes)
+    assert encoding < 32 << 20 and pairing < 48 << 20 and sum(x.data.nbytes for x in held) < 44 * len(pieces.held)

@@ -7,6 +7,8 @@ Nulls count as empty texts.  Memory follows the slice, not the batch or the part
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,8 +60,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _fold(x: np.ndarray) -> np.ndarray:
-    """Below 2**32, and equal to x modulo the prime."""
-    return (x & _PRIME) + (x >> U64(31))
+    """x, made below 2**32 in place; equal to what it was modulo the prime."""
+    high = x >> U64(31)
+    x &= _PRIME
+    x += high
+    return x
 
 
 def _prime_powers(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +134,9 @@ class Sums:
         for k in range(2):
             up, down = _prime_powers(k, len(raw))
             total = np.zeros(len(raw) + 1, dtype=U64)
-            np.cumsum(_fold(codes[k][raw] * up[: len(raw)]), out=total[1:])
+            terms = codes[k][raw]
+            terms *= up[: len(raw)]
+            np.cumsum(_fold(terms), out=total[1:])
             self.each.append((total, down))
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -180,6 +187,13 @@ def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes
         keys[wrong] = _spread(keys[wrong] + U64(1))
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on from task to task, and what other stages freed in it would add to the next one's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Grown:
     """An array that is appended to; `data` has room, `n` values are filled."""
 
@@ -188,7 +202,7 @@ class Grown:
 
     def append(self, values: np.ndarray) -> None:
         if self.n + len(values) > len(self.data):
-            self.data = np.concatenate([self.data[: self.n], np.zeros(self.n + len(values), self.data.dtype)])
+            self.data = np.concatenate([self.data[: self.n], np.zeros(self.n // 4 + len(values), self.data.dtype)])
         self.data[self.n : self.n + len(values)] = values
         self.n += len(values)
 
@@ -198,8 +212,8 @@ class HeldSpans:
 
     def __init__(self, recent: int = 1 << 16):
         self.most_recent, self.keys = recent, [np.zeros(0, U64), np.zeros(0, U64)]  # a large sorted table, and a recent one that is merged into it now and then
-        self.numbers = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
-        self.bytes, self.starts, self.sizes = Grown(np.uint8), Grown(np.int64), Grown(np.int64)
+        self.numbers = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        self.bytes, self.starts, self.sizes = Grown(np.uint8), Grown(np.int64), Grown(np.int32)
 
     def __len__(self) -> int:
         return self.sizes.n
@@ -224,10 +238,10 @@ class HeldSpans:
         self.bytes.append(raw[flat_places(starts, sizes)])
         if not findable:
             return numbers
-        into, new = 1, (keys, numbers)
+        into, new = 1, (keys, numbers.astype(np.int32))
         if len(self.keys[1]) + len(keys) > self.most_recent:
             order = np.argsort(both := np.concatenate([self.keys[1], keys]), kind="stable")
-            into, new = 0, (both[order], np.concatenate([self.numbers[1], numbers])[order])
+            into, new = 0, (both[order], np.concatenate([self.numbers[1], new[1]])[order])
             self.keys[1], self.numbers[1] = self.keys[1][:0], self.numbers[1][:0]
         at = np.searchsorted(self.keys[into], new[0])
         self.keys[into], self.numbers[into] = np.insert(self.keys[into], at, new[0]), np.insert(self.numbers[into], at, new[1])

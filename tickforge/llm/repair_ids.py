@@ -52,11 +52,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import files
-from .kernel import Grown, HeldSpans, byte_view, distinct_spans, flat_places, slices
+from .kernel import Grown, HeldSpans, byte_view, distinct_spans, flat_places, release, slices
 from .shared import fresh_path, parts, stored, table, tasks, text_bytes
 
 END_ID = 2
-SHARD_IDS, READ_IDS = 1 << 20, 32 << 20  # ids of a shard, and of the shards that one task reads
+SHARD_IDS, READ_IDS = 1 << 19, 32 << 20  # ids of a shard, and of the shards that one task reads
+ENCODE_BYTES = 1 << 19  # of text, that are encoded at once
 TASK_BYTES = 128 << 20  # of text, in a range of ids that one task writes
 KEY_CHARS = 64  # of a text, that ranges of one id go by
 LEAST_COUNT = 32
@@ -80,7 +81,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
 
 
-_BYTE_LETTERS = _byte_letters()
+_BYTE_LETTERS = np.array([ord(x) for _, x in sorted(_byte_letters().items())], "<u2")
 
 
 def default_tokenizer() -> str:
@@ -108,12 +109,12 @@ class Pieces:
         self._forget()
 
     def _forget(self) -> None:
-        self.held, self.ids, self.starts, self.sizes = HeldSpans(), Grown(np.uint16), Grown(np.int64), Grown(np.int64)
+        self.held, self.ids, self.starts, self.sizes = HeldSpans(), Grown(np.uint16), Grown(np.int32), Grown(np.int32)
 
-    def _encoded(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of pieces; one of letters after a space at most is one word to the model."""
-        model, table_ = self.tokenizer.model, _BYTE_LETTERS
-        ids = [[t.id for t in model.tokenize(p.decode("latin-1").translate(table_))] if (p[1:] if p[:1] == b" " else p).decode().isalpha() else None for p in pieces]
+    def _encoded(self, pieces: list[bytes], words: list[str]) -> list[list[int]]:
+        """Ids of pieces, which are given as the vocabulary writes them too; one of letters after a space at most is one word to the model."""
+        tokenize = self.tokenizer.model.tokenize
+        ids = [[t.id for t in tokenize(w)] if (q := p[1:] if p[:1] == b" " else p).isalpha() or not q.isascii() and q.decode().isalpha() else None for p, w in zip(pieces, words)]
         odd = [i for i, x in enumerate(ids) if x is None]
         for i, got in zip(odd, self.tokenizer.encode_batch_fast([pieces[i].decode() for i in odd], add_special_tokens=False)):
             ids[i] = got.ids
@@ -157,8 +158,9 @@ class Pieces:
         many[old] = self.sizes.data[place[old]]
         made = np.zeros(0, np.uint16)
         if len(new):
-            buf = raw.tobytes()
-            found = self._encoded([buf[starts[i] : ends[i]] for i in first[new].tolist()])
+            buf, letters = raw.tobytes(), _BYTE_LETTERS[raw].tobytes().decode("utf-16-le")
+            spans = [*zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+            found = self._encoded([buf[a:b] for a, b in spans], [letters[a:b] for a, b in spans])
             many[new] = np.fromiter(map(len, found), np.int64, len(found))
             made = np.fromiter(chain.from_iterable(found), np.uint16, int(many[new].sum()))
         is_new = np.repeat(place < 0, many)
@@ -395,6 +397,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     tokenizer = tokenizer or default_tokenizer()
 
     def run(batches):
+        release()
         pieces, part, attempt, number = _pieces(tokenizer, added_tokens), TaskContext.get().partitionId(), uuid.uuid4().hex[:12], 0
         names: list = []
         counts: list[np.ndarray] = []
@@ -408,7 +411,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
 
         for batch in batches:
             data, offsets = byte_view(batch.column(1))
-            for lo, hi in slices(offsets):
+            for lo, hi in slices(offsets, ENCODE_BYTES):
                 got, n = pieces.encode(data, offsets[lo : hi + 1])
                 names += batch.column(0)[lo:hi].to_pylist()
                 counts.append(n + 1)
