@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import beside_least, connected, join_by_count
-from .kernel import byte_view, shingle_sets, slices
+from .kernel import byte_view, release, shingle_sets, slices
 from .packing import by_bucket, coded, pack, squeeze, unpack, unsqueeze
 from .shared import grown, parts, stored, table, tasks, text_bytes
 
@@ -81,6 +81,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             for row, hashes in _sets(batch.column(1)):
                 n[row], digests[row] = len(hashes), _digest(hashes)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(digests, pa.binary())], ["doc_id", "n_shingles", "digest"])
+        release()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, n_shingles long, digest binary")
 
@@ -98,6 +99,7 @@ def _distinct_sets(docs: DataFrame, text_col: str, chunks: int) -> DataFrame:
                     rows.append(row)
                     digests.append(d)
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column(0).take(pa.array(rows, pa.int64()))], ["digest", "text"])
+        release()
 
     found = docs.select(F.col(text_col).cast("string").alias("text")).where("text is not null").mapInArrow(run, "digest binary, text string")
     dealt = found.withColumn("chunk", F.pmod(F.xxhash64("digest"), F.lit(chunks)).cast("int"))
@@ -119,6 +121,7 @@ def _frequencies(texts: DataFrame, buckets: int) -> tuple[DataFrame, callable]:
     """Replies (chunk, bucket, levels): 0 for a shingle that one set has, else 1 + 16 log2 of the number of sets."""
 
     def send(chunk: pa.Table) -> pa.Table:
+        release()
         names, sets = _chunk_sets(chunk)
         codes, counts = np.unique(coded(np.concatenate(sets), buckets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0))
         rows = [(b, pack(codes[lo:hi].astype(np.uint32)), squeeze(counts[lo:hi].astype(np.uint32))) for b, lo, hi in by_bucket(codes)]
@@ -126,6 +129,7 @@ def _frequencies(texts: DataFrame, buckets: int) -> tuple[DataFrame, callable]:
         return pa.table([pa.array([c] * len(rows), pa.int32()), *(pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary())))], ["chunk", "bucket", "codes", "counts"])
 
     def answer(bucket: pa.Table) -> pa.Table:
+        release()
         codes = [unpack(x) for x in bucket.column("codes").to_pylist()]
         counts = [unsqueeze(x, np.uint32) for x in bucket.column("counts").to_pylist()]
         known, at = np.unique(np.concatenate(codes), return_inverse=True)
@@ -161,6 +165,7 @@ def candidates(texts: DataFrame, replies: DataFrame, buckets: int, threshold: in
     """
 
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        release()
         names, sets = _chunk_sets(chunk)
         rows = []
         if sets:

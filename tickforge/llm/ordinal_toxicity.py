@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import BETWEEN
-from .kernel import byte_view, prefix_hashes, shingle_sets, slices, word_spans
+from .kernel import byte_view, prefix_hashes, release, shingle_sets, slices, word_spans
 from .shared import stored, table
 
 BITS, SAMPLE, GRADES, ROUNDS = 20, 4000, 4, 1000
@@ -173,6 +173,7 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample:
                 first = np.append(True, doc[1:] != doc[:-1])[: len(doc)]
                 sketch[lo + doc[first]] = hashes[first]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(held, pa.binary()), pa.array(sketch.view(np.int64))], ["doc_id", "label", "words", "sketch"])
+        release()
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(few, F.col("doc_id") == F.col("of")).select("doc_id", "label", "text")
     found = own.mapInArrow(run, "doc_id long, label int, words binary, sketch long")
@@ -213,6 +214,7 @@ def without_toxic(docs: DataFrame, model: Model, least: float = LEAST, text_col:
     def run(batches):
         for batch in batches:
             yield batch.filter(pa.array(~shared.value.rejects(scores(batch.column(at), shared.value), least)))
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -228,6 +230,7 @@ def graded(docs: DataFrame, model: Model, least: float = LEAST, id_col: str = "d
             above = model.above(score)
             each = -np.diff(np.concatenate([np.ones((len(score), 1)), above, np.zeros((len(score), 1))], axis=1), axis=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(above.sum(axis=1)), pa.array(each.argmax(axis=1).astype(np.int32)), pa.array(model.rejects(score, least))], ["doc_id", "severity", "grade", "toxic"])
+        release()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, severity double, grade int, toxic boolean")
 

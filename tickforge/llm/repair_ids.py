@@ -421,6 +421,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                     names, counts, ids, number = [], [], [], number + 1
         if names:
             yield shard()
+        names, counts, ids = [], [], []
+        release()
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     size = own.agg(F.sum(text_bytes())).first()[0]
@@ -466,6 +468,7 @@ def shard_digests(shards: DataFrame) -> DataFrame:
                 bounds = np.append(shard.before, shard.total)
                 crc = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(shard.doc_ids, pa.int64()), pa.array(r["before"] + bounds[:-1]), pa.array(np.diff(bounds)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+            release()
 
     return _with_starts(shards).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
